@@ -1,4 +1,4 @@
-"""Batch jobs: the reference's streaming pipeline as whole-table plans.
+r"""Batch jobs: the reference's streaming pipeline as whole-table plans.
 
 events --normalise--> credits --aggregate--> player stats --enrich--> snapshots
                          \--number + snapshot history--> historical snapshots
