@@ -20,14 +20,6 @@ SNAPSHOT_EVERY = 30          # fixed value: events per trigger of the reference'
 DEFAULT_CHUNK = 1 << 16      # ordering values per first-level chunk
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
                sums: Sequence[str] = (), maxes: Sequence[str] = (), concats: Sequence[str] = (),
                chunk: int | None = None, next_col: str | None = None) -> DataFrame:
@@ -36,6 +28,12 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
     ``order`` is a column name or a list whose first (numeric) column is the
     one chunked on; the rest break ties.  ``next_col`` receives the next
     value of the first ordering column within the key (null on the last row).
+
+    With ``chunk``: running values inside (key, chunk) partitions, chunk
+    totals from a partial aggregate, a prefix over the chunk totals (one row
+    per chunk), and a join back on (key, chunk).  The key is packed into one
+    struct column -- struct equality is null-safe -- so the join reuses the
+    window's partitioning and the rows are shuffled once.
     """
     order = [order] if isinstance(order, str) else list(order)
     keys = list(keys)
@@ -53,27 +51,22 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(running(w, w.rowsBetween(unb, cur)))
 
-    ck = "_chunk"
-    d = df.withColumn(ck, F.floor(F.col(order[0]) / chunk))
-    w = Window.partitionBy(*keys, ck).orderBy(*order)
+    kk, ck = "_key", "_chunk"
+    d = df.withColumns({kk: F.struct(*keys), ck: F.floor(F.col(order[0]) / chunk)})
+    w = Window.partitionBy(kk, ck).orderBy(*order)
     within = d.withColumns(running(w, w.rowsBetween(unb, cur)))
-    tot = d.groupBy(*keys, ck).agg(*[F.sum(c).alias(c) for c in sums],
-                                   *[F.max(c).alias(c) for c in maxes],
-                                   *[F.flatten(F.collect_list(c)).alias(c) for c in concats],
-                                   F.min(order[0]).alias("_first"))
-    wp = Window.partitionBy(*keys).orderBy(ck)
+    tot = d.groupBy(kk, ck).agg(*[F.sum(c).alias(c) for c in sums],
+                                *[F.max(c).alias(c) for c in maxes],
+                                *[F.flatten(F.collect_list(c)).alias(c) for c in concats],
+                                F.min(order[0]).alias("_first"))
+    wp = Window.partitionBy(kk).orderBy(ck)
     wpr = wp.rowsBetween(unb, -1)
-    prev = tot.select(*[F.col(k).alias(f"_pk_{k}") for k in keys], F.col(ck).alias("_pk_chunk"),
+    prev = tot.select(kk, ck,
                       *[F.sum(c).over(wpr).alias(f"_p_{c}") for c in sums],
                       *[F.max(c).over(wpr).alias(f"_p_{c}") for c in maxes],
                       *[F.flatten(F.collect_list(c).over(wpr)).alias(f"_p_{c}") for c in concats],
                       F.lead("_first").over(wp).alias("_p_next"))
-    cond = None
-    for k in keys:
-        c = within[k].eqNullSafe(prev[f"_pk_{k}"])
-        cond = c if cond is None else cond & c
-    cond = cond & (within[ck] == prev["_pk_chunk"])
-    j = within.join(prev, cond, "left")
+    j = within.join(prev, on=[kk, ck], how="left")
     out = {}
     for c in sums:
         p = F.col(f"_p_{c}")
@@ -85,7 +78,8 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
         out[c] = F.when(p.isNull(), F.col(c)).otherwise(F.concat(p, F.col(c)))
     if next_col:
         out[next_col] = F.coalesce(F.col(next_col), F.col("_p_next"))
-    return j.withColumns(out).select(*df.columns, *([next_col] if next_col and next_col not in df.columns else []))
+    extra = [next_col] if next_col and next_col not in df.columns else []
+    return j.withColumns(out).select(*df.columns, *extra)
 
 
 def number_events(events: DataFrame, by: Sequence[str] = ("game_id",), order: str = "event_id",
@@ -120,7 +114,8 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     per_bucket = c.groupBy(*keys, "snapshot_id").agg(*aggs)
     run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS, maxes=["latest"],
                      concats=["_shots"] if shots else [], chunk=chunk, next_col="_next")
-    last = c.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
+    # branch after the per-bucket shuffle, so both branches share it
+    last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
     out = (run.join(last, on=game, how="left")
               .withColumn("snapshot_id", F.explode(F.sequence(
                   F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last")))))

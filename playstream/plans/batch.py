@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playstream.operators import (enrich, normalize_events, number_events, player_credits,
                                   player_stats, snapshot_history, training_set)
 from playstream.operators.models import score, train_models
+from playstream.session import checkpoint_dir
 from playstream.sources.fixture import pbp_raw
 
 HISTORY_KEYS = ("game_id", "snapshot_id")
@@ -47,8 +48,18 @@ def training_from_events(events: DataFrame, every: int = 30) -> DataFrame:
     return training_set(history_snapshots(events, every))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage
+    (reliable checkpoint: survives lost executors, unlike a local one)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scored_history(events: DataFrame, every: int = 30, seed: int = 42) -> DataFrame:
-    """Fit both models on the history and score it (21 scored columns)."""
-    train = training_from_events(events, every)
-    win, mvp = train_models(train, seed)
-    return score(history_snapshots(events, every), win, mvp)
+    """Fit both models on the history and score it (21 scored columns).
+
+    The history is computed once (checkpointed) and feeds both the training
+    set and the scoring pass."""
+    hist = materialize(history_snapshots(events, every))
+    win, mvp = train_models(training_set(hist), seed)
+    return score(hist, win, mvp)

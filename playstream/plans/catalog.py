@@ -157,6 +157,13 @@ def q_new_since(spark, sf_dir):
     return new_since(raw, cursor_of(raw.filter(F.col("period") <= 2)))
 
 
+def q_scored_history(spark, sf_dir):
+    """Fit both models on the history's training set and
+    score every snapshot (21 columns; processing-time stamp -> rows-only check)."""
+    from playstream.plans.batch import scored_history
+    return scored_history(_events(spark, sf_dir))
+
+
 def q_nation_revenue_share(spark, sf_dir):
     """Generic W2/W3 over the star schema: revenue share of each nation in its region."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
@@ -267,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "team_efficiency_share_rounded": q_team_efficiency_share_rounded,
     "game_points_share": q_game_points_share,
     "new_since": q_new_since,
+    "scored_history": q_scored_history,
     "nation_revenue_share": q_nation_revenue_share,
     "latest_order_per_customer": q_latest_order_per_customer,
 }

@@ -64,7 +64,8 @@ SNAP_RAW = StructType([f if f.name != "shots" else _s("shots", StringType()) for
 # Snapshot message fields in payload order.
 SNAP_FIELDS = [f.name for f in SNAP.fields]
 
-# Recorded history rows also carry the moment they were taken at.
+# Messages and recorded rows also carry the snapshot (trigger) they were taken at.
+SNAP_MESSAGE = StructType(SNAP.fields + [_s("snapshot_id", LongType())])
 SNAP_RECORD = StructType(SNAP_RAW.fields + [_s("snapshot_id", LongType())])
 
 # The reference's published column names for the engine names
