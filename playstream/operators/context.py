@@ -108,7 +108,8 @@ def enrich(stats: DataFrame, by: Sequence[str] = GAME, team: str = "team_code")
     """
     g = Window.partitionBy(*by)
     valid = F.col(team).isNotNull()
-    df = stats.withColumn("team_score", F.when(valid, F.sum("pts").over(Window.partitionBy(*by, team))))
+    # one shuffle by the moment key: it clusters both (by) and (by, team) windows
+    df = stats.repartition(*by).withColumn("team_score", F.when(valid, F.sum("pts").over(Window.partitionBy(*by, team))))
     df = df.withColumns({
         "_opps": _opponents(by, team, "team_score"),
         "_k": F.min(_clock_key(F.col("latest.quarter"), F.col("latest.clock"))).over(g),
