@@ -109,3 +109,36 @@ def test_replayed_feed_adds_no_rows(spark, tmp_path):
     q.awaitTermination()
     total = spark.sql("select count(*) from dedup_feed").first()[0]
     assert total == events_of(spark, SF0001).filter(F.col("game_id") == GAME).count()
+
+
+def test_update_mode_merges_touched_games(spark, tmp_path):
+    """Update mode: emissions hold only touched games; the merged table ends
+    equal to the batch statistics."""
+    from playstream.operators import player_credits, player_stats
+    scratch = str(tmp_path)
+    ev = events_of(spark, SF0001)
+    pdf = number_events(ev).toPandas()
+    feed = os.path.join(scratch, "feed2")
+    os.makedirs(feed)
+    # game A's events first, then game B's, in 4 files
+    pdf = pdf.sort_values(["game_id", "seq"])
+    parts = [pdf.iloc[j * len(pdf) // 4:(j + 1) * len(pdf) // 4] for j in range(4)]
+    for j, part in enumerate(parts):
+        p = os.path.join(feed, f"ev{j}.jsonl")
+        part[[f.name for f in EVENT.fields]].to_json(p, orient="records", lines=True)
+        os.utime(p, (time.time() - 100 + j, time.time() - 100 + j))
+    table, out = os.path.join(scratch, "stats"), os.path.join(scratch, "msgs")
+    q = run_stats_stream(stream_events(spark, feed, max_per_trigger=1), batch_writer("json", out),
+                         mode="update", table=table, trigger={"availableNow": True},
+                         checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    want = player_stats(player_credits(ev))
+    got = spark.read.schema(want.schema).parquet(table)
+    cols = sorted(want.columns)
+    norm = lambda d: sorted(map(str, d.withColumn("shots", F.to_json("shots"))
+                                 .withColumn("latest", F.to_json("latest")).select(*cols).collect()))
+    assert norm(got) == norm(want)
+    msgs = decode(spark.read.json(out), SNAP_MESSAGE)
+    per_batch = {r.snapshot_id: r.n for r in msgs.groupBy("snapshot_id")
+                 .agg(F.countDistinct("game_id").alias("n")).collect()}
+    assert per_batch[0] == 1 and per_batch[3] == 1
