@@ -133,16 +133,17 @@ def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name
     """One row per (game, player, team, moment) (A5).
 
     The survivor is deterministic: the latest snapshot, then the greatest
-    remaining values.  Computed as an aggregate (partial + final), not a
-    window, so repeated moments collapse before the shuffle.
+    remaining scalar values.  ``row_number`` over the key: a partition holds
+    the few snapshots that share one moment, never a whole game.
     ``keys`` without ``team_code`` reproduces the reference's key.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    if latest in others:
-        others = [latest] + [c for c in others if c != latest]
-    return (df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_r"))
-              .select(*keys, "_r.*").select(*df.columns))
+    scalar = [f.name for f in df.schema.fields
+              if f.name not in keys and f.dataType.typeName() not in ("array", "map", "struct")]
+    order = ([F.col(latest).desc()] if latest in scalar else []) + \
+        [F.col(c).desc() for c in scalar if c != latest]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def share_of_total(df: DataFrame, value: str, by: Sequence[str], out: str,

@@ -10,13 +10,11 @@ names, assists on every third made field goal.  It is a plain projection
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values of the fixture (FIXTURES.md section 2).
 EVENTS_PER_GAME = 500
 EVENTS_PER_QUARTER = 120
 FIRST_GAME = 22500349
-TYPE_TO_ACTION = {"click": "2pt", "view": "3pt", "purchase": "freethrow", "signup": "rebound"}
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -27,43 +25,44 @@ def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataF
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in (names or TABLES)}
 
 
-def _pad(c, n):
-    return F.lpad(c.cast("string"), n, "0")
+# The view as SQL expressions over ``events`` (one projection, built in one
+# call).  Intermediate values: g = game number, pos = position in the game,
+# q = period, k = position in the period, sec = clock seconds, act = type,
+# res = shot result.
+_G = f"CAST(floor(event_id / {EVENTS_PER_GAME}) AS INT)"
+_POS = f"CAST(event_id % {EVENTS_PER_GAME} AS INT)"
+_Q = f"CAST(floor({_POS} / {EVENTS_PER_QUARTER}) AS INT) + 1"
+_K = f"({_POS} % {EVENTS_PER_QUARTER})"
+_SEC = f"CASE WHEN {_Q} <= 4 THEN 720 - 6 * {_K} ELSE 300 - 15 * {_K} END"
+_ACT = ("CASE event_type WHEN 'click' THEN '2pt' WHEN 'view' THEN '3pt' WHEN 'purchase' THEN 'freethrow' "
+        "WHEN 'signup' THEN 'rebound' ELSE CASE event_id % 5 WHEN 0 THEN 'turnover' WHEN 1 THEN 'foul' "
+        "WHEN 2 THEN 'steal' WHEN 3 THEN 'block' ELSE 'violation' END END")
+_RES = (f"CASE WHEN ({_ACT}) IN ('2pt', '3pt', 'freethrow') THEN CASE WHEN CAST(floor(value) AS INT) % 2 = 0 "
+        "THEN 'Made' ELSE 'Missed' END END")
+
+
+def _pad(e: str, n: int) -> str:
+    return f"lpad(CAST({e} AS STRING), {n}, '0')"
+
+
+VIEW_EXPRS = [
+    f"{_pad(f'{FIRST_GAME} + {_G}', 10)} AS game_id",
+    f"{_POS} + 1 AS action_number",
+    f"{_Q} AS period",
+    f"'PT' || {_pad(f'CAST(floor(({_SEC}) / 60) AS INT)', 2)} || 'M' || {_pad(f'({_SEC}) % 60', 2)} || '.00S' AS clock_raw",
+    f"'T' || {_pad(f'2 * {_G} + user_id % 2', 4)} AS team_code",
+    "CASE WHEN event_id % 50 = 49 THEN NULL WHEN event_id % 50 = 24 THEN '' "
+    f"ELSE 'P. Num' || {_pad('user_id % 20', 2)} END AS player_name",
+    f"{_ACT} AS action_type",
+    f"{_RES} AS shot_result",
+    f"CASE WHEN ({_RES}) = 'Made' AND ({_ACT}) <> 'freethrow' AND event_id % 3 = 0 "
+    f"THEN 'Layup (' || substr({_ACT}, 1, 1) || ' PTS) (P. Num' || {_pad('(user_id + 2) % 20', 2)} || ' 4 AST)' "
+    f"WHEN ({_RES}) = 'Made' THEN 'Jumper (2 PTS)' ELSE 'MISS' END AS description",
+    f"CASE WHEN ({_RES}) IS NOT NULL THEN (event_id % 800) / 8.0D END AS x",
+    f"CASE WHEN ({_RES}) IS NOT NULL THEN CAST(floor(value) AS INT) % 100 + 0.5D END AS y",
+]
 
 
 def pbp_raw(events: DataFrame) -> DataFrame:
     """Raw actions (``RAW_ACTION`` shape) derived from ``events``."""
-    e, u, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    g = F.floor(e / EVENTS_PER_GAME).cast("int")
-    pos = (e % EVENTS_PER_GAME).cast("int")
-    q = F.floor(pos / EVENTS_PER_QUARTER).cast("int") + 1
-    k = pos % EVENTS_PER_QUARTER
-    sec = F.when(q <= 4, 720 - 6 * k).otherwise(300 - 15 * k)
-    other = F.when(e % 5 == 0, "turnover").when(e % 5 == 1, "foul").when(e % 5 == 2, "steal") \
-             .when(e % 5 == 3, "block").otherwise("violation")
-    act = None
-    for src, dst in TYPE_TO_ACTION.items():
-        act = (F.when if act is None else act.when)(F.col("event_type") == src, dst)
-    act = act.otherwise(other)
-    res = F.when(act.isin("2pt", "3pt", "freethrow"),
-                 F.when(F.floor(v).cast("int") % 2 == 0, "Made").otherwise("Missed"))
-    made_fg = (res == "Made") & (act != "freethrow")
-    desc = (F.when(made_fg & (e % 3 == 0),
-                   F.concat(F.lit("Layup ("), F.substring(act, 1, 1), F.lit(" PTS) (P. Num"),
-                            _pad((u + 2) % 20, 2), F.lit(" 4 AST)")))
-             .when(res == "Made", "Jumper (2 PTS)").otherwise("MISS"))
-    return events.select(
-        _pad(F.lit(FIRST_GAME) + g, 10).alias("game_id"),
-        (pos + 1).alias("action_number"),
-        q.alias("period"),
-        F.concat(F.lit("PT"), _pad(F.floor(sec / 60).cast("int"), 2), F.lit("M"),
-                 _pad(sec % 60, 2), F.lit(".00S")).alias("clock_raw"),
-        F.concat(F.lit("T"), _pad(2 * g + u % 2, 4)).alias("team_code"),
-        F.when(e % 50 == 49, F.lit(None).cast("string")).when(e % 50 == 24, "")
-         .otherwise(F.concat(F.lit("P. Num"), _pad(u % 20, 2))).alias("player_name"),
-        act.alias("action_type"),
-        res.alias("shot_result"),
-        desc.alias("description"),
-        F.when(res.isNotNull(), (e % 800) / 8.0).alias("x"),
-        F.when(res.isNotNull(), F.floor(v).cast("int") % 100 + 0.5).alias("y"),
-    )
+    return events.selectExpr(*VIEW_EXPRS)

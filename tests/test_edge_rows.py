@@ -72,3 +72,19 @@ def test_labels(spark):
     rows = {r.player_name: r for r in label_mvp(label_win(df)).collect()}
     assert [rows[p].label_win for p in ["p1", "p2", "p3", "p4"]] == [1, 1, 0, 0]
     assert [rows[p].label_mvp for p in ["p1", "p2", "p3", "p4"]] == [0, 1, 1, 0]
+
+
+def test_dedupe_latest_snapshot_wins(spark):
+    from playstream.operators import add_labels, dedupe_moments
+    df = spark.createDataFrame([("g", "A", "p1", 100, 1, 1, 2.0), ("g", "A", "p1", 100, 2, 3, 5.0),
+                                ("g", "B", "p1", 100, 2, 0, 1.0), ("g", None, "x", 100, 3, 0, 9.0)],
+                               "game_id string, team_code string, player_name string, seconds_remaining int, "
+                               "snapshot_id long, pts int, efficiency double")
+    got = sorted((r.team_code or "-", r.snapshot_id, r.pts) for r in dedupe_moments(df).collect())
+    assert got == [("-", 3, 0), ("A", 2, 3), ("B", 2, 0)]
+    # the reference's key (no team) collapses equal names of both teams
+    ref = dedupe_moments(df, ("game_id", "player_name", "seconds_remaining"))
+    assert ref.count() == 2
+    lab = {(r.team_code, r.snapshot_id): (r.label_mvp, r.max_game_eff)
+           for r in add_labels(df.withColumn("score_diff", F.lit(1))).collect()}
+    assert lab[(None, 3)] == (1, 9.0) and lab[("A", 2)] == (0, 9.0)
