@@ -39,13 +39,23 @@ def publish(df: DataFrame, key: str = "game_id", fmt: str = "kafka",
 
 
 def batch_writer(fmt: str, path: str | None = None, mode: str = "append",
-                 partition_by: Sequence[str] = (), **options) -> Callable[[DataFrame, int], None]:
-    """A ``(batch_df, batch_id)`` writer for ``foreachBatch`` pipelines."""
+                 partition_by: Sequence[str] = (), idempotent: bool = True,
+                 **options) -> Callable[[DataFrame, int], None]:
+    """A ``(batch_df, batch_id)`` writer for ``foreachBatch`` pipelines.
+
+    With a ``path`` and ``idempotent`` (default), batch ``n`` is written to
+    ``path/batch=n`` with overwrite, so a micro-batch re-run after a failure
+    replaces its own output instead of appending a second copy.  Readers see
+    ``batch`` as a partition column.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        w = df.write.format(fmt).mode(mode).options(**options)
+        target, m = path, mode
+        if path is not None and idempotent:
+            target, m = f"{path.rstrip('/')}/batch={batch_id}", "overwrite"
+        w = df.write.format(fmt).mode(m).options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(path) if path is not None else w.save()
+        w.save(target) if target is not None else w.save()
     return write
 
 
