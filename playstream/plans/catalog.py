@@ -104,6 +104,12 @@ def q_snapshot_payload(spark, sf_dir):
     return encode(enrich(_stats(spark, sf_dir)))
 
 
+def q_event_payload(spark, sf_dir):
+    """K1/K3/P10: normalised events as JSON messages keyed by game (null fields omitted)."""
+    from playstream.schemas import EVENT
+    return encode(_events(spark, sf_dir), key="game_id", fields=EVENT.names)
+
+
 def q_snapshot_history(spark, sf_dir):
     """ST10: cumulative player statistics every 30 events of each game."""
     return _shots_text(_flat_latest(_history(spark, sf_dir)))
@@ -211,6 +217,11 @@ ORACLE = {
         "'game_quarter': game_quarter, 'game_clock': game_clock, 'player_name': player_name, "
         "'pts': pts, 'ast': ast, 'reb': reb, 'stl': stl, 'blk': blk, 'tov': tov, 'pf': pf, "
         "'fg_pct': fg_pct, 'efficiency': efficiency, 'shots': shots}) AS VARCHAR) AS value FROM en")),
+    "event_payload": O.with_ctes(*O.BASE, select=(
+        "SELECT game_id AS key, replace(regexp_replace(CAST(to_json({'game_id': game_id, 'event_id': event_id, "
+        "'quarter': quarter, 'team_code': team_code, 'player_name': player_name, 'event_type': event_type, "
+        "'shot_result': shot_result, 'shot_value': shot_value, 'assist_player': assist_player, 'clock': clock, "
+        "'x': x, 'y': y}) AS VARCHAR), '\"[a-z_]+\":null,?', '', 'g'), ',}', '}') AS value FROM ev")),
     "snapshot_history": O.with_ctes(*O.HISTORY, select="SELECT * EXCLUDE (shots), CAST(to_json(shots) AS VARCHAR) AS shots FROM hs"),
     "history_snapshots": O.with_ctes(*_FULL_HISTORY, select=f"SELECT {_SNAP_TEXT}, snapshot_id FROM hen"),
     "decoded_history": O.with_ctes(*_FULL_HISTORY, select=(
@@ -265,6 +276,7 @@ QUERIES: dict[str, Query] = {
     "game_clock": q_game_clock,
     "final_snapshots": q_final_snapshots,
     "snapshot_payload": q_snapshot_payload,
+    "event_payload": q_event_payload,
     "snapshot_history": q_snapshot_history,
     "history_snapshots": q_history_snapshots,
     "decoded_history": q_decoded_history,
