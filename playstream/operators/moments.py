@@ -22,12 +22,15 @@ DEFAULT_CHUNK = 1 << 16      # ordering values per first-level chunk
 
 def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
                sums: Sequence[str] = (), maxes: Sequence[str] = (), concats: Sequence[str] = (),
-               chunk: int | None = None, next_col: str | None = None) -> DataFrame:
+               chunk: int | None = None, next_col: str | None = None,
+               totals: dict[str, str] | None = None) -> DataFrame:
     """Running sum / max / array-concat per ``keys`` in ``order`` (rows up to the current one).
 
     ``order`` is a column name or a list whose first (numeric) column is the
     one chunked on; the rest break ties.  ``next_col`` receives the next
     value of the first ordering column within the key (null on the last row).
+    ``totals`` maps a summed column to an output column holding its total
+    over the whole key.
 
     With ``chunk``: running values inside (key, chunk) partitions, chunk
     totals from a partial aggregate, a prefix over the chunk totals (one row
@@ -47,9 +50,12 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
             cols[next_col] = F.lead(order[0]).over(w)
         return cols
 
+    totals = totals or {}
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(running(w, w.rowsBetween(unb, cur)))
+        whole = Window.partitionBy(*keys)
+        return df.withColumns({**{t: F.sum(c).over(whole) for c, t in totals.items()},
+                               **running(w, w.rowsBetween(unb, cur))})
 
     kk, ck = "_key", "_chunk"
     d = df.withColumns({kk: F.struct(*keys), ck: F.floor(F.col(order[0]) / chunk)})
@@ -65,6 +71,7 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
                       *[F.sum(c).over(wpr).alias(f"_p_{c}") for c in sums],
                       *[F.max(c).over(wpr).alias(f"_p_{c}") for c in maxes],
                       *[F.flatten(F.collect_list(c).over(wpr)).alias(f"_p_{c}") for c in concats],
+                      *[F.sum(c).over(Window.partitionBy(kk)).alias(t) for c, t in totals.items()],
                       F.lead("_first").over(wp).alias("_p_next"))
     j = within.join(prev, on=[kk, ck], how="left")
     out = {}
@@ -79,23 +86,26 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
     if next_col:
         out[next_col] = F.coalesce(F.col(next_col), F.col("_p_next"))
     extra = [next_col] if next_col and next_col not in df.columns else []
-    return j.withColumns(out).select(*df.columns, *extra)
+    return j.withColumns(out).select(*df.columns, *extra, *totals.values())
 
 
 def number_events(events: DataFrame, by: Sequence[str] = ("game_id",), order: str = "event_id",
-                  tiebreak: Sequence[str] = (), out: str = "seq", chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
-    """1-based position of every event within its game, in ``order``."""
+                  tiebreak: Sequence[str] = (), out: str = "seq", total: str | None = "n_events",
+                  chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
+    """1-based position of every event within its game, in ``order``; with
+    ``total`` also the game's event count (from the same pass)."""
     d = events.withColumn(out, F.lit(1).cast("long"))
-    return cumulative(d, by, [order, *tiebreak], sums=[out], chunk=chunk)
+    return cumulative(d, by, [order, *tiebreak], sums=[out], chunk=chunk,
+                      totals={out: total} if total else None)
 
 
 def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str = "seq",
                      keys: Sequence[str] = PLAYER_KEYS, game: str = "game_id", shots: bool = True,
-                     chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
+                     chunk: int | None = DEFAULT_CHUNK, total: str = "n_events") -> DataFrame:
     """Cumulative player statistics at every boundary of ``every`` events of a game (ST10).
 
-    ``credits`` carry ``seq``, the event's position among the game's events
-    (:func:`number_events`).  Snapshot ``k`` covers events ``1 .. k*every``
+    ``credits`` carry ``seq``, the event's position among the game's events,
+    and ``n_events``, the game's event count (both from :func:`number_events`).  Snapshot ``k`` covers events ``1 .. k*every``
     (the last one the rest).  A player appears from the snapshot of their
     first credit on and is carried forward while silent.  Output: the
     columns of :func:`player_stats` plus ``snapshot_id``.
@@ -111,13 +121,18 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     aggs.append(latest_by("event_id", "quarter", "clock").alias("latest"))
     if shots:
         aggs.append(F.collect_list(shot_entries()).alias("_shots"))
+    has_total = total in credits.columns
+    if has_total:
+        # the game's last snapshot travels with every credit: no per-game join
+        aggs.append(F.max(F.ceil(F.col(total) / every)).alias("_last"))
     per_bucket = c.groupBy(*keys, "snapshot_id").agg(*aggs)
     run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS, maxes=["latest"],
                      concats=["_shots"] if shots else [], chunk=chunk, next_col="_next")
-    # branch after the per-bucket shuffle, so both branches share it
-    last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
-    out = (run.join(last, on=game, how="left")
-              .withColumn("snapshot_id", F.explode(F.sequence(
+    if not has_total:
+        # branch after the per-bucket shuffle, so both branches share it
+        last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
+        run = run.join(last, on=game, how="left")
+    out = (run.withColumn("snapshot_id", F.explode(F.sequence(
                   F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last")))))
               .withColumn("fg_pct", fg_pct()))
     cols = [*keys, *STAT_COUNTERS]

@@ -31,7 +31,7 @@ def final_snapshots(events: DataFrame) -> DataFrame:
 def numbered_credits(events: DataFrame, chunk: int | None = None) -> DataFrame:
     """Credit rows carrying the event's position within its game."""
     kw = {} if chunk is None else {"chunk": chunk}
-    return player_credits(number_events(events, **kw), keep=["seq"])
+    return player_credits(number_events(events, **kw), keep=["seq", "n_events"])
 
 
 def history_snapshots(events: DataFrame, every: int = 30, chunk: int | None = None,

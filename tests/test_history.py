@@ -16,7 +16,7 @@ def _rows(df):
 def test_chunked_equals_single_level(spark):
     ev = events_of(spark, SF0001)
     a = snapshot_history(player_credits(number_events(ev, chunk=None), keep=["seq"]), chunk=None)
-    b = snapshot_history(player_credits(number_events(ev, chunk=37), keep=["seq"]), chunk=3)
+    b = snapshot_history(player_credits(number_events(ev, chunk=37), keep=["seq", "n_events"]), chunk=3)
     assert _rows(a) == _rows(b)
 
 
@@ -44,6 +44,7 @@ def test_history_equals_replay(spark):
 
 def test_numbering_is_dense(spark):
     ev = number_events(events_of(spark, SF0001), chunk=64)
-    pdf = ev.select("game_id", "event_id", "seq").toPandas().sort_values(["game_id", "event_id"])
+    pdf = ev.select("game_id", "event_id", "seq", "n_events").toPandas().sort_values(["game_id", "event_id"])
     for _, g in pdf.groupby("game_id"):
         assert list(g.seq) == list(range(1, len(g) + 1))
+        assert set(g.n_events) == {len(g)}
