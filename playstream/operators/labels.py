@@ -68,5 +68,5 @@ def training_set(snapshots: DataFrame, dedupe_keys: Sequence[str] = ("game_id",
                  scale: int | None = None) -> DataFrame:
     """Dedupe -> numeric fill -> win label -> team-normalised efficiency -> MVP label (M7)."""
     d = fill_numeric(dedupe_moments(snapshots, dedupe_keys))
-    d = share_of_total(d, "efficiency", TEAM_MOMENT, "efficiency_norm", scale=scale)
+    d = share_of_total(d, "efficiency", TEAM_MOMENT, "efficiency_norm", scale=scale, exact_scale=2)
     return add_labels(d)

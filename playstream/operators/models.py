@@ -71,7 +71,8 @@ def score_win(df: DataFrame, model: PipelineModel, out: str = "win_prob") -> Dat
 
 def score_mvp(df: DataFrame, model: PipelineModel) -> DataFrame:
     """MVP probability and its share of the game's total at that moment, x100 (M9)."""
-    d = share_of_total(df, "efficiency", ("game_id", "team_code", "seconds_remaining"), "efficiency_norm")
+    d = share_of_total(df, "efficiency", ("game_id", "team_code", "seconds_remaining"), "efficiency_norm",
+                       exact_scale=2)
     d = model.transform(d).withColumn("mvp_prob", positive_prob("probability")) \
         .drop(*_ML_COLS, "features_mvp", "efficiency_norm")
     return share_of_total(d, "mvp_prob", ("game_id", "seconds_remaining"), "mvp_share", percent=True)

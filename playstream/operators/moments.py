@@ -162,12 +162,20 @@ def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name
 
 
 def share_of_total(df: DataFrame, value: str, by: Sequence[str], out: str,
-                   scale: int | None = None, percent: bool = False) -> DataFrame:
+                   scale: int | None = None, percent: bool = False,
+                   exact_scale: int | None = None) -> DataFrame:
     """``value / sum(value) over by`` (0.0 when the total is not positive).
 
-    ``scale`` rounds the ratio; ``percent`` multiplies it by 100.  The window
-    partition is one moment of one team or game -- tens of rows.
+    ``scale`` rounds the ratio; ``percent`` multiplies it by 100.
+    ``exact_scale`` sums a value that has at most that many decimal places
+    as a DECIMAL, so the total is exact and independent of summation order
+    (e.g. efficiency, defined with two places).  The window partition is one
+    moment of one team or game -- tens of rows.
     """
-    total = F.sum(value).over(Window.partitionBy(*by))
-    r = safe_ratio(F.col(value), total, scale)
+    v = F.col(value)
+    if exact_scale is not None:
+        total = F.sum(v.cast(f"decimal(30,{exact_scale})")).over(Window.partitionBy(*by)).cast("double")
+    else:
+        total = F.sum(v).over(Window.partitionBy(*by))
+    r = safe_ratio(v, total, scale)
     return df.withColumn(out, r * 100 if percent else r)

@@ -141,14 +141,14 @@ def q_team_efficiency_share(spark, sf_dir):
     """Efficiency share of the team at each moment."""
     d = dedupe_moments(_history_enriched(spark, sf_dir))
     return _shots_text(share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
-                                      "efficiency_share"))
+                                      "efficiency_share", exact_scale=2))
 
 
 def q_team_efficiency_share_rounded(spark, sf_dir):
     """The training copy of the share, rounded to 4 places."""
     d = dedupe_moments(_history_enriched(spark, sf_dir))
     return _shots_text(share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
-                                      "efficiency_share", scale=4))
+                                      "efficiency_share", scale=4, exact_scale=2))
 
 
 def q_game_points_share(spark, sf_dir):
@@ -237,11 +237,11 @@ ORACLE = {
     "training_set": O.with_ctes(*_FULL_HISTORY, O.DEDUP, O.TRAIN, select=(
         f"SELECT {_SNAP_TEXT}, snapshot_id, final_diff, label_win, efficiency_norm, max_game_eff, label_mvp FROM tr")),
     "team_efficiency_share": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN sum(efficiency) OVER w > 0 THEN efficiency / sum(efficiency) OVER w "
+        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) "
         "ELSE CAST(0.0 AS DOUBLE) END AS efficiency_share FROM dd "
         "WINDOW w AS (PARTITION BY game_id, team_code, seconds_remaining)")),
     "team_efficiency_share_rounded": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN sum(efficiency) OVER w > 0 THEN round(efficiency / sum(efficiency) OVER w, 4) "
+        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN round(efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE), 4) "
         "ELSE CAST(0.0 AS DOUBLE) END AS efficiency_share FROM dd "
         "WINDOW w AS (PARTITION BY game_id, team_code, seconds_remaining)")),
     "game_points_share": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(

@@ -150,7 +150,8 @@ TRAIN = """fin AS (SELECT game_id, team_code, score_diff AS final_diff FROM (
   SELECT *, row_number() OVER (PARTITION BY game_id, team_code
     ORDER BY seconds_remaining ASC NULLS FIRST, snapshot_id DESC, player_name ASC NULLS FIRST) AS i FROM dd) WHERE i = 1),
 tr0 AS (SELECT d.*, f.final_diff, CASE WHEN f.final_diff > 0 THEN 1 ELSE 0 END AS label_win,
-  sum(d.efficiency) OVER (PARTITION BY d.game_id, d.team_code, d.seconds_remaining) AS tot_eff,
+  CAST(sum(CAST(d.efficiency AS DECIMAL(30,2))) OVER (PARTITION BY d.game_id, d.team_code, d.seconds_remaining)
+    AS DOUBLE) AS tot_eff,
   max(d.efficiency) OVER (PARTITION BY d.game_id) AS max_game_eff
   FROM dd d LEFT JOIN fin f ON d.game_id = f.game_id AND d.team_code = f.team_code),
 tr AS (SELECT * EXCLUDE (tot_eff),
