@@ -195,6 +195,21 @@ def q_latest_order_per_customer(spark, sf_dir):
                      F.col("latest.o_totalprice").alias("latest_totalprice")))
 
 
+def q_customer_running_spend(spark, sf_dir):
+    """Generic two-level running total (the ST10 machinery) over the star schema:
+    every customer's cumulative spend and order count in order-date order,
+    chunked by year so a customer with a huge history spreads over tasks."""
+    from playstream.operators import cumulative
+    o = (_t(spark, sf_dir, "orders")
+         .select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
+                 F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("_t"),
+                 F.col("o_totalprice").cast("decimal(18,2)").alias("running_spend"),
+                 F.lit(1).cast("long").alias("order_seq")))
+    run = cumulative(o, ["o_custkey"], ["_t", "o_orderkey"], sums=["running_spend", "order_seq"],
+                     chunk=365 * 86400)
+    return run.withColumn("running_spend", F.col("running_spend").cast("double")).drop("_t")
+
+
 # ---------------------------------------------------------------- oracle side
 
 _HEN = O.enrich_sql("hs", ["game_id", "snapshot_id"], "hen")
@@ -259,6 +274,11 @@ ORACLE = {
         "SELECT n_regionkey, n_name, round(revenue, 2) AS revenue, CASE WHEN sum(revenue) OVER w > 0 "
         "THEN round(revenue / sum(revenue) OVER w, 6) * 100 ELSE CAST(0.0 AS DOUBLE) END AS revenue_pct "
         "FROM r2 WINDOW w AS (PARTITION BY n_regionkey)"),
+    "customer_running_spend": (
+        "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, "
+        "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_spend, "
+        "count(*) OVER w AS order_seq FROM orders "
+        "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)"),
     "latest_order_per_customer": (
         "SELECT o_custkey, count(*) AS n_orders, max({'d': o_orderdate, 'k': o_orderkey, 'p': o_totalprice}).d AS latest_orderdate, "
         "max({'d': o_orderdate, 'k': o_orderkey, 'p': o_totalprice}).k AS latest_orderkey, "
@@ -289,4 +309,5 @@ QUERIES: dict[str, Query] = {
     "scored_history": q_scored_history,
     "nation_revenue_share": q_nation_revenue_share,
     "latest_order_per_customer": q_latest_order_per_customer,
+    "customer_running_spend": q_customer_running_spend,
 }
