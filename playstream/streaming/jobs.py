@@ -26,6 +26,7 @@ from playstream.schemas import SNAP_FIELDS, SNAP_MESSAGE
 from playstream.session import checkpoint_dir
 
 BatchSink = Callable[[DataFrame, int], None]
+PRUNE_LIMIT = 10000   # most game ids a merge prunes partitions by
 
 
 def _start(stream: DataFrame, mode: str, fn: BatchSink, trigger: dict | None,
@@ -65,9 +66,8 @@ def merge_stats(changed: DataFrame, table: str, game: str = "game_id",
     """Upsert changed player rows into a statistics table partitioned by game
     and return the whole current statistics of the touched games.
 
-    Only the touched games' folders are read (semi-join on the partition
-    column -> dynamic partition pruning) and rewritten (dynamic partition
-    overwrite); the merged rows are checkpointed first, so the table is never
+    Only the touched games' folders are read (a partition filter on the
+    touched ids) and rewritten (dynamic partition overwrite); the merged rows are checkpointed first, so the table is never
     read and overwritten by the same job.
     """
     spark = changed.sparkSession
@@ -76,6 +76,12 @@ def merge_stats(changed: DataFrame, table: str, game: str = "game_id",
     if _table_exists(spark, table):
         old = spark.read.schema(changed.schema).parquet(table)
         touched = changed.select(game).distinct()
+        # Static partition pruning: a trigger touches few games (its intake is
+        # capped), so fetch at most PRUNE_LIMIT+1 ids; beyond that the
+        # semi-join alone selects the rows.
+        ids = [r[0] for r in touched.limit(PRUNE_LIMIT + 1).collect()]
+        if len(ids) <= PRUNE_LIMIT:
+            old = old.filter(F.col(game).isin(ids))
         kept = (old.join(touched, on=game, how="left_semi")
                    .withColumn("_k", k).join(changed.select(k.alias("_k")), on="_k", how="left_anti")
                    .drop("_k"))
