@@ -85,8 +85,8 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
         out[c] = F.when(p.isNull(), F.col(c)).otherwise(F.concat(p, F.col(c)))
     if next_col:
         out[next_col] = F.coalesce(F.col(next_col), F.col("_p_next"))
-    extra = [next_col] if next_col and next_col not in df.columns else []
-    return j.withColumns(out).select(*df.columns, *extra, *totals.values())
+    helpers = [kk, ck, "_p_next", *[f"_p_{c}" for c in [*sums, *maxes, *concats]]]
+    return j.withColumns(out).drop(*helpers)
 
 
 def number_events(events: DataFrame, by: Sequence[str] = ("game_id",), order: str = "event_id",
@@ -147,16 +147,18 @@ def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name
                    latest: str | None = "snapshot_id") -> DataFrame:
     """One row per (game, player, team, moment) (A5).
 
-    The survivor is deterministic: the latest snapshot, then the greatest
-    remaining scalar values.  ``row_number`` over the key: a partition holds
+    The survivor is the latest snapshot (snapshot ids are unique per key in
+    snapshot data); without a snapshot column, the row with the greatest
+    scalar values.  ``row_number`` over the key: a partition holds
     the few snapshots that share one moment, never a whole game.
     ``keys`` without ``team_code`` reproduces the reference's key.
     """
     keys = list(keys)
-    scalar = [f.name for f in df.schema.fields
-              if f.name not in keys and f.dataType.typeName() not in ("array", "map", "struct")]
-    order = ([F.col(latest).desc()] if latest in scalar else []) + \
-        [F.col(c).desc() for c in scalar if c != latest]
+    if latest and latest in df.columns:
+        order = [F.col(latest).desc()]     # unique per key in snapshot data
+    else:
+        order = [F.col(f.name).desc() for f in df.schema.fields
+                 if f.name not in keys and f.dataType.typeName() not in ("array", "map", "struct")]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
