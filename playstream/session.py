@@ -11,7 +11,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  Applied only where the session has no value.
+# Settings the jobs rely on (Spark's own defaults agree); applied only where
+# the session has no value.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,16 +23,23 @@ DEFAULTS = {
 
 def get_session(master: str | None = None, app: str = "playstream",
                 shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session for tests, the bench and local runs."""
+    """Build (or reuse) a session.
+
+    With ``master`` (tests, the bench, local runs) the local settings are
+    applied.  Without it (jobs under spark-submit on a cluster) the
+    cluster's settings are kept; :data:`DEFAULTS` only fill keys that have
+    no value at all.
+    """
     b = SparkSession.builder.appName(app)
     if master:
-        b = b.master(master)
-    b = (b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-          .config("spark.driver.memory", os.environ.get("PLAYSTREAM_DRIVER_MEMORY", "8g")))
-    for k, v in DEFAULTS.items():
-        b = b.config(k, v)
+        b = (b.master(master)
+              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+              .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+              .config("spark.driver.memory", os.environ.get("PLAYSTREAM_DRIVER_MEMORY", "8g")))
     spark = b.getOrCreate()
+    for k, v in DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
