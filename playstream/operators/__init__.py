@@ -10,7 +10,7 @@ from playstream.operators.moments import (cumulative, dedupe_moments, number_eve
                                           share_of_total, snapshot_history)
 from playstream.operators.normalize import cursor_of, new_events, new_since, normalize_events
 from playstream.operators.stats import (latest_by, ordered_stats, player_stats, shot_chart,
-                                        unpack_latest)
+                                        shot_rows, unpack_latest)
 
 __all__ = [
     "decode", "encode", "fill_numeric",
@@ -20,5 +20,5 @@ __all__ = [
     "add_labels", "label_mvp", "label_win", "training_set",
     "cumulative", "dedupe_moments", "number_events", "share_of_total", "snapshot_history",
     "cursor_of", "new_events", "new_since", "normalize_events",
-    "latest_by", "ordered_stats", "player_stats", "shot_chart", "unpack_latest",
+    "latest_by", "ordered_stats", "player_stats", "shot_chart", "shot_rows", "unpack_latest",
 ]

@@ -40,10 +40,24 @@ def shot_chart(x: str = "shot_x", y: str = "shot_y", r: str = "fgm", order: str
     return shots_in_order(F.collect_list(shot_entries(x, y, r, order)))
 
 
+def shot_rows(credits: DataFrame, keys: Sequence[str] = PLAYER_KEYS) -> DataFrame:
+    """The shot chart in long format: one row per field-goal attempt
+    (keys, event_id, x, y, r).  Nothing is collected, so it scales with any
+    player's volume; :func:`shot_chart` builds the nested list for payloads."""
+    return (credits.filter(F.col("shot_x").isNotNull())
+                   .select(*keys, "event_id", F.col("shot_x").alias("x"), F.col("shot_y").alias("y"),
+                           F.col("fgm").alias("r")))
+
+
 def player_stats(credits: DataFrame, keys: Sequence[str] = PLAYER_KEYS, shots: bool = True) -> DataFrame:
     """Group credit rows by (game, player, team): nine sums, shot chart, latest
     event and field-goal percentage (A1).  Partial + final aggregation, so a
-    hot game is pre-combined on the map side before the shuffle."""
+    hot game is pre-combined on the map side before the shuffle.
+
+    The shot chart is a list per player (the payload's shape), as long as the
+    player's attempts in the game; for feeds where one player can carry an
+    unbounded share of the rows pass ``shots=False`` and use
+    :func:`shot_rows`."""
     aggs = [F.sum(c).alias(c) for c in STAT_COUNTERS]
     if shots:
         aggs.append(shot_chart().alias("shots"))
