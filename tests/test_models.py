@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from playstream.functions import positive_prob, stamp
+from playstream.functions import stamp
 from playstream.operators import shot_rows, player_credits, player_stats, training_set
 from playstream.operators.models import score_mvp, score_win, train_models, train_win
 from playstream.plans.batch import events_of, history_snapshots

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playstream.operators import decode, encode, fill_numeric, new_since, cursor_of, normalize_events
 from playstream.schemas import EVENT, SNAP_MESSAGE, SNAP_RECORD, to_reference_names
-from playstream.sinks import publish, record_snapshots, write_events, write_scores
+from playstream.sinks import publish, write_events, write_scores
 from playstream.sources import read_events, read_games, read_snapshots
 from playstream.plans.batch import events_of, final_snapshots
 from tests.conftest import SF0001

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from playstream.operators import decode, enrich, new_events, number_events
+from playstream.operators import decode, new_events, number_events
 from playstream.operators.models import train_models
 from playstream.operators.labels import training_set
 from playstream.plans.batch import events_of, final_snapshots, history_snapshots
