@@ -88,3 +88,13 @@ def test_dedupe_latest_snapshot_wins(spark):
     lab = {(r.team_code, r.snapshot_id): (r.label_mvp, r.max_game_eff)
            for r in add_labels(df.withColumn("score_diff", F.lit(1))).collect()}
     assert lab[(None, 3)] == (1, 9.0) and lab[("A", 2)] == (0, 9.0)
+
+
+def test_payload_edge(edge):
+    from playstream.operators import encode
+    msgs = {r.value.split('"player_name":"')[1].split('"')[0]: r.value
+            for r in encode(enrich(player_stats(player_credits(edge)))).collect()}
+    assert '"shots":[]' in msgs["A. Two"]                 # empty list kept
+    assert '"score_diff"' not in msgs["A. One"]           # null field omitted
+    assert '"team_score"' not in msgs["X. Ref"] and '"team_code"' not in msgs["X. Ref"]
+    assert msgs["A. One"].startswith('{"game_id":"0022500001","team_code":"AAA","team_score":3,')
