@@ -126,7 +126,10 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
         # the game's last snapshot travels with every credit: no per-game join
         aggs.append(F.max(F.ceil(F.col(total) / every)).alias("_last"))
     per_bucket = c.groupBy(*keys, "snapshot_id").agg(*aggs)
-    run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS, maxes=["latest"],
+    # ``_last`` rides along as a (constant) running max so that both branches
+    # of the two-level scan read the same aggregate and share its shuffle
+    run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS,
+                     maxes=["latest", "_last"] if has_total else ["latest"],
                      concats=["_shots"] if shots else [], chunk=chunk, next_col="_next")
     if not has_total:
         # branch after the per-bucket shuffle, so both branches share it
