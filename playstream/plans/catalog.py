@@ -133,8 +133,15 @@ def q_dedupe_moments(spark, sf_dir):
 
 
 def q_training_set(spark, sf_dir):
-    """M7 (A5, P13, M1/W4, W5, M2/W6): labelled training rows."""
-    return _shots_text(training_set(_history_enriched(spark, sf_dir)))
+    """M7 (A5, P13, M1/W4, W5, M2/W6): labelled training rows.
+
+    As in the reference's flow (history recorded to a table, then read by
+    the trainer) the history is written once -- a reliable checkpoint -- and
+    the training set is built from it: the label aggregate joins back onto
+    its input, and re-reading a written table is cheaper than recomputing
+    the history on that branch."""
+    from playstream.plans.batch import materialize
+    return _shots_text(training_set(materialize(_history_enriched(spark, sf_dir))))
 
 
 def q_team_efficiency_share(spark, sf_dir):
