@@ -105,7 +105,8 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     """Cumulative player statistics at every boundary of ``every`` events of a game (ST10).
 
     ``credits`` carry ``seq``, the event's position among the game's events,
-    and ``n_events``, the game's event count (both from :func:`number_events`).  Snapshot ``k`` covers events ``1 .. k*every``
+    and ``n_events``, the game's event count (both from
+    :func:`number_events`).  Snapshot ``k`` covers events ``1 .. k*every``
     (the last one the rest).  A player appears from the snapshot of their
     first credit on and is carried forward while silent.  Output: the
     columns of :func:`player_stats` plus ``snapshot_id``.
@@ -150,15 +151,17 @@ def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name
                    latest: str | None = "snapshot_id") -> DataFrame:
     """One row per (game, player, team, moment) (A5).
 
-    The survivor is the latest snapshot (snapshot ids are unique per key in
-    snapshot data); without a snapshot column, the row with the greatest
-    scalar values.  ``row_number`` over the key: a partition holds
+    The survivor is the latest snapshot (then the team, for keys without
+    it); without a snapshot column, the row with the greatest scalar values.  ``row_number`` over the key: a partition holds
     the few snapshots that share one moment, never a whole game.
     ``keys`` without ``team_code`` reproduces the reference's key.
     """
     keys = list(keys)
     if latest and latest in df.columns:
-        order = [F.col(latest).desc()]     # unique per key in snapshot data
+        # unique per key in snapshot data; with the reference's key (no team)
+        # equal names of both teams tie, the team breaks it
+        order = [F.col(latest).desc()] + [F.col(c).asc_nulls_last() for c in ("team_code",)
+                                          if c in df.columns and c not in keys]
     else:
         order = [F.col(f.name).desc() for f in df.schema.fields
                  if f.name not in keys and f.dataType.typeName() not in ("array", "map", "struct")]
