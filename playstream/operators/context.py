@@ -82,11 +82,7 @@ def with_game_clock(stats: DataFrame, clock: DataFrame, by: Sequence[str] = GAME
 
 def add_metrics(df: DataFrame) -> DataFrame:
     """Seconds remaining, score difference and efficiency."""
-    return df.withColumns({
-        "seconds_remaining": seconds_remaining("game_quarter", "game_clock"),
-        "score_diff": score_diff("team_score", "opp_score"),
-        "efficiency": efficiency(),
-    })
+    return df.withColumns(_metric_columns())
 
 
 def enrich_by_joins(stats: DataFrame, by: Sequence[str] = GAME) -> DataFrame:
@@ -114,12 +110,22 @@ def enrich(stats: DataFrame, by: Sequence[str] = GAME, team: str = "team_code")
         "_opps": _opponents(by, team, "team_score"),
         "_k": F.min(_clock_key(F.col("latest.quarter"), F.col("latest.clock"))).over(g),
     })
-    df = df.select("*", F.explode_outer("_opps").alias("opp_score")).withColumns({
-        "game_quarter": F.col("_k.q"), "game_clock": F.col("_k.c")})
-    return _project(add_metrics(df), by)
+    df = df.select("*", F.explode_outer("_opps").alias("opp_score"),
+                   F.col("_k.q").alias("game_quarter"), F.col("_k.c").alias("game_clock"))
+    return _project(df, by, metrics=True)
+
+
+def _metric_columns() -> dict[str, Column]:
+    return {"seconds_remaining": seconds_remaining("game_quarter", "game_clock"),
+            "score_diff": score_diff("team_score", "opp_score"),
+            "efficiency": efficiency()}
 
 
-def _project(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def _project(df: DataFrame, by: Sequence[str], metrics: bool = False) -> DataFrame:
+    """Snapshot columns in payload order (+ extra moment keys), computing the
+    metrics in the same projection when asked."""
     extra = [c for c in by if c not in SNAP_FIELDS]
-    return df.select(*SNAP_FIELDS, *extra) if "shots" in df.columns else \
-        df.select(*[c for c in SNAP_FIELDS if c != "shots"], *extra)
+    m = _metric_columns() if metrics else {}
+    has_shots = "shots" in df.columns
+    cols = [m[c].alias(c) if c in m else F.col(c) for c in SNAP_FIELDS if has_shots or c != "shots"]
+    return df.select(*cols, *extra)

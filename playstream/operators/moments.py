@@ -136,14 +136,10 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
         # branch after the per-bucket shuffle, so both branches share it
         last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
         run = run.join(last, on=game, how="left")
-    out = (run.withColumn("snapshot_id", F.explode(F.sequence(
-                  F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last")))))
-              .withColumn("fg_pct", fg_pct()))
-    cols = [*keys, *STAT_COUNTERS]
-    if shots:
-        out = out.withColumn("shots", shots_in_order(F.col("_shots")))
-        cols.append("shots")
-    return out.select(*cols, "latest", "fg_pct", "snapshot_id")
+    expand = F.explode(F.sequence(F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last"))))
+    return run.select(*keys, *STAT_COUNTERS,
+                      *([shots_in_order(F.col("_shots")).alias("shots")] if shots else []),
+                      "latest", fg_pct().alias("fg_pct"), expand.alias("snapshot_id"))
 
 
 def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name", "team_code",
