@@ -148,3 +148,22 @@ def test_update_mode_merges_touched_games(spark, tmp_path):
     per_batch = {r.snapshot_id: r.n for r in msgs.groupBy("snapshot_id")
                  .agg(F.countDistinct("game_id").alias("n")).collect()}
     assert per_batch[0] == 1 and per_batch[3] == 1
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    """ST3: the statistics stream on a processing-time trigger, watched, then stopped."""
+    feed, n = _feed(spark, str(tmp_path), every=250)
+    out = os.path.join(str(tmp_path), "msgs_pt")
+    q = run_stats_stream(stream_events(spark, feed), batch_writer("json", out),
+                         trigger={"processingTime": "1 second"},
+                         checkpoint=os.path.join(str(tmp_path), "ck_pt"))
+    try:
+        q.processAllAvailable()
+        seen = []
+        watch(q, lambda b, rows: seen.append(rows), poll=0.5, max_wait=2)
+    finally:
+        q.stop()
+    got = decode(spark.read.json(out), SNAP_MESSAGE)
+    final = final_snapshots(events_of(spark, SF0001)).filter(F.col("game_id") == GAME)
+    last = got.agg(F.max("snapshot_id")).first()[0]
+    assert got.filter(F.col("snapshot_id") == last).count() == final.count()
