@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playstream.functions import display_pct, positive_prob, stamp
 from playstream.operators.moments import dedupe_moments, share_of_total
-from playstream.schemas import SNAP_FIELDS
+from playstream.schemas import SNAP_FIELDS, to_reference_names
 
 # Feature lists and model sizes.
 WIN_FEATURES = ["score_diff", "seconds_remaining"]
@@ -86,7 +86,10 @@ def score_columns(df: DataFrame) -> DataFrame:
 
 
 def score(df: DataFrame, win: PipelineModel, mvp: PipelineModel,
-          dedupe_keys=("game_id", "player_name", "team_code", "seconds_remaining")) -> DataFrame:
-    """Dedupe -> win probability -> MVP share -> 21 scored columns."""
+          dedupe_keys=("game_id", "player_name", "team_code", "seconds_remaining"),
+          reference_names: bool = False) -> DataFrame:
+    """Dedupe -> win probability -> MVP share -> 21 scored columns.
+    ``reference_names`` renames the columns to the reference's document fields."""
     d = dedupe_moments(df, dedupe_keys, latest="snapshot_id" if "snapshot_id" in df.columns else None)
-    return score_columns(score_mvp(score_win(d, win), mvp))
+    out = score_columns(score_mvp(score_win(d, win), mvp))
+    return to_reference_names(out) if reference_names else out

@@ -81,7 +81,8 @@ def score_stream(spark, args):
     win = load_model(os.path.join(args.models, "win_model"))
     mvp = load_model(os.path.join(args.models, "mvp_model"))
     q = run_score_stream(_messages(spark, args), win, mvp, _sink(args), trigger=_trigger(args, 3),
-                         checkpoint=args.checkpoint)
+                         checkpoint=args.checkpoint,
+                         reference_names=getattr(args, "reference_names", False))
     watch(q) if not args.once else q.awaitTermination()
 
 
@@ -119,6 +120,8 @@ def main(argv=None) -> None:
     p.add_argument("--messages", required=True)
     p.add_argument("--models", required=True)
     p.add_argument("--out")
+    p.add_argument("--reference-names", action="store_true",
+                   help="document fields named as the reference's index documents")
     p = sub.add_parser("history")
     p.add_argument("--games", nargs="+", required=True)
     p.add_argument("--out", required=True)

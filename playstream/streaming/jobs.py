@@ -137,7 +137,8 @@ def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
     return _start(snapshot_stream(events), mode, fn, trigger, checkpoint, name)
 
 
-def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink) -> BatchSink:
+def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
+                  reference_names: bool = False) -> BatchSink:
     """Micro-batch scoring (ST7, L7): skip empty batches without a full count,
     persist once, score, write, release the same handle."""
     def fn(batch_df: DataFrame, batch_id: int) -> None:
@@ -145,7 +146,7 @@ def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink) -> Ba
             return
         snaps = batch_df.persist()
         try:
-            sink(score(snaps, win, mvp), batch_id)
+            sink(score(snaps, win, mvp, reference_names=reference_names), batch_id)
         finally:
             snaps.unpersist()
     return fn
@@ -153,10 +154,10 @@ def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink) -> Ba
 
 def run_score_stream(messages: DataFrame, win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
                      value: str = "value", trigger: dict | None = None, checkpoint: str | None = None,
-                     name: str | None = None) -> StreamingQuery:
+                     name: str | None = None, reference_names: bool = False) -> StreamingQuery:
     """Start hop 2 (ST2, ST7): decode snapshot messages, fill numeric nulls, score."""
     snaps = fill_numeric(decode(messages, SNAP_MESSAGE, value))
-    return _start(snaps, "append", foreach_score(win, mvp, sink), trigger, checkpoint, name)
+    return _start(snaps, "append", foreach_score(win, mvp, sink, reference_names), trigger, checkpoint, name)
 
 
 def watch(query: StreamingQuery, on_progress: Callable[[int, int], None] | None = None,

@@ -48,3 +48,11 @@ def test_shot_rows_match_chart(spark):
     rows = shot_rows(cr).groupBy("game_id", "player_name", "team_code").count()
     chart = player_stats(cr).select("game_id", "player_name", "team_code", F.size("shots").alias("count"))
     assert chart.filter("count > 0").exceptAll(rows).count() == 0
+
+
+def test_reference_field_names(fitted):
+    from playstream.operators.models import score
+    hist, win, mvp = fitted
+    cols = score(hist, win, mvp, reference_names=True).columns
+    assert cols[:4] == ["@timestamp", "Partita", "Squadra", "Punteggio_Squadra"]
+    assert cols[-3:] == ["Posizioni", "Win%", "MVP%"] and len(cols) == 21
