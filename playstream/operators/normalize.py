@@ -56,6 +56,18 @@ def new_since(actions: DataFrame, cursor: DataFrame, game: str = "game_id",
             .drop("_cursor"))
 
 
-def new_events(sdf: DataFrame, keys=("game_id", "event_id")) -> DataFrame:
-    """Streaming form of L6: a re-read feed adds no rows (keys kept in state)."""
-    return sdf.dropDuplicates(list(keys))
+def new_events(sdf: DataFrame, keys=("game_id", "event_id"), within: str | None = None) -> DataFrame:
+    """Streaming form of L6: a re-read feed adds no rows.
+
+    Default: exact, every key is kept in state for the life of the query.
+    ``within`` (e.g. ``"2 hours"``) bounds the state: events carry no event
+    time, so the arrival (processing) time is the watermark column and a key
+    is forgotten once the watermark passes it; a replay within that delay is
+    still dropped.
+    """
+    if within is None:
+        return sdf.dropDuplicates(list(keys))
+    return (sdf.withColumn("_arrival", F.current_timestamp())
+               .withWatermark("_arrival", within)
+               .dropDuplicatesWithinWatermark(list(keys))
+               .drop("_arrival"))

@@ -115,6 +115,11 @@ def test_replayed_feed_adds_no_rows(spark, tmp_path):
     q.awaitTermination()
     total = spark.sql("select count(*) from dedup_feed").first()[0]
     assert total == events_of(spark, SF0001).filter(F.col("game_id") == GAME).count()
+    # bounded state: same result while the replay arrives within the delay
+    q = (new_events(src, within="1 hour").writeStream.format("memory").queryName("dedup_feed_bounded")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("select count(*) from dedup_feed_bounded").first()[0] == total
 
 
 def test_update_mode_merges_touched_games(spark, tmp_path):
