@@ -95,3 +95,10 @@ def test_partitioned_snapshots_keep_string_ids(spark, scratch):
     idx = spark.read.parquet(os.path.join(scratch, "idx"))
     assert idx.select("doc_id").distinct().count() == idx.count()
     assert "Partita" in to_reference_names(idx).columns
+
+
+def test_missing_game_id_defaults(spark, scratch):
+    p = os.path.join(scratch, "noid.json")
+    json.dump({"game": {"actions": ACTIONS[:2]}}, open(p, "w"))
+    raw = read_games(spark, p)
+    assert [r.game_id for r in raw.collect()] == ["UNKNOWN_GAME", "UNKNOWN_GAME"]
