@@ -5,6 +5,7 @@ from __future__ import annotations
 from playstream.llm.decontaminate import SQL as OP8, op8_benchmark_decontamination
 from playstream.llm.html import op4_html_extraction
 from playstream.llm.licenses import op5_license_scan
+from playstream.llm.lines import op9_line_dedup
 from playstream.llm.packing import op7_best_fit_packing
 from playstream.llm.quality import op1_quality_classifier
 from playstream.llm.rules import op10_quality_rules
@@ -13,5 +14,5 @@ from playstream.llm.simhash import op2_simhash_near_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_simhash_near_dedup, op3_secret_scan, op4_html_extraction, op5_license_scan,
-    op7_best_fit_packing, op8_benchmark_decontamination, op10_quality_rules)}
+    op7_best_fit_packing, op8_benchmark_decontamination, op9_line_dedup, op10_quality_rules)}
 ORACLE = {"op8_benchmark_decontamination": OP8}
