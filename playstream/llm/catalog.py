@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from playstream.llm.decontaminate import SQL as OP8, op8_benchmark_decontamination
 from playstream.llm.html import op4_html_extraction
 from playstream.llm.licenses import op5_license_scan
@@ -15,4 +16,7 @@ from playstream.llm.simhash import op2_simhash_near_dedup
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_simhash_near_dedup, op3_secret_scan, op4_html_extraction, op5_license_scan,
     op7_best_fit_packing, op8_benchmark_decontamination, op9_line_dedup, op10_quality_rules)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE = {"op8_benchmark_decontamination": OP8}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -70,12 +70,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def same(a: Column, b: Column) -> Column:
-    """Equality of keys in a join, null equal to null."""
-    return F.struct(a) == F.struct(b)
-
-
 def row_key() -> Column:
     """Tells rows of ``documents`` apart by doc_id and text; rows alike in both
     get the same result from every operator, so they may share a key."""
     return F.struct(F.col("doc_id"), F.xxhash64("doc_id", "text").alias("h"))
+
+
+def rows_with(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` whose key is (``left_anti``: is not) among ``keys(doc_id, h)``, all columns kept."""
+    k = keys.select(F.struct("doc_id", "h").alias("key__"))
+    return docs.join(k, F.struct(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"])) == k["key__"], how)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import as_bytes, row_key, same, save, slices, table
+from playstream.llm.common import as_bytes, row_key, rows_with, save, slices, table
 
 WINDOW = 10          # words of a window
 SHINGLE = 3          # words of a shingle; items of fewer words are one shingle
@@ -127,14 +127,8 @@ def _covered(spans: Column) -> Column:
         F.greatest(a["stop"], s["stop"]).alias("stop")), lambda a: a["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` per row of ``docs``.
-
-    * null and empty texts have no words and are clean; so is every document
-      of an empty benchmark; items without a word have no window.
-    * items that share an id count once; an item with a null id hits words but
-      is not listed; repeated documents get equal rows.
-    * extra columns of either table are ignored."""
+def _found(docs: DataFrame, items: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' word counts, the windows, and the verified hits ``(doc_id, h, start, stop, window)``."""
     windows = save(_windows(items, width))
     least = {r.k: r.n for r in windows.groupBy("k").agg(F.min(F.size("hashes")).alias("n")).collect()}  # three rows at most
     segments = save(_segments(docs, _bitmap(windows), least))
@@ -152,13 +146,30 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
                 .where((first >= 0) & (first + size <= F.size("words")))
                 .where(F.slice("words", first + 1, size) == F.col("window"))
                 .select("doc_id", "h", (F.col("start") + first).alias("start"), (F.col("start") + first + size).alias("stop"), "window"))
+    return segments.select("doc_id", "h", "n_words"), windows, hits
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, all columns kept."""
+    return rows_with(docs, _found(docs, items, width)[2], "left_anti")
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` per row of ``docs``.
+
+    * null and empty texts have no words and are clean; so is every document
+      of an empty benchmark; items without a word have no window.
+    * items that share an id count once; an item with a null id hits words but
+      is not listed; repeated documents get equal rows.
+    * extra columns of either table are ignored."""
+    counted, windows, hits = _found(docs, items, width)
     spans = (hits.groupBy(F.struct("doc_id", "h").alias("key"))
              .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")).select("key", _covered(F.col("spans")).alias("hit")))
     names = (hits.select("doc_id", "h", "window").distinct()
              .join(windows.select("item_id", F.col("words").alias("window")).distinct(), "window")
              .groupBy(F.struct("doc_id", "h").alias("key")).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     found = spans.join(names, "key").select(F.col("key").alias("found"), "hit", "items")
-    rows = segments.select("doc_id", "n_words", F.struct("doc_id", "h").alias("key"))
+    rows = counted.select("doc_id", "n_words", F.struct("doc_id", "h").alias("key"))
     none = F.array().cast("array<string>")
     return (rows.join(found, rows["key"] == found["found"], "left")
             .select("doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import as_bytes, save, slices, table
+from playstream.llm.common import as_bytes, row_key, rows_with, save, slices, table
 
 FOLDS = 5            # rows of fold 0 are never learnt from
 THRESHOLD = 0.3      # least score that is kept
@@ -44,14 +44,14 @@ def statistics(text: bytes) -> list[float]:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``(doc_id, stats)`` of whole texts; null counts as empty."""
+    """``(doc_id, h, stats)`` of whole texts; null counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             stats = pa.array([statistics(t) for t in as_bytes(b.column("text"))], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), stats], ["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), stats], ["doc_id", "h", "stats"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, stats array<double>")
+    return docs.select("doc_id", row_key()["h"].alias("h"), "text").mapInArrow(run, f"doc_id {kind}, h long, stats array<double>")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -94,6 +94,22 @@ def fit(samples: DataFrame, shrink: float = SHRINK) -> Model | None:
                  np.array([np.log(n[k] / n.sum()) - np.log(np.diag(f)).sum() for k, f in enumerate(lower)]))
 
 
+def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, h, score)`` per row, by the model learnt from these rows and labels."""
+    stats = save(measured(docs))
+    known = labels.select(F.col("doc_id").alias("id"), "quality").where(~held_out(F.col("id")))
+    model = fit(stats.join(known, F.col("doc_id") == F.col("id")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array(b.column("stats").values).reshape(b.num_rows, -1) if b.num_rows else np.zeros((0, len(STATS)))
+            score = model.scores(x) if model else np.full(b.num_rows, 0.5)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(score)], ["doc_id", "h", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stats.mapInArrow(run, f"doc_id {kind}, h long, score double")
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs(doc_id, text)``.
 
@@ -103,19 +119,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     * null and empty texts are scored as texts of no words; a null id is
       scored but never learnt from; repeated rows get equal scores; other
       columns are ignored; an empty table gives an empty table."""
-    stats = save(measured(docs))
-    known = labels.select(F.col("doc_id").alias("id"), "quality").where(~held_out(F.col("id")))
-    model = fit(stats.join(known, F.col("doc_id") == F.col("id")))
+    return _scored(docs, labels).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = np.array(b.column("stats").values).reshape(b.num_rows, -1) if b.num_rows else np.zeros((0, len(STATS)))
-            score = model.scores(x) if model else np.full(b.num_rows, 0.5)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = stats.mapInArrow(run, f"doc_id {kind}, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns kept."""
+    return rows_with(docs, _scored(docs, labels).where(F.col("score") < threshold), "left_anti")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import as_bytes, save, slices, table
+from playstream.llm.common import as_bytes, row_key, rows_with, save, slices, table
 from playstream.llm.components import components, forest
 
 PIVOTS = 16          # reference fingerprints
@@ -62,15 +62,14 @@ def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` with fp as a signed long; a null text counts as empty."""
+    """``(doc_id, h, fp)`` with fp as a signed long; a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = [_signed(fingerprint(t, words)) for t in as_bytes(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(fp, pa.int64())], ["doc_id", "h", "fp"])
 
-    ids = docs.select("doc_id", "text")
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(run, f"doc_id {kind}, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", row_key()["h"].alias("h"), "text").mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
 def _links(bits: int):
@@ -121,6 +120,15 @@ def links(classes: DataFrame, bits: int = 3, chunk: int = CHUNK) -> DataFrame:
     return lone.unionByName(own).unionByName(across).mapInArrow(_links(bits), "a long, b long")
 
 
+def _rooted(docs: DataFrame, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and ``(fp, first, n_links, root)`` of every class."""
+    fps = save(fingerprints(docs, words))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    classes = save(fps.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n_links")))
+    parts = components(links(classes.select("fp"), bits)).withColumnRenamed("node", "fp")
+    return fps, classes.join(parts, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
     """``(doc_id, fingerprint, component_id, n_links)`` for every row of ``docs(doc_id, text)``.
 
@@ -130,15 +138,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame
       repeated rows stay; an empty table gives an empty table; other columns
       are ignored.
     * n_links: rows with the same fingerprint, itself included."""
-    fps = save(fingerprints(docs, words))
-    classes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_links")))
-    parts = components(links(classes.select("fp"), bits))
-    rooted = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    fps, rooted = _rooted(docs, words, bits)
+    ids = rooted.groupBy("root").agg(F.min("first")["doc_id"].alias("component_id"))
     labels = rooted.join(ids, "root").select("fp", "component_id", "n_links")
     return fps.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+def one_of_each(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
+    """One row of ``docs`` for each component - that of the smallest doc_id, a
+    null one last - with all columns."""
+    _, rooted = _rooted(docs, words, bits)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.h")
+    key = F.struct("doc_id", F.xxhash64("doc_id", "text"))
+    return rows_with(docs, kept).withColumn("key__", key).dropDuplicates(["key__"]).drop("key__")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
