@@ -12,11 +12,12 @@ from playstream.llm.quality import op1_quality_classifier
 from playstream.llm.rules import op10_quality_rules
 from playstream.llm.secrets import op3_secret_scan
 from playstream.llm.simhash import op2_simhash_near_dedup
+from playstream.llm.substrings import SQL as OP6, op6_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_simhash_near_dedup, op3_secret_scan, op4_html_extraction, op5_license_scan,
-    op7_best_fit_packing, op8_benchmark_decontamination, op9_line_dedup, op10_quality_rules)}
+    op6_suffix_array_dedup, op7_best_fit_packing, op8_benchmark_decontamination, op9_line_dedup, op10_quality_rules)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLE = {"op8_benchmark_decontamination": OP8}
+ORACLE = {"op6_suffix_array_dedup": OP6, "op8_benchmark_decontamination": OP8}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -80,3 +81,10 @@ def rows_with(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataF
     """The rows of ``docs`` whose key is (``left_anti``: is not) among ``keys(doc_id, h)``, all columns kept."""
     k = keys.select(F.struct("doc_id", "h").alias("key__"))
     return docs.join(k, F.struct(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"])) == k["key__"], how)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that nothing refers to any more, now
+    rather than when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
