@@ -29,14 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playstream.llm.bitmap import holds, shared
 from playstream.llm.common import as_bytes, release, row_key, save, slices, table
 
 MIN = 50                   # bytes of a repeated string
 SAMPLE = 16                # bytes of a cover sample
 _SPAN = MIN - SAMPLE + 1   # samples in a window
-SLOT_BITS = 27             # the bitmap of shared ranks has 2 ** 27 bits (16 MB), whatever the input's size
-_REST_BITS = 40            # bits of a rank that are compared within a bucket
-_FLUSH = 1 << 21           # samples that a task gathers before it writes their buckets
 SORTED_ROWS = 20000        # most contexts of one rank that a task sorts
 _BATCH_ROWS = 4096
 
@@ -95,60 +93,15 @@ def cover(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, rank[sample[k[first]]], lo - begins[text], np.diff(np.append(first, len(at)))
 
 
-def _bucketed(bits: int):
-    """The ranks of a task's texts by bucket, each once, or twice if two texts have it."""
-    def flush(ranks: list[np.ndarray], texts: list[np.ndarray]) -> pa.RecordBatch:
-        rank, text = np.concatenate(ranks), np.concatenate(texts)
-        order = np.lexsort((text, rank))
-        rank, text = rank[order], text[order]
-        new = np.concatenate([[True], rank[1:] != rank[:-1]])
-        again = ~new & np.concatenate([[False], text[1:] != text[:-1]])
-        again &= np.concatenate([[False], new[:-1]]) | ~np.concatenate([[False], again[:-1]])
-        rank = rank[new | again]
-        rest = (rank >> np.uint64(64 - bits - _REST_BITS)) & np.uint64((1 << _REST_BITS) - 1)
-        cut = np.searchsorted(rank >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-        used = np.flatnonzero(cut[1:] > cut[:-1])
-        low, high = rest.astype(np.uint32), (rest >> np.uint64(32)).astype(np.uint8)
-        blobs = [low[cut[i]:cut[i + 1]].tobytes() + high[cut[i]:cut[i + 1]].tobytes() for i in used]
-        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "ranks"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, texts, have, seen = [], [], 0, 0
-        for b in slices(batches, 64):
-            text, rank, _, _ = cover(as_bytes(b.column("text")))
-            ranks.append(rank)
-            texts.append(text + seen)
-            seen += b.num_rows
-            have += len(rank)
-            if have >= _FLUSH:
-                yield flush(ranks, texts)
-                ranks, texts, have = [], [], 0
-        if have:
-            yield flush(ranks, texts)
-    return run
-
-
-def _shared_bitmap(docs: DataFrame) -> np.ndarray:
-    """Packed bits by the first ``SLOT_BITS`` bits of the ranks that two documents have."""
-    parts = docs.select("text").rdd.getNumPartitions()
-    bits = min(20, max(8, (4 * parts - 1).bit_length()))  # more buckets for larger inputs
-
-    def shared(group: pa.Table) -> pa.Table:
-        values = []
-        for blob in group.column("ranks").to_pylist():
-            n = len(blob) // 5
-            values.append(np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
-        v = np.sort(np.concatenate(values))
-        flags = np.zeros(1 << (SLOT_BITS - bits), bool)
-        flags[(v[1:][v[1:] == v[:-1]] >> np.uint64(_REST_BITS - SLOT_BITS + bits)).astype(np.int64)] = True
-        return pa.table({"bucket": group.column("bucket").slice(0, 1), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    out = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
-    size = 1 << (SLOT_BITS - 3 - bits)
-    rows = docs.select("text").mapInArrow(_bucketed(bits), "bucket int, ranks binary").groupBy("bucket").applyInArrow(shared, "bucket int, flags binary")
-    for row in rows.toLocalIterator():
-        out[row.bucket * size:(row.bucket + 1) * size] = np.frombuffer(row.flags, np.uint8)
-    return out
+def _ranks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ranks of a batch's texts, and the number (h) of the document each is from."""
+    ranks, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for b in slices([batch], 64):
+        texts = as_bytes(b.column("text"))
+        text, rank, _, _ = cover(texts)
+        ranks.append(rank)
+        owners.append(b.column("h").to_numpy().view(np.uint64)[text])
+    return np.concatenate(ranks), np.concatenate(owners)
 
 
 def _contexts(docs: DataFrame, bitmap) -> DataFrame:
@@ -158,8 +111,7 @@ def _contexts(docs: DataFrame, bitmap) -> DataFrame:
         for b in slices(batches, 64):
             texts = as_bytes(b.column("text"))
             text, rank, lo, n = cover(texts)
-            slot = (rank >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            keep = (flags[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+            keep = holds(flags, rank)
             text, rank, lo, n = text[keep], rank[keep], lo[keep], n[keep]
             digest = xxhash.xxh3_64_intdigest
             views = list(map(memoryview, texts))
@@ -253,7 +205,7 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """``(doc_id, h, start, stop)``: byte ranges of ``docs(doc_id, h, text)`` that go; they may overlap."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(_shared_bitmap(docs).tobytes())  # 16 MB
+    bitmap = spark.sparkContext.broadcast(shared(docs.select("h", "text"), _ranks).tobytes())  # 16 MB
     kept = save(_contexts(docs, bitmap))
     release(spark)
     occurrences = kept.select("doc_id", "h", F.explode(F.arrays_zip("rank", "context", "lo", "n")).alias("c")).select("doc_id", "h", "c.*")
