@@ -52,7 +52,8 @@ def batch_writer(fmt: str, path: str | None = None, mode: str = "append",
         target, m = path, mode
         if path is not None and idempotent:
             target, m = f"{path.rstrip('/')}/batch={batch_id}", "overwrite"
-        w = df.write.format(fmt).mode(m).options(**options)
+        out = df.repartition(*partition_by) if partition_by else df
+        w = out.write.format(fmt).mode(m).options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(target) if target is not None else w.save()
@@ -63,8 +64,9 @@ def record_snapshots(sdf: DataFrame, path: str, checkpoint: str, partition_by: S
                      trigger: dict | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Streaming recorder: append rows to a table partitioned by game, with a
     durable checkpoint so a restart resumes where it stopped (K5, ST2, ST5)."""
-    w = (sdf.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-            .partitionBy(*partition_by))
+    clustered = sdf.repartition(*partition_by)   # one file a game and trigger
+    w = (clustered.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+                  .partitionBy(*partition_by))
     if trigger:
         w = w.trigger(**trigger)
     return w.start(path)

@@ -18,15 +18,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from playstream.operators import decode, encode, enrich, fill_numeric, player_credits, player_stats
 from playstream.operators.models import score
 from playstream.operators.stats import PLAYER_KEYS
 from playstream.schemas import SNAP_FIELDS, SNAP_MESSAGE
-from playstream.session import checkpoint_dir
 
 BatchSink = Callable[[DataFrame, int], None]
-PRUNE_LIMIT = 10000   # most game ids a merge prunes partitions by
+BUCKETS = 256   # folders of a statistics table, by hash of the game; fixed for a table's life
 
 
 def _start(stream: DataFrame, mode: str, fn: BatchSink, trigger: dict | None,
@@ -41,15 +41,18 @@ def _start(stream: DataFrame, mode: str, fn: BatchSink, trigger: dict | None,
     return w.start()
 
 
-def foreach_enrich(sink: BatchSink, key: str = "game_id") -> BatchSink:
+def foreach_enrich(sink: BatchSink, key: str = "game_id", reference_names: bool = False) -> BatchSink:
     """Micro-batch enrichment (ST6): persist the emitted statistics, add team,
     opponent and clock context, encode as messages keyed by game (with the
     batch id as ``snapshot_id``) and hand them to ``sink``."""
     def fn(batch_df: DataFrame, batch_id: int) -> None:
         stats = batch_df.persist()
         try:
+            if stats.isEmpty():   # also fills the cache: the state is read once
+                return
             snaps = enrich(stats).withColumn("snapshot_id", F.lit(batch_id).cast("long"))
-            sink(encode(snaps, key, [*SNAP_FIELDS, "snapshot_id"]), batch_id)
+            sink(encode(snaps, key, [c for c in (*SNAP_FIELDS, "snapshot_id") if c in snaps.columns],
+                        reference_names), batch_id)
         finally:
             stats.unpersist()
     return fn
@@ -61,64 +64,74 @@ def _table_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def merge_stats(changed: DataFrame, table: str, game: str = "game_id",
-                keys: tuple[str, ...] = PLAYER_KEYS) -> DataFrame:
-    """Upsert changed player rows into a statistics table partitioned by game
-    and return the whole current statistics of the touched games.
+def read_stats(spark, table: str, schema, before: int | None = None) -> DataFrame:
+    """All versions in a statistics table, with their ``batch`` and ``bucket``;
+    only those of batches before ``before`` if given."""
+    versions = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType()), StructField("bucket", IntegerType())])) \
+        .option("basePath", table).parquet(table)
+    return versions if before is None else versions.where(F.col("batch") < before)
 
-    Only the touched games' folders are read (a partition filter on the
-    touched ids) and rewritten (dynamic partition overwrite); the merged rows are checkpointed first, so the table is never
-    read and overwritten by the same job.
-    """
+
+def latest_stats(versions: DataFrame, keys: tuple[str, ...] = PLAYER_KEYS) -> DataFrame:
+    """Each player's newest version; null keys are keys like any other."""
+    cols = [c for c in versions.columns if c not in ("batch", "bucket")]
+    return (versions.groupBy(F.struct(*keys).alias("_k")).agg(F.max_by(F.struct(*cols), "batch").alias("_v"))
+            .select("_v.*"))
+
+
+def merge_stats(changed: DataFrame, table: str, batch_id: int, game: str = "game_id",
+                keys: tuple[str, ...] = PLAYER_KEYS) -> DataFrame:
+    """Add changed player rows to an append-only statistics table and return
+    the whole current statistics of the touched games.
+
+    Batch ``n`` writes its rows to the table's folder ``batch=n``, dealt into
+    a fixed number of buckets by a null-safe hash of the game.  A batch that
+    runs again replaces its own folder only and reads only batches before it,
+    so neither a crash nor a re-run loses or doubles rows; nothing is ever
+    rewritten in place.  Reading keeps to the touched games' buckets."""
     spark = changed.sparkSession
-    k = F.struct(*keys)
-    merged = changed
-    if _table_exists(spark, table):
-        old = spark.read.schema(changed.schema).parquet(table)
-        touched = changed.select(game).distinct()
-        # Static partition pruning: a trigger touches few games (its intake is
-        # capped), so fetch at most PRUNE_LIMIT+1 ids; beyond that the
-        # semi-join alone selects the rows.
-        ids = [r[0] for r in touched.limit(PRUNE_LIMIT + 1).collect()]
-        if len(ids) <= PRUNE_LIMIT:
-            old = old.filter(F.col(game).isin(ids))
-        kept = (old.join(touched, on=game, how="left_semi")
-                   .withColumn("_k", k).join(changed.select(k.alias("_k")), on="_k", how="left_anti")
-                   .drop("_k"))
-        merged = kept.unionByName(changed)
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(game).parquet(table))
-    return merged
-
-
-def foreach_merge_enrich(table: str, sink: BatchSink, key: str = "game_id") -> BatchSink:
+    k = F.struct(F.col(game).alias("g"))
+    bucket = F.pmod(F.xxhash64(k), F.lit(BUCKETS)).cast("int")
+    now = changed.withColumn("bucket", bucket)
+    now.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table.rstrip('/')}/batch={batch_id}")
+    versions = now.withColumn("batch", F.lit(batch_id).cast("long"))
+    touched = [r[0] for r in now.select("bucket").distinct().collect()]   # BUCKETS rows at most
+    old = read_stats(spark, table, changed.schema, batch_id)
+    games = changed.select(k.alias("_g")).distinct()
+    kept = (old.where(F.col("bucket").isin(touched)).withColumn("_g", k).join(games, "_g", "left_semi").drop("_g"))
+    return latest_stats(versions.unionByName(kept), keys)
+
+
+def foreach_merge_enrich(table: str, sink: BatchSink, key: str = "game_id",
+                         reference_names: bool = False) -> BatchSink:
     """Update-mode enrichment (D6): the batch holds only players whose
-    statistics changed; merge them into ``table`` and enrich the touched games
+    statistics changed; add them to ``table`` and enrich the touched games
     whole.  Output per trigger grows with the trigger's intake, not with the
     number of games ever seen."""
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         changed = batch_df.persist()
         try:
-            games = merge_stats(changed, table, key)
+            if changed.isEmpty():
+                return
+            games = merge_stats(changed, table, batch_id, key)
             snaps = enrich(games).withColumn("snapshot_id", F.lit(batch_id).cast("long"))
-            sink(encode(snaps, key, [*SNAP_FIELDS, "snapshot_id"]), batch_id)
+            sink(encode(snaps, key, [c for c in (*SNAP_FIELDS, "snapshot_id") if c in snaps.columns],
+                        reference_names), batch_id)
         finally:
             changed.unpersist()
     return fn
 
 
-def snapshot_stream(events: DataFrame) -> DataFrame:
-    """Stateful per-player statistics over an event stream (ST1)."""
-    return player_stats(player_credits(events))
+def snapshot_stream(events: DataFrame, shots: bool = True) -> DataFrame:
+    """Stateful per-player statistics over an event stream (ST1); without
+    ``shots`` the state of a player has a fixed size."""
+    return player_stats(player_credits(events), shots=shots)
 
 
 def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
                      trigger: dict | None = None, checkpoint: str | None = None,
-                     name: str | None = None, table: str | None = None) -> StreamingQuery:
+                     name: str | None = None, table: str | None = None, shots: bool = True,
+                     reference_names: bool = False) -> StreamingQuery:
     """Start hop 1 (ST1, ST3, ST5, ST6).
 
     ``mode="complete"`` re-emits every player each trigger, so the batch
@@ -126,15 +139,16 @@ def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
     or ``{"availableNow": True}``; the source's ``max_per_trigger`` limits
     intake (ST4).  ``mode="update"`` is the scale path: only changed players
     are emitted and merged into the statistics ``table`` (see
-    :func:`foreach_merge_enrich`).
+    :func:`foreach_merge_enrich`).  ``shots=False`` leaves the shot chart out
+    of state and messages.
     """
     if mode == "update":
         if not table:
             raise ValueError("update mode needs a statistics table to merge into")
-        fn = foreach_merge_enrich(table, sink)
+        fn = foreach_merge_enrich(table, sink, reference_names=reference_names)
     else:
-        fn = foreach_enrich(sink)
-    return _start(snapshot_stream(events), mode, fn, trigger, checkpoint, name)
+        fn = foreach_enrich(sink, reference_names=reference_names)
+    return _start(snapshot_stream(events, shots), mode, fn, trigger, checkpoint, name)
 
 
 def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
@@ -142,10 +156,10 @@ def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
     """Micro-batch scoring (ST7, L7): skip empty batches without a full count,
     persist once, score, write, release the same handle."""
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         snaps = batch_df.persist()
         try:
+            if snaps.isEmpty():
+                return
             sink(score(snaps, win, mvp, reference_names=reference_names), batch_id)
         finally:
             snaps.unpersist()
@@ -155,25 +169,33 @@ def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
 def run_score_stream(messages: DataFrame, win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
                      value: str = "value", trigger: dict | None = None, checkpoint: str | None = None,
                      name: str | None = None, reference_names: bool = False) -> StreamingQuery:
-    """Start hop 2 (ST2, ST7): decode snapshot messages, fill numeric nulls, score."""
-    snaps = fill_numeric(decode(messages, SNAP_MESSAGE, value))
+    """Start hop 2 (ST2, ST7): decode snapshot messages, fill numeric nulls,
+    score; ``reference_names`` holds for messages and documents."""
+    snaps = fill_numeric(decode(messages, SNAP_MESSAGE, value, reference_names=reference_names))
     return _start(snaps, "append", foreach_score(win, mvp, sink, reference_names), trigger, checkpoint, name)
 
 
-def watch(query: StreamingQuery, on_progress: Callable[[int, int], None] | None = None,
-          poll: float = 5.0, max_wait: float | None = None) -> None:
-    """Progress report (ST9): poll ``lastProgress`` and report (batch id, input
-    rows) until the query ends, ``max_wait`` elapses or the user interrupts."""
-    report = on_progress or (lambda b, n: print(f"batch {b}: {n} rows" if n else "waiting for data", flush=True))
-    start, last = time.time(), None
-    try:
-        while query.isActive:
-            query.awaitTermination(poll)
-            p = query.lastProgress
-            if p and p["batchId"] != last:
-                last = p["batchId"]
-                report(p["batchId"], p["numInputRows"])
-            if max_wait is not None and time.time() - start > max_wait:
-                break
-    except KeyboardInterrupt:
-        query.stop()
+def progress_after(query: StreamingQuery, batch: int | None = None) -> list[tuple[int, int]]:
+    """(batch id, input rows) of every finished batch after ``batch`` that
+    Spark still remembers, in order."""
+    done = {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+    return sorted((b, n) for b, n in done.items() if batch is None or b > batch)
+
+
+def watch(query: StreamingQuery, on_batch: Callable[[int, int], None], interval: float = 5.0,
+          limit: float | None = None) -> int:
+    """Hand every finished batch to ``on_batch`` until the query ends or
+    ``limit`` seconds are over (ST9); returns how many there were.
+
+    Drains the list of recent batches, so fast ones are not missed as long
+    as ``spark.sql.streaming.numRecentProgressUpdates`` (100) of them don't
+    pass within one interval.  An error of the query is raised."""
+    until = None if limit is None else time.monotonic() + limit
+    last, seen, ended = None, 0, False
+    while not ended:
+        left = interval if until is None else min(interval, until - time.monotonic())
+        ended = query.awaitTermination(max(left, 0.01)) or (until is not None and time.monotonic() >= until)
+        for last, rows in progress_after(query, last):
+            on_batch(last, rows)
+            seen += 1
+    return seen

@@ -15,7 +15,7 @@ from playstream.plans.batch import events_of, final_snapshots, history_snapshots
 from playstream.schemas import EVENT, SNAP_MESSAGE, SNAP_RECORD
 from playstream.sinks import batch_writer, record_snapshots
 from playstream.sources import read_snapshots, stream_events
-from playstream.streaming import run_score_stream, run_stats_stream, watch
+from playstream.streaming import run_score_stream, latest_stats, merge_stats, read_stats, run_stats_stream, watch
 from tests.conftest import SF0001
 
 GAME = "0022500349"
@@ -89,8 +89,8 @@ def test_recorder_and_scoring_hops(spark, stream_run):
     q = run_score_stream(spark.readStream.schema(schema).json(out), win, mvp,
                          batch_writer("parquet", scored), trigger={"availableNow": True})
     reports = []
-    watch(q, lambda b, rows: reports.append((b, rows)), poll=0.5, max_wait=120)
-    q.awaitTermination()
+    seen = watch(q, lambda b, rows: reports.append((b, rows)), interval=0.5, limit=120)
+    assert seen == len(reports) and [b for b, _ in reports] == sorted({p["batchId"] for p in q.recentProgress})
     res = spark.read.parquet(scored).drop("batch")
     assert len(res.columns) == 21 and res.count() > 0
     assert res.filter((F.col("win_pct") < 0) | (F.col("win_pct") > 100)).count() == 0
@@ -144,7 +144,7 @@ def test_update_mode_merges_touched_games(spark, tmp_path):
                          checkpoint=os.path.join(scratch, "ck"))
     q.awaitTermination()
     want = player_stats(player_credits(ev))
-    got = spark.read.schema(want.schema).parquet(table)
+    got = latest_stats(read_stats(spark, table, want.schema))
     cols = sorted(want.columns)
     norm = lambda d: sorted(map(str, d.withColumn("shots", F.to_json("shots"))
                                  .withColumn("latest", F.to_json("latest")).select(*cols).collect()))
@@ -165,10 +165,41 @@ def test_processing_time_trigger(spark, tmp_path):
     try:
         q.processAllAvailable()
         seen = []
-        watch(q, lambda b, rows: seen.append(rows), poll=0.5, max_wait=2)
+        watch(q, lambda b, rows: seen.append(rows), interval=0.5, limit=2)
     finally:
         q.stop()
     got = decode(spark.read.json(out), SNAP_MESSAGE)
     final = final_snapshots(events_of(spark, SF0001)).filter(F.col("game_id") == GAME)
     last = got.agg(F.max("snapshot_id")).first()[0]
     assert got.filter(F.col("snapshot_id") == last).count() == final.count()
+
+
+def _stats_rows(spark, rows):
+    return spark.createDataFrame(rows, "game_id string, player_name string, team_code string, pts int")
+
+
+def test_merge_keeps_null_games_and_survives_reruns(spark, tmp_path):
+    """One plan at every size; null games, re-run batches and a crash in between lose nothing."""
+    table = os.path.join(str(tmp_path), "stats")
+    run = lambda rows, n: sorted(map(str, (tuple(r) for r in merge_stats(_stats_rows(spark, rows), table, n).collect())))
+    assert run([(None, "p1", None, 1), ("g", "p2", "T", 2)], 0) == ["('g', 'p2', 'T', 2)", "(None, 'p1', None, 1)"]
+    both = run([(None, "p3", "T", 3), ("h", "p4", "T", 4)], 1)
+    assert both == ["('h', 'p4', 'T', 4)", "(None, 'p1', None, 1)", "(None, 'p3', 'T', 3)"]
+    # the batch runs again, also after a half-written attempt
+    os.remove(next(os.path.join(d, f) for d, _, fs in os.walk(os.path.join(table, "batch=1")) for f in fs if f.endswith(".parquet")))
+    assert run([(None, "p3", "T", 3), ("h", "p4", "T", 4)], 1) == both
+    assert run([("g", "p2", "T", 9)], 2) == ["('g', 'p2', 'T', 9)"]
+    schema = _stats_rows(spark, []).schema
+    assert latest_stats(read_stats(spark, table, schema)).count() == 4
+
+
+def test_watch_reports_every_batch(spark, tmp_path):
+    d = os.path.join(str(tmp_path), "in")
+    os.makedirs(d)
+    for i in range(6):
+        open(os.path.join(d, f"{i}.json"), "w").write('{"a": 1}\n' * (i + 1))
+    q = (spark.readStream.schema("a int").option("maxFilesPerTrigger", 1).json(d)
+         .writeStream.format("noop").trigger(availableNow=True).start())
+    seen = []
+    assert watch(q, lambda b, n: seen.append((b, n)), interval=30) == 6
+    assert [b for b, _ in seen] == list(range(6)) and sorted(n for _, n in seen) == [1, 2, 3, 4, 5, 6]
