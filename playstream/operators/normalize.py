@@ -12,7 +12,7 @@ UNKNOWN_TYPE = "Unknown"
 
 
 def normalize_events(raw: DataFrame, keep_empty_players: bool = False) -> DataFrame:
-    """Raw actions (``RAW_ACTION``) -> ``EVENT`` rows.
+    """Raw actions -> ``EVENT`` rows.
 
     Renames/derives: clock cleaned, shot value from the type, assisting
     player parsed from the description of made shots, coordinates rounded

@@ -25,15 +25,6 @@ GAME_DOC = StructType([
     _s("game", StructType([_s("gameId", StringType()), _s("actions", ArrayType(ACTION))])),
 ])
 
-# Flat raw action (one row per action, before normalisation).
-RAW_ACTION = StructType([
-    _s("game_id", StringType()), _s("action_number", IntegerType()),
-    _s("period", IntegerType()), _s("clock_raw", StringType()),
-    _s("team_code", StringType()), _s("player_name", StringType()),
-    _s("action_type", StringType()), _s("shot_result", StringType()),
-    _s("description", StringType()), _s("x", DoubleType()), _s("y", DoubleType()),
-])
-
 # Normalised event (12 fields).
 EVENT = StructType([
     _s("game_id", StringType()), _s("event_id", IntegerType()),
@@ -107,3 +98,8 @@ def from_reference_names(df: DataFrame) -> DataFrame:
     """Rename reference-named columns back to engine names."""
     back = {v: k for k, v in REFERENCE_NAMES.items()}
     return df.withColumnsRenamed({c: back[c] for c in df.columns if c in back})
+
+
+def reference_schema(schema: StructType) -> StructType:
+    """``schema`` with the reference's published names."""
+    return StructType([StructField(REFERENCE_NAMES.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])

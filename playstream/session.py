@@ -7,6 +7,7 @@ in settings that are *unset*, so a cluster's own choices always win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,7 +19,11 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # stream state off the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+_HEAP_STATE = "HDFSBackedStateStoreProvider"   # Spark's default counts as no choice
 
 
 def get_session(master: str | None = None, app: str = "playstream",
@@ -38,7 +43,8 @@ def get_session(master: str | None = None, app: str = "playstream",
               .config("spark.driver.memory", os.environ.get("PLAYSTREAM_DRIVER_MEMORY", "8g")))
     spark = b.getOrCreate()
     for k, v in DEFAULTS.items():
-        if spark.conf.get(k, None) is None:
+        now = spark.conf.get(k, None)
+        if now is None or now.endswith(_HEAP_STATE):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -47,12 +53,24 @@ def get_session(master: str | None = None, app: str = "playstream",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    Read from the session.  Where it is unset, a local master (one machine,
+    as in tests) gets a scratch folder; on a cluster, whose executors share
+    no local disk, that is an error."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
     if not d:
-        d = tempfile.mkdtemp(prefix="playstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = _local[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="playstream-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_local: dict[str, str] = {}   # scratch folders by application, local masters only
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever file system it is in."""
+    sc = spark.sparkContext
+    if sc._jsc is not None and not sc._jsc.sc().isStopped():
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

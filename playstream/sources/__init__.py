@@ -1,8 +1,7 @@
-"""Sources: game documents, event streams, recorded snapshots, the fixture view."""
+"""Sources: game documents, event streams, recorded snapshots."""
 
-from playstream.sources.fixture import pbp_raw, load_tables
-from playstream.sources.games import read_games
+from playstream.sources.games import flatten_actions, missing_games, read_games
 from playstream.sources.events import stream_events, read_events
 from playstream.sources.snapshots import read_snapshots
 
-__all__ = ["pbp_raw", "load_tables", "read_games", "stream_events", "read_events", "read_snapshots"]
+__all__ = ["read_games", "flatten_actions", "missing_games", "stream_events", "read_events", "read_snapshots"]

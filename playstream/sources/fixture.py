@@ -9,22 +9,13 @@ names, assists on every third made field goal.  It is a plain projection
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 # Fixed values of the fixture (FIXTURES.md section 2).
 EVENTS_PER_GAME = 500
 EVENTS_PER_QUARTER = 120
 FIRST_GAME = 22500349
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-
-def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
-    """Lazily open the driver's parquet tables."""
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in (names or TABLES)}
-
-
 # The view as SQL expressions over ``events`` (one projection, built in one
 # call).  Intermediate values: g = game number, pos = position in the game,
 # q = period, k = position in the period, sec = clock seconds, act = type,
@@ -64,5 +55,25 @@ VIEW_EXPRS = [
 
 
 def pbp_raw(events: DataFrame) -> DataFrame:
-    """Raw actions (``RAW_ACTION`` shape) derived from ``events``."""
+    """Raw actions derived from ``events``."""
     return events.selectExpr(*VIEW_EXPRS)
+
+
+# A second view of the same rows with what a feed may also hold: coordinates
+# in hundredths, missing types and teams, a third team, clocks without zeros.
+_E = f"((CAST(game_id AS INT) - {FIRST_GAME}) * {EVENTS_PER_GAME} + action_number - 1)"
+HARD_EXPRS = [
+    "game_id", "action_number", "period",
+    "regexp_replace(regexp_replace(clock_raw, 'PT0', 'PT'), 'M0', 'M') AS clock_raw",
+    f"CASE WHEN {_E} % 41 = 0 THEN NULL WHEN {_E} % 43 = 0 THEN 'T3RD' ELSE team_code END AS team_code",
+    "player_name",
+    f"CASE WHEN {_E} % 37 = 0 THEN NULL ELSE action_type END AS action_type",
+    "shot_result", "description",
+    f"CASE WHEN x IS NOT NULL THEN ({_E} % 10000) / 100.0D END AS x",
+    f"CASE WHEN y IS NOT NULL THEN ({_E} * 7 % 10000) / 100.0D END AS y",
+]
+
+
+def hard_raw(events: DataFrame) -> DataFrame:
+    """Raw actions with irregular values, derived from ``events``."""
+    return pbp_raw(events).selectExpr(*HARD_EXPRS)

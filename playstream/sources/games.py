@@ -36,12 +36,30 @@ def read_games(spark: SparkSession, paths: "str | Iterable[str]",
     """Scan one or many game documents in a single parallel read.
 
     ``game_ids`` keeps only the listed games.  A document that cannot be
-    parsed contributes no rows instead of failing the scan.
+    parsed contributes no rows, one that is missing or cannot be read is
+    skipped; :func:`missing_games` lists the former paths.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    docs = (spark.read.schema(GAME_DOC).option("multiLine", multiline)
-            .option("mode", "PERMISSIVE").json(paths))
-    out = flatten_actions(docs)
+    present = [p for p in paths if p not in set(missing_games(spark, paths))]
+    if not present:
+        out = flatten_actions(spark.createDataFrame([], GAME_DOC))
+    else:
+        docs = (spark.read.schema(GAME_DOC).option("multiLine", multiline).option("mode", "PERMISSIVE")
+                .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True).json(present))
+        out = flatten_actions(docs)
     if game_ids is not None:
         out = out.filter(F.col("game_id").isin(list(game_ids)))
     return out
+
+
+def missing_games(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of the paths (patterns allowed) that match no file."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    gone = []
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(conf).globStatus(p)
+        if found is None or not len(found):
+            gone.append(path)
+    return gone
