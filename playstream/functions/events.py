@@ -31,5 +31,9 @@ def assist_player(description: "str | Column", shot_result: "str | Column") -> C
 
 
 def round_half_even(c: "str | Column", scale: int = 1) -> Column:
-    """Round to ``scale`` places, ties to even; null stays null."""
-    return F.bround(col(c), scale)
+    """Round a double to ``scale`` places by its exact binary value, ties to
+    even (F4): 0.35 is stored below 0.35 and becomes 0.3.  ``bround`` would
+    round the shortest decimal text instead.  Null and not-a-number stay."""
+    x = col(c).cast("double")
+    exact = F.format_number(x, scale)   # half-even on the binary value, with grouping commas
+    return F.when(F.isnan(x) | (F.abs(x) >= 1e15), x).otherwise(F.replace(exact, F.lit(","), F.lit("")).try_cast("double"))

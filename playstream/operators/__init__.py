@@ -5,9 +5,9 @@ from playstream.operators.context import (add_metrics, enrich, enrich_by_joins,
                                           opponent_scores, team_scores, with_game_clock,
                                           with_team_context)
 from playstream.operators.credits import fan_out, player_credits
-from playstream.operators.labels import add_labels, label_mvp, label_win, training_set
-from playstream.operators.moments import (cumulative, dedupe_moments, number_events,
-                                          share_of_total, snapshot_history)
+from playstream.operators.labels import add_labels, training_set
+from playstream.operators.moments import (by_moment, cumulative, dedupe_moments, number_events,
+                                          share_of_total, snapshot_history, snapshot_shots)
 from playstream.operators.normalize import cursor_of, new_events, new_since, normalize_events
 from playstream.operators.stats import (latest_by, ordered_stats, player_stats, shot_chart,
                                         shot_rows, unpack_latest)
@@ -17,8 +17,9 @@ __all__ = [
     "add_metrics", "enrich", "enrich_by_joins", "game_clock", "opponent_scores", "team_scores",
     "with_game_clock", "with_team_context",
     "fan_out", "player_credits",
-    "add_labels", "label_mvp", "label_win", "training_set",
-    "cumulative", "dedupe_moments", "number_events", "share_of_total", "snapshot_history",
+    "add_labels", "training_set",
+    "by_moment", "cumulative", "dedupe_moments", "number_events", "share_of_total",
+    "snapshot_history", "snapshot_shots",
     "cursor_of", "new_events", "new_since", "normalize_events",
     "latest_by", "ordered_stats", "player_stats", "shot_chart", "shot_rows", "unpack_latest",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstream.operators.codec import fill_numeric
-from playstream.operators.moments import dedupe_moments, share_of_total
+from playstream.operators.moments import by_moment, dedupe_moments, share_of_total
 
 TEAM_MOMENT = ("game_id", "team_code", "seconds_remaining")
 
@@ -23,26 +23,13 @@ def _final_order(df: DataFrame, moment: str, latest: str | None, diff: str) -> C
     return F.struct(*order)
 
 
-def label_win(df: DataFrame, game: str = "game_id", team: str = "team_code",
-              moment: str = "seconds_remaining", diff: str = "score_diff",
-              latest: str | None = "snapshot_id", out: str = "label_win") -> DataFrame:
-    """1 on every row of a (game, team) whose final score difference is > 0.
-
-    The final difference is the one at the least time remaining; ties go to
-    the latest snapshot, then the player name.  Computed as an aggregate per
-    (game, team) joined back -- the aggregate pre-combines a hot game, and the
-    joined table has one row per team.
-    """
-    fin = (df.groupBy(game, team).agg(F.min(_final_order(df, moment, latest, diff)).alias("_f"))
-             .select(game, team, F.col("_f.v").alias("final_diff")))
-    return (df.join(fin, on=[game, team], how="left")
-              .withColumn(out, F.when(F.col("final_diff") > 0, 1).otherwise(0)))
-
-
 def add_labels(df: DataFrame, game: str = "game_id", team: str = "team_code",
                moment: str = "seconds_remaining", diff: str = "score_diff", value: str = "efficiency",
                latest: str | None = "snapshot_id") -> DataFrame:
-    """M1 and M2 in one pass: one aggregate per (game, team) (final difference
+    """M1 and M2 in one pass: 1 on every row of a (game, team) whose final
+    score difference is positive (the difference at the least time left, ties
+    to the latest snapshot, then the player name), and 1 on rows of the game's
+    best efficiency.  Null games and teams are groups of their own.  One aggregate per (game, team) (final difference
     and the team's best efficiency), the game maximum as a window over those
     team rows, one join back on a null-safe (game, team) struct key."""
     gt = F.struct(F.col(game).alias("g"), F.col(team).alias("t"))
@@ -55,18 +42,10 @@ def add_labels(df: DataFrame, game: str = "game_id", team: str = "team_code",
                             "label_mvp": F.when(F.col(value) == F.col("max_game_eff"), 1).otherwise(0)}))
 
 
-def label_mvp(df: DataFrame, game: str = "game_id", value: str = "efficiency",
-              out: str = "label_mvp") -> DataFrame:
-    """1 on rows whose efficiency equals the game's maximum over all moments."""
-    top = df.groupBy(game).agg(F.max(value).alias("max_game_eff"))
-    return (df.join(top, on=game, how="left")
-              .withColumn(out, F.when(F.col(value) == F.col("max_game_eff"), 1).otherwise(0)))
-
-
 def training_set(snapshots: DataFrame, dedupe_keys: Sequence[str] = ("game_id", "player_name", "team_code",
                                                                       "seconds_remaining"),
                  scale: int | None = None) -> DataFrame:
     """Dedupe -> numeric fill -> win label -> team-normalised efficiency -> MVP label (M7)."""
-    d = fill_numeric(dedupe_moments(snapshots, dedupe_keys))
+    d = fill_numeric(dedupe_moments(by_moment(snapshots), dedupe_keys))
     d = share_of_total(d, "efficiency", TEAM_MOMENT, "efficiency_norm", scale=scale, exact_scale=2)
     return add_labels(d)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstream.functions import display_pct, positive_prob, stamp
-from playstream.operators.moments import dedupe_moments, share_of_total
+from playstream.operators.moments import by_moment, dedupe_moments, share_of_total
 from playstream.schemas import SNAP_FIELDS, to_reference_names
 
 # Feature lists and model sizes.
@@ -43,8 +43,8 @@ def train_mvp(df: DataFrame, label: str = "label_mvp") -> PipelineModel:
 
 
 def train_models(training: DataFrame, seed: int = 42) -> tuple[PipelineModel, PipelineModel]:
-    """Fit both models over one cached copy of the training set."""
-    t = training.persist()
+    """Fit both models over one cached copy of the columns they read."""
+    t = training.select(*dict.fromkeys([*WIN_FEATURES, *MVP_FEATURES, "label_win", "label_mvp"])).persist()
     try:
         return train_win(t, seed), train_mvp(t)
     finally:
@@ -80,7 +80,8 @@ def score_mvp(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def score_columns(df: DataFrame) -> DataFrame:
     """Final 21-column scored projection."""
-    return df.select(stamp().alias("@timestamp"), *SNAP_FIELDS,
+    fields = [c for c in SNAP_FIELDS if c in df.columns or c != "shots"]
+    return df.select(stamp().alias("@timestamp"), *fields,
                      display_pct(F.col("win_prob") * 100).alias("win_pct"),
                      display_pct("mvp_share").alias("mvp_pct"))
 
@@ -90,6 +91,6 @@ def score(df: DataFrame, win: PipelineModel, mvp: PipelineModel,
           reference_names: bool = False) -> DataFrame:
     """Dedupe -> win probability -> MVP share -> 21 scored columns.
     ``reference_names`` renames the columns to the reference's document fields."""
-    d = dedupe_moments(df, dedupe_keys, latest="snapshot_id" if "snapshot_id" in df.columns else None)
+    d = dedupe_moments(by_moment(df), dedupe_keys, latest="snapshot_id" if "snapshot_id" in df.columns else None)
     out = score_columns(score_mvp(score_win(d, win), mvp))
     return to_reference_names(out) if reference_names else out

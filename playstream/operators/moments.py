@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstream.functions import fg_pct, safe_ratio
-from playstream.operators.stats import PLAYER_KEYS, STAT_COUNTERS, latest_by, shot_entries, shots_in_order
+from playstream.operators.stats import PLAYER_KEYS, STAT_COUNTERS, latest_by, shot_entries
 
 SNAPSHOT_EVERY = 30          # fixed value: events per trigger of the reference's aggregation stream
 DEFAULT_CHUNK = 1 << 16      # ordering values per first-level chunk
 
 
 def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
-               sums: Sequence[str] = (), maxes: Sequence[str] = (), concats: Sequence[str] = (),
+               sums: Sequence[str] = (), maxes: Sequence[str] = (),
                chunk: int | None = None, next_col: str | None = None,
                totals: dict[str, str] | None = None) -> DataFrame:
-    """Running sum / max / array-concat per ``keys`` in ``order`` (rows up to the current one).
+    """Running sum / max per ``keys`` in ``order`` (rows up to the current one).
 
     ``order`` is a column name or a list whose first (numeric) column is the
     one chunked on; the rest break ties.  ``next_col`` receives the next
@@ -45,7 +45,6 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
     def running(w, wr):
         cols = {c: F.sum(c).over(wr) for c in sums}
         cols.update({c: F.max(c).over(wr) for c in maxes})
-        cols.update({c: F.flatten(F.collect_list(c).over(wr)) for c in concats})
         if next_col:
             cols[next_col] = F.lead(order[0]).over(w)
         return cols
@@ -63,14 +62,12 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
     within = d.withColumns(running(w, w.rowsBetween(unb, cur)))
     tot = d.groupBy(kk, ck).agg(*[F.sum(c).alias(c) for c in sums],
                                 *[F.max(c).alias(c) for c in maxes],
-                                *[F.flatten(F.collect_list(c)).alias(c) for c in concats],
                                 F.min(order[0]).alias("_first"))
     wp = Window.partitionBy(kk).orderBy(ck)
     wpr = wp.rowsBetween(unb, -1)
     prev = tot.select(kk, ck,
                       *[F.sum(c).over(wpr).alias(f"_p_{c}") for c in sums],
                       *[F.max(c).over(wpr).alias(f"_p_{c}") for c in maxes],
-                      *[F.flatten(F.collect_list(c).over(wpr)).alias(f"_p_{c}") for c in concats],
                       *[F.sum(c).over(Window.partitionBy(kk)).alias(t) for c, t in totals.items()],
                       F.lead("_first").over(wp).alias("_p_next"))
     j = within.join(prev, on=[kk, ck], how="left")
@@ -80,12 +77,9 @@ def cumulative(df: DataFrame, keys: Sequence[str], order: "str | Sequence[str]",
         out[c] = F.when(p.isNull(), F.col(c)).when(F.col(c).isNull(), p).otherwise(p + F.col(c))
     for c in maxes:
         out[c] = F.greatest(F.col(f"_p_{c}"), F.col(c))
-    for c in concats:
-        p = F.col(f"_p_{c}")
-        out[c] = F.when(p.isNull(), F.col(c)).otherwise(F.concat(p, F.col(c)))
     if next_col:
         out[next_col] = F.coalesce(F.col(next_col), F.col("_p_next"))
-    helpers = [kk, ck, "_p_next", *[f"_p_{c}" for c in [*sums, *maxes, *concats]]]
+    helpers = [kk, ck, "_p_next", *[f"_p_{c}" for c in [*sums, *maxes]]]
     return j.withColumns(out).drop(*helpers)
 
 
@@ -95,7 +89,10 @@ def number_events(events: DataFrame, by: Sequence[str] = ("game_id",), order: st
     """1-based position of every event within its game, in ``order``; with
     ``total`` also the game's event count (from the same pass)."""
     d = events.withColumn(out, F.lit(1).cast("long"))
-    return cumulative(d, by, [order, *tiebreak], sums=[out], chunk=chunk,
+    # equal event ids (replays, id-less games) are numbered by their other values
+    rest = [f.name for f in events.schema.fields if f.name not in (*by, order, *tiebreak)
+            and f.dataType.typeName() not in ("array", "map", "struct")]
+    return cumulative(d, by, [order, *tiebreak, *rest], sums=[out], chunk=chunk,
                       totals={out: total} if total else None)
 
 
@@ -120,8 +117,6 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     c = credits.withColumn("snapshot_id", snap)
     aggs = [F.sum(x).alias(x) for x in STAT_COUNTERS]
     aggs.append(latest_by("event_id", "quarter", "clock").alias("latest"))
-    if shots:
-        aggs.append(F.collect_list(shot_entries()).alias("_shots"))
     has_total = total in credits.columns
     if has_total:
         # the game's last snapshot travels with every credit: no per-game join
@@ -131,15 +126,43 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     # of the two-level scan read the same aggregate and share its shuffle
     run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS,
                      maxes=["latest", "_last"] if has_total else ["latest"],
-                     concats=["_shots"] if shots else [], chunk=chunk, next_col="_next")
+                     chunk=chunk, next_col="_next")
     if not has_total:
         # branch after the per-bucket shuffle, so both branches share it
         last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
         run = run.join(last, on=game, how="left")
     expand = F.explode(F.sequence(F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last"))))
-    return run.select(*keys, *STAT_COUNTERS,
-                      *([shots_in_order(F.col("_shots")).alias("shots")] if shots else []),
-                      "latest", fg_pct().alias("fg_pct"), expand.alias("snapshot_id"))
+    hist = run.select(*keys, *STAT_COUNTERS, "latest", fg_pct().alias("fg_pct"), expand.alias("snapshot_id"))
+    return with_shots(hist, c, keys) if shots else hist
+
+
+def snapshot_shots(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str = "seq",
+                   keys: Sequence[str] = PLAYER_KEYS) -> DataFrame:
+    """The history's shot charts in long form: one row per attempt with the
+    first ``snapshot_id`` whose chart holds it.  As many rows as attempts,
+    however many snapshots a game has."""
+    return (credits.where(F.col("shot_x").isNotNull())
+            .select(*keys, (F.floor((F.col(seq) - 1) / every) + 1).cast("long").alias("snapshot_id"), "event_id",
+                    F.col("shot_x").alias("x"), F.col("shot_y").alias("y"), F.col("fgm").alias("r")))
+
+
+def with_shots(hist: DataFrame, credits: DataFrame, keys: Sequence[str] = PLAYER_KEYS) -> DataFrame:
+    """``hist`` with each row's chart so far, for payloads.  A player's attempts
+    are collected once and every row takes those up to its snapshot, so no
+    running total carries an array."""
+    entry = shot_entries().withField("s", F.col("snapshot_id"))
+    charts = (credits.groupBy(F.struct(*keys).alias("_key"))
+              .agg(F.array_sort(F.collect_list(entry)).alias("_all")))
+    upto = F.filter("_all", lambda e: e["s"] <= F.col("snapshot_id"))
+    shots = F.transform(upto, lambda e: F.struct(e["x"].alias("x"), e["y"].alias("y"), e["r"].alias("r")))
+    return (hist.withColumn("_key", F.struct(*keys)).join(charts, "_key", "left")
+            .select(*[c for c in hist.columns if c != "snapshot_id"], shots.alias("shots"), "snapshot_id"))
+
+
+def by_moment(df: DataFrame, keys: Sequence[str] = ("game_id", "seconds_remaining")) -> DataFrame:
+    """One exchange that clusters a game's moments: deduplication and the team's
+    and the game's shares behind it need no other."""
+    return df.repartition(*keys)
 
 
 def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name", "team_code",
@@ -147,20 +170,19 @@ def dedupe_moments(df: DataFrame, keys: Sequence[str] = ("game_id", "player_name
                    latest: str | None = "snapshot_id") -> DataFrame:
     """One row per (game, player, team, moment) (A5).
 
-    The survivor is the latest snapshot (then the team, for keys without
-    it); without a snapshot column, the row with the greatest scalar values.  ``row_number`` over the key: a partition holds
+    The survivor is the latest snapshot, ties broken by the team and then the
+    greatest scalar values, so the order is total.  ``row_number`` over the key: a partition holds
     the few snapshots that share one moment, never a whole game.
     ``keys`` without ``team_code`` reproduces the reference's key.
     """
     keys = list(keys)
-    if latest and latest in df.columns:
-        # unique per key in snapshot data; with the reference's key (no team)
-        # equal names of both teams tie, the team breaks it
-        order = [F.col(latest).desc()] + [F.col(c).asc_nulls_last() for c in ("team_code",)
-                                          if c in df.columns and c not in keys]
-    else:
-        order = [F.col(f.name).desc() for f in df.schema.fields
-                 if f.name not in keys and f.dataType.typeName() not in ("array", "map", "struct")]
+    scalars = [f.name for f in df.schema.fields if f.name not in keys and f.name != latest
+               and f.dataType.typeName() not in ("array", "map", "struct")]
+    order = [F.col(latest).desc()] if latest and latest in df.columns else []
+    # rows of one snapshot (equal names with the team left out, several
+    # opponents, messages without an id) tie; the team, then the greatest values, decide
+    order += [F.col(c).asc_nulls_last() if c == "team_code" else F.col(c).desc()
+              for c in sorted(scalars, key=lambda c: c != "team_code")]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 

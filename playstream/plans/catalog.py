@@ -8,19 +8,26 @@ structs are unpacked so results compare value by value with DuckDB.
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.operators import (cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
+from playstream.functions import display_pct
+from playstream.operators import (by_moment, cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
                                   game_clock, latest_by, new_since, normalize_events,
-                                  opponent_scores, player_credits, player_stats, share_of_total,
-                                  snapshot_history, team_scores, training_set, unpack_latest)
+                                  opponent_scores, ordered_stats, player_credits, player_stats, share_of_total,
+                                  snapshot_history, snapshot_shots, team_scores, training_set, unpack_latest)
 from playstream.plans import oracle as O
-from playstream.plans.batch import HISTORY_KEYS, numbered_credits
-from playstream.schemas import SNAP_FIELDS, SNAP_RECORD
-from playstream.sources.fixture import pbp_raw
+from playstream.plans.batch import HISTORY_KEYS, materialize, numbered_credits, scored_history
+from playstream.schemas import EVENT, GAME_DOC, SNAP, SNAP_FIELDS, SNAP_MESSAGE, SNAP_RECORD
+from playstream.session import checkpoint_dir, delete_path
+from playstream.sinks import batch_writer
+from playstream.sources.games import flatten_actions
+from playstream.sources.fixture import hard_raw, pbp_raw
+from playstream.streaming import run_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,12 +48,17 @@ def _stats(spark, sf_dir):
     return player_stats(player_credits(_events(spark, sf_dir)))
 
 
-def _history(spark, sf_dir):
-    return snapshot_history(numbered_credits(_events(spark, sf_dir)))
+def _history(spark, sf_dir, shots=False, raw=_raw):
+    return snapshot_history(numbered_credits(normalize_events(raw(spark, sf_dir))), shots=shots)
 
 
-def _history_enriched(spark, sf_dir):
-    return enrich(_history(spark, sf_dir), by=HISTORY_KEYS)
+def _history_enriched(spark, sf_dir, shots=False, raw=_raw):
+    return enrich(_history(spark, sf_dir, shots, raw), by=HISTORY_KEYS)
+
+
+def _hard(spark, sf_dir):
+    """Raw actions with irregular values."""
+    return hard_raw(_t(spark, sf_dir, "events"))
 
 
 def _shots_text(df: DataFrame) -> DataFrame:
@@ -106,30 +118,34 @@ def q_snapshot_payload(spark, sf_dir):
 
 def q_event_payload(spark, sf_dir):
     """K1/K3/P10: normalised events as JSON messages keyed by game (null fields omitted)."""
-    from playstream.schemas import EVENT
     return encode(_events(spark, sf_dir), key="game_id", fields=EVENT.names)
 
 
 def q_snapshot_history(spark, sf_dir):
     """ST10: cumulative player statistics every 30 events of each game."""
-    return _shots_text(_flat_latest(_history(spark, sf_dir)))
+    return _flat_latest(_history(spark, sf_dir))
 
 
 def q_history_snapshots(spark, sf_dir):
     """ST10 + J4: enriched snapshot rows, one set per snapshot."""
-    return _shots_text(_history_enriched(spark, sf_dir))
+    return _history_enriched(spark, sf_dir)
+
+
+def q_snapshot_shots(spark, sf_dir):
+    """ST10/A2 in long form: every attempt and the first snapshot that holds it."""
+    return snapshot_shots(numbered_credits(_events(spark, sf_dir)))
 
 
 def q_decoded_history(spark, sf_dir):
     """P10 -> P1/P3 -> P13: history encoded as messages, decoded with the
     shot chart kept as raw JSON text, numeric nulls filled."""
-    msgs = encode(_history_enriched(spark, sf_dir), fields=[*SNAP_FIELDS, "snapshot_id"])
+    msgs = encode(_history_enriched(spark, sf_dir, shots=True), fields=[*SNAP_FIELDS, "snapshot_id"])
     return fill_numeric(decode(msgs, SNAP_RECORD))
 
 
 def q_dedupe_moments(spark, sf_dir):
     """A5: one row per (game, player, team, moment); latest snapshot wins."""
-    return _shots_text(dedupe_moments(_history_enriched(spark, sf_dir)))
+    return dedupe_moments(by_moment(_history_enriched(spark, sf_dir)))
 
 
 def q_training_set(spark, sf_dir):
@@ -140,28 +156,126 @@ def q_training_set(spark, sf_dir):
     the training set is built from it: the label aggregate joins back onto
     its input, and re-reading a written table is cheaper than recomputing
     the history on that branch."""
-    from playstream.plans.batch import materialize
-    return _shots_text(training_set(materialize(_history_enriched(spark, sf_dir))))
+    return training_set(materialize(_history_enriched(spark, sf_dir)))
+
+
+def q_training_hard(spark, sf_dir):
+    """M1/M2/A5/J1 with null teams, third teams and unpadded clocks."""
+    return training_set(materialize(_history_enriched(spark, sf_dir, raw=_hard)))
+
+
+def q_normalize_hard(spark, sf_dir):
+    """P5/F1/F4 on missing types, unpadded clocks and coordinates in hundredths."""
+    return normalize_events(_hard(spark, sf_dir))
+
+
+def q_snapshots_hard(spark, sf_dir):
+    """J1-J4 with null teams and third teams: one row for each opponent; the
+    numbers that may be null are shown as text."""
+    out = _shots_text(enrich(player_stats(player_credits(normalize_events(_hard(spark, sf_dir))))))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("team_score", "score_diff")})
+
+
+def q_ordered_stats(spark, sf_dir):
+    """O1: statistics in batch-view order, with each row's place among the games' teams."""
+    return _flat_latest(ordered_stats(player_stats(player_credits(_events(spark, sf_dir)), shots=False)))
+
+
+def q_flatten_actions(spark, sf_dir):
+    """Game documents (one per action here, as JSON text) flattened to raw actions."""
+    raw = _raw(spark, sf_dir)
+    action = F.struct(*[F.col(c).alias(f) for c, f in {
+        "action_number": "actionNumber", "period": "period", "clock_raw": "clock", "team_code": "teamTricode",
+        "action_type": "actionType", "player_name": "playerNameI", "shot_result": "shotResult",
+        "description": "description", "x": "x", "y": "y"}.items()])
+    docs = raw.select(F.to_json(F.struct(F.struct(F.col("game_id").alias("gameId"), F.array(action).alias("actions")).alias("game"))).alias("doc"))
+    return flatten_actions(docs.select(F.from_json("doc", GAME_DOC).alias("d")).select("d.*"))
+
+
+def q_event_round_trip(spark, sf_dir):
+    """Events as messages of bytes, decoded again."""
+    msgs = encode(_events(spark, sf_dir), fields=EVENT.names).select(F.encode("value", "utf-8").alias("value"))
+    return decode(msgs, EVENT)
+
+
+def q_snapshot_round_trip(spark, sf_dir):
+    """Typed snapshots through messages with the reference's field names."""
+    msgs = encode(enrich(_stats(spark, sf_dir)), reference_names=True)
+    return _shots_text(decode(msgs, SNAP, reference_names=True))
+
+
+def q_display_pct(spark, sf_dir):
+    """F17 on eighths: percentages as shown in documents."""
+    q = F.col("l_quantity").cast("double") / 8
+    return (_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", display_pct(q).alias("pct")))
+
+
+def _stream_stats(spark, sf_dir, mode):
+    """Run the statistics stream over the events table as a file stream, to its end; the messages it wrote last."""
+    schema = _t(spark, sf_dir, "events").schema
+    feed = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    path = f"{sf_dir}/events.parquet"
+    # a single file is streamed from its folder
+    feed = feed.parquet(path) if _is_folder(spark, path) else feed.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, base)
+    q = run_stats_stream(normalize_events(pbp_raw(feed)), batch_writer("json", f"{base}/out"), mode=mode,
+                         table=f"{base}/table" if mode == "update" else None,
+                         trigger={"availableNow": True}, checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    messages = decode(spark.read.schema("key string, value string, batch int").json(f"{base}/out"), SNAP_MESSAGE)
+    last = messages.groupBy("game_id").agg(F.max("snapshot_id").alias("snapshot_id"))
+    return _shots_text(messages.join(last, ["game_id", "snapshot_id"], "left_semi").drop("snapshot_id"))
+
+
+def _is_folder(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def q_stream_complete(spark, sf_dir):
+    """S3/ST1-ST3/ST6/ST8: the statistics stream in complete mode, read back."""
+    return _stream_stats(spark, sf_dir, "complete")
+
+
+def q_stream_update(spark, sf_dir):
+    """ST6/D6: the statistics stream in update mode, merged and read back."""
+    return _stream_stats(spark, sf_dir, "update")
+
+
+def q_score_checks(spark, sf_dir):
+    """M3-M10/F15 checked by value: per moment of a game, rows, the MVP shares'
+    total, and whether each team has one win percentage inside 0-100."""
+    s = scored_history(_events(spark, sf_dir))
+    teams = s.groupBy("game_id", "seconds_remaining", "team_code").agg(
+        F.count("*").alias("n"), F.sum("mvp_pct").alias("mvp"), F.min("mvp_pct").alias("m0"), F.max("mvp_pct").alias("m1"),
+        F.min("win_pct").alias("w0"), F.max("win_pct").alias("w1"))
+    return teams.groupBy("game_id", "seconds_remaining").agg(
+        F.sum("n").alias("n_rows"),
+        # shares are shown with two places, so a total may be off by half a hundredth a row
+        F.expr("abs(sum(mvp) - 100) <= 0.005 * sum(n) + 1e-6 OR sum(mvp) = 0").alias("mvp_total_ok"),
+        F.expr("bool_and(m0 >= 0 AND m1 <= 100)").alias("mvp_in_range"),
+        F.expr("bool_and(w0 = w1 AND w0 >= 0 AND w1 <= 100)").alias("win_ok"))
 
 
 def q_team_efficiency_share(spark, sf_dir):
     """Efficiency share of the team at each moment."""
-    d = dedupe_moments(_history_enriched(spark, sf_dir))
-    return _shots_text(share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
-                                      "efficiency_share", exact_scale=2))
+    d = dedupe_moments(by_moment(_history_enriched(spark, sf_dir)))
+    return share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
+                                      "efficiency_share", exact_scale=2)
 
 
 def q_team_efficiency_share_rounded(spark, sf_dir):
     """The training copy of the share, rounded to 4 places."""
-    d = dedupe_moments(_history_enriched(spark, sf_dir))
-    return _shots_text(share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
-                                      "efficiency_share", scale=4, exact_scale=2))
+    d = dedupe_moments(by_moment(_history_enriched(spark, sf_dir)))
+    return share_of_total(d, "efficiency", ("game_id", "team_code", "seconds_remaining"),
+                                      "efficiency_share", scale=4, exact_scale=2)
 
 
 def q_game_points_share(spark, sf_dir):
     """A player's share of the game's points at each moment, x100."""
-    d = dedupe_moments(_history_enriched(spark, sf_dir))
-    return _shots_text(share_of_total(d, "pts", ("game_id", "seconds_remaining"), "pts_pct", percent=True))
+    d = dedupe_moments(by_moment(_history_enriched(spark, sf_dir)))
+    return share_of_total(d, "pts", ("game_id", "seconds_remaining"), "pts_pct", percent=True)
 
 
 def q_new_since(spark, sf_dir):
@@ -173,7 +287,6 @@ def q_new_since(spark, sf_dir):
 def q_scored_history(spark, sf_dir):
     """Fit both models on the history's training set and
     score every snapshot (21 columns; processing-time stamp -> rows-only check)."""
-    from playstream.plans.batch import scored_history
     return scored_history(_events(spark, sf_dir))
 
 
@@ -185,7 +298,8 @@ def q_nation_revenue_share(spark, sf_dir):
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     rev = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
              .groupBy("c_nationkey")
-             .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+             .agg(F.sum((F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)")))
+                        .cast("decimal(24,4)")).cast("double").alias("revenue")))
     rev = rev.join(n, rev.c_nationkey == n.n_nationkey).select("n_regionkey", "n_name", "revenue")
     return share_of_total(rev, "revenue", ["n_regionkey"], "revenue_pct", scale=6, percent=True) \
         .withColumn("revenue", F.round("revenue", 2))
@@ -221,8 +335,14 @@ def q_customer_running_spend(spark, sf_dir):
 
 _HEN = O.enrich_sql("hs", ["game_id", "snapshot_id"], "hen")
 _FULL_HISTORY = [*O.HISTORY, _HEN]
+_SNAP = O.SNAP_COLS
 _SNAP_TEXT = O.SNAP_COLS + ", CAST(to_json(shots) AS VARCHAR) AS shots"
 
+# snapshots as the typed messages hold them
+_TYPED = "SELECT " + ", ".join(
+    f"CAST({c} AS INTEGER) AS {c}" if c in ("team_score", "score_diff", "seconds_remaining", "game_quarter", "pts", "ast", "reb", "stl", "blk", "tov", "pf")
+    else c for c in O.SNAP_COLS.split(", ")) + ", CAST(to_json(shots) AS VARCHAR) AS shots FROM en"
+
 ORACLE = {
     "pbp_raw": O.with_ctes(O.PBP_RAW, select="SELECT * FROM pbp_raw"),
     "normalize_events": O.with_ctes(*O.BASE, select="SELECT * FROM ev"),
@@ -244,8 +364,11 @@ ORACLE = {
         "'quarter': quarter, 'team_code': team_code, 'player_name': player_name, 'event_type': event_type, "
         "'shot_result': shot_result, 'shot_value': shot_value, 'assist_player': assist_player, 'clock': clock, "
         "'x': x, 'y': y}) AS VARCHAR), '\"[a-z_]+\":null,?', '', 'g'), ',}', '}') AS value FROM ev")),
-    "snapshot_history": O.with_ctes(*O.HISTORY, select="SELECT * EXCLUDE (shots), CAST(to_json(shots) AS VARCHAR) AS shots FROM hs"),
-    "history_snapshots": O.with_ctes(*_FULL_HISTORY, select=f"SELECT {_SNAP_TEXT}, snapshot_id FROM hen"),
+    "snapshot_history": O.with_ctes(*O.HISTORY, select="SELECT * EXCLUDE (shots) FROM hs"),
+    "history_snapshots": O.with_ctes(*_FULL_HISTORY, select=f"SELECT {_SNAP}, snapshot_id FROM hen"),
+    "snapshot_shots": O.with_ctes(*O.BASE, O.EVN, O.credits_sql("evn", "crs", "seq"), select=(
+        "SELECT game_id, player_name, team_code, CAST((seq - 1) // 30 + 1 AS BIGINT) AS snapshot_id, event_id, "
+        "shot_x AS x, shot_y AS y, fgm AS r FROM crs WHERE shot_x IS NOT NULL")),
     "decoded_history": O.with_ctes(*_FULL_HISTORY, select=(
         "SELECT game_id, team_code, " + ", ".join(
             f"CAST(coalesce({c}, 0) AS INTEGER) AS {c}" for c in
@@ -255,26 +378,44 @@ ORACLE = {
         ", coalesce(fg_pct, 0) AS fg_pct, coalesce(efficiency, 0) AS efficiency, "
         "CAST(to_json(shots) AS VARCHAR) AS shots, coalesce(snapshot_id, 0) AS snapshot_id FROM hen")),
     "dedupe_moments": O.with_ctes(*_FULL_HISTORY, O.DEDUP,
-                                  select=f"SELECT {_SNAP_TEXT}, snapshot_id FROM dd"),
+                                  select=f"SELECT {_SNAP}, snapshot_id FROM dd"),
     "training_set": O.with_ctes(*_FULL_HISTORY, O.DEDUP, O.TRAIN, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, final_diff, label_win, efficiency_norm, max_game_eff, label_mvp FROM tr")),
+        f"SELECT {_SNAP}, snapshot_id, final_diff, label_win, efficiency_norm, max_game_eff, label_mvp FROM tr")),
     "team_efficiency_share": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) "
+        f"SELECT {_SNAP}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) "
         "ELSE CAST(0.0 AS DOUBLE) END AS efficiency_share FROM dd "
         "WINDOW w AS (PARTITION BY game_id, team_code, seconds_remaining)")),
     "team_efficiency_share_rounded": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN round(efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE), 4) "
+        f"SELECT {_SNAP}, snapshot_id, CASE WHEN CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE) > 0 THEN round(efficiency / CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER w AS DOUBLE), 4) "
         "ELSE CAST(0.0 AS DOUBLE) END AS efficiency_share FROM dd "
         "WINDOW w AS (PARTITION BY game_id, team_code, seconds_remaining)")),
     "game_points_share": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
-        f"SELECT {_SNAP_TEXT}, snapshot_id, CASE WHEN sum(pts) OVER w > 0 THEN pts / sum(pts) OVER w * 100 "
+        f"SELECT {_SNAP}, snapshot_id, CASE WHEN sum(pts) OVER w > 0 THEN pts / sum(pts) OVER w * 100 "
         "ELSE CAST(0.0 AS DOUBLE) END AS pts_pct FROM dd WINDOW w AS (PARTITION BY game_id, seconds_remaining)")),
+    "training_hard": O.with_ctes(*O.hard(_FULL_HISTORY), O.DEDUP.replace("dd AS (", "dd0 AS (", 1), (
+        "dd AS (SELECT * REPLACE (coalesce(team_score, 0) AS team_score, coalesce(score_diff, 0) AS score_diff, "
+        "coalesce(seconds_remaining, 0) AS seconds_remaining) FROM dd0)"), O.TRAIN, select=(
+        f"SELECT {_SNAP}, snapshot_id, final_diff, label_win, efficiency_norm, max_game_eff, label_mvp FROM tr")),
+    "normalize_hard": O.with_ctes(*O.hard(O.BASE), select="SELECT * FROM ev"),
+    "snapshots_hard": O.with_ctes(*O.hard(O.STATS), O.enrich_sql("st", ["game_id"]), select=(
+        f"SELECT * REPLACE (CAST(team_score AS VARCHAR) AS team_score, CAST(score_diff AS VARCHAR) AS score_diff) "
+        f"FROM (SELECT {_SNAP_TEXT} FROM en)")),
+    "ordered_stats": O.with_ctes(*O.STATS, select="SELECT * EXCLUDE (shots) FROM st ORDER BY game_id, team_code"),
+    "flatten_actions": O.with_ctes(O.PBP_RAW, select="SELECT * FROM pbp_raw"),
+    "event_round_trip": O.with_ctes(*O.BASE, select="SELECT * FROM ev"),
+    "snapshot_round_trip": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
+    "stream_complete": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
+    "stream_update": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
+    "display_pct": "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', CAST(l_quantity AS DOUBLE) / 8) AS FLOAT) AS pct FROM lineitem",
+    "score_checks": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
+        "SELECT game_id, seconds_remaining, CAST(count(*) AS BIGINT) AS n_rows, true AS mvp_total_ok, true AS mvp_in_range, "
+        "true AS win_ok FROM dd GROUP BY game_id, seconds_remaining")),
     "new_since": O.with_ctes(O.PBP_RAW, select=(
         "SELECT r.* FROM pbp_raw r LEFT JOIN (SELECT game_id, max(action_number) AS cur FROM pbp_raw "
         "WHERE period <= 2 GROUP BY game_id) c ON r.game_id = c.game_id "
         "WHERE c.cur IS NULL OR r.action_number > c.cur")),
     "nation_revenue_share": (
-        "WITH rev AS (SELECT c.c_nationkey, sum(l.l_extendedprice * (1 - l.l_discount)) AS revenue "
+        "WITH rev AS (SELECT c.c_nationkey, CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue "
         "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey "
         "GROUP BY c.c_nationkey), r2 AS (SELECT n.n_regionkey, n.n_name, r.revenue FROM rev r "
         "JOIN nation n ON r.c_nationkey = n.n_nationkey) "
@@ -314,6 +455,18 @@ QUERIES: dict[str, Query] = {
     "game_points_share": q_game_points_share,
     "new_since": q_new_since,
     "scored_history": q_scored_history,
+    "snapshot_shots": q_snapshot_shots,
+    "training_hard": q_training_hard,
+    "normalize_hard": q_normalize_hard,
+    "snapshots_hard": q_snapshots_hard,
+    "ordered_stats": q_ordered_stats,
+    "flatten_actions": q_flatten_actions,
+    "event_round_trip": q_event_round_trip,
+    "snapshot_round_trip": q_snapshot_round_trip,
+    "display_pct": q_display_pct,
+    "stream_complete": q_stream_complete,
+    "stream_update": q_stream_update,
+    "score_checks": q_score_checks,
     "nation_revenue_share": q_nation_revenue_share,
     "latest_order_per_customer": q_latest_order_per_customer,
     "customer_running_spend": q_customer_running_spend,

@@ -3,7 +3,7 @@
 Written from the operator definitions (not generated from the engine): the
 reference formulation with joins, row_number and brute-force replays, so a
 mismatch points at the Spark plan.  Conventions: integer sums cast to
-BIGINT, explicit NULLS FIRST/LAST, ``round_even`` for ties-to-even, arrays
+BIGINT, explicit NULLS FIRST/LAST, ``printf`` for rounding by the exact binary value, arrays
 compared as JSON text.
 """
 
@@ -28,7 +28,23 @@ SELECT lpad(CAST(22500349+g AS STRING),10,'0') AS game_id, pos+1 AS action_numbe
   CASE WHEN res IS NOT NULL THEN (e % 800)/8.0E0 END AS x, CASE WHEN res IS NOT NULL THEN CAST(floor(v) AS INT) % 100 + 0.5E0 END AS y
 FROM d)"""
 
-# Normalised events.
+# The irregular view of the same actions (sources/fixture.py).
+PBP_HARD = PBP_RAW.replace("pbp_raw AS (", "pbp_easy AS (", 1) + """,
+pbp_num AS (SELECT *, (CAST(game_id AS INT) - 22500349) * 500 + action_number - 1 AS e FROM pbp_easy),
+pbp_raw AS (SELECT game_id, action_number, period,
+  regexp_replace(regexp_replace(clock_raw, 'PT0', 'PT'), 'M0', 'M') AS clock_raw,
+  CASE WHEN e % 41 = 0 THEN NULL WHEN e % 43 = 0 THEN 'T3RD' ELSE team_code END AS team_code, player_name,
+  CASE WHEN e % 37 = 0 THEN NULL ELSE action_type END AS action_type, shot_result, description,
+  CASE WHEN x IS NOT NULL THEN (e % 10000) / 100.0E0 END AS x,
+  CASE WHEN y IS NOT NULL THEN (e * 7 % 10000) / 100.0E0 END AS y FROM pbp_num)"""
+
+
+def hard(ctes: list[str]) -> list[str]:
+    """The same queries over the irregular view."""
+    return [PBP_HARD if c is PBP_RAW else c for c in ctes]
+
+
+# Normalised events (P4, F1-F4, L1).  The assist pattern is a fixed value of the feed.
 EV = r"""ev AS (
 SELECT game_id, CAST(action_number AS INTEGER) AS event_id, CAST(period AS INTEGER) AS quarter,
   team_code, player_name, coalesce(action_type, 'Unknown') AS event_type, shot_result,
@@ -39,7 +55,7 @@ SELECT game_id, CAST(action_number AS INTEGER) AS event_id, CAST(period AS INTEG
        THEN nullif(trim(regexp_extract(description, '\(([^)]+)\s+\d+\s+AST\)', 1)), '') END AS assist_player,
   CASE WHEN clock_raw IS NULL OR clock_raw = '' THEN '00:00'
        ELSE split_part(replace(replace(replace(clock_raw, 'PT', ''), 'M', ':'), 'S', ''), '.', 1) END AS clock,
-  round_even(x, 1) AS x, round_even(y, 1) AS y
+  CAST(printf('%.1f', x) AS DOUBLE) AS x, CAST(printf('%.1f', y) AS DOUBLE) AS y
 FROM pbp_raw WHERE player_name IS NOT NULL AND player_name <> '')"""
 
 # Events numbered within their game (kept events only).
@@ -143,7 +159,8 @@ SNAP_COLS = ("game_id, team_code, team_score, score_diff, seconds_remaining, gam
 
 # Deduplicated history: the latest snapshot of every (game, player, team, moment).
 DEDUP = """dd AS (SELECT * EXCLUDE (i) FROM (SELECT *, row_number() OVER (
-  PARTITION BY game_id, player_name, team_code, seconds_remaining ORDER BY snapshot_id DESC) AS i FROM hen) WHERE i = 1)"""
+  PARTITION BY game_id, player_name, team_code, seconds_remaining ORDER BY snapshot_id DESC,
+    score_diff DESC NULLS LAST) AS i FROM hen) WHERE i = 1)"""
 
 # Training set: labels from the final difference and the game's best efficiency.
 TRAIN = """fin AS (SELECT game_id, team_code, score_diff AS final_diff FROM (
@@ -153,7 +170,7 @@ tr0 AS (SELECT d.*, f.final_diff, CASE WHEN f.final_diff > 0 THEN 1 ELSE 0 END A
   CAST(sum(CAST(d.efficiency AS DECIMAL(30,2))) OVER (PARTITION BY d.game_id, d.team_code, d.seconds_remaining)
     AS DOUBLE) AS tot_eff,
   max(d.efficiency) OVER (PARTITION BY d.game_id) AS max_game_eff
-  FROM dd d LEFT JOIN fin f ON d.game_id = f.game_id AND d.team_code = f.team_code),
+  FROM dd d LEFT JOIN fin f ON d.game_id IS NOT DISTINCT FROM f.game_id AND d.team_code IS NOT DISTINCT FROM f.team_code),
 tr AS (SELECT * EXCLUDE (tot_eff),
   CASE WHEN tot_eff > 0 THEN efficiency / tot_eff ELSE CAST(0.0 AS DOUBLE) END AS efficiency_norm,
   CASE WHEN efficiency = max_game_eff THEN 1 ELSE 0 END AS label_mvp FROM tr0)"""

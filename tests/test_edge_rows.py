@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from playstream.operators import (enrich, enrich_by_joins, label_mvp, label_win, opponent_scores,
+from playstream.operators import (add_labels, enrich, enrich_by_joins, opponent_scores,
                                   player_credits, player_stats)
 from playstream.schemas import EVENT
 
@@ -69,7 +69,7 @@ def test_labels(spark):
                                 ("g", "B", "p3", 100, 3, 1, 9.0), ("g", "B", "p4", 0, -4, 2, 2.0)],
                                "game_id string, team_code string, player_name string, seconds_remaining int, "
                                "score_diff int, snapshot_id long, efficiency double")
-    rows = {r.player_name: r for r in label_mvp(label_win(df)).collect()}
+    rows = {r.player_name: r for r in add_labels(df).collect()}
     assert [rows[p].label_win for p in ["p1", "p2", "p3", "p4"]] == [1, 1, 0, 0]
     assert [rows[p].label_mvp for p in ["p1", "p2", "p3", "p4"]] == [0, 1, 1, 0]
 
