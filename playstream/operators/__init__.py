@@ -1,7 +1,7 @@
 """DataFrame operators of the play-by-play pipeline."""
 
 from playstream.operators.codec import decode, encode, fill_numeric
-from playstream.operators.context import (add_metrics, enrich, enrich_by_joins, game_clock,
+from playstream.operators.context import (add_metrics, enrich, game_clock,
                                           opponent_scores, team_scores, with_game_clock,
                                           with_team_context)
 from playstream.operators.credits import fan_out, player_credits
@@ -14,7 +14,7 @@ from playstream.operators.stats import (latest_by, ordered_stats, player_stats,
 
 __all__ = [
     "decode", "encode", "fill_numeric",
-    "add_metrics", "enrich", "enrich_by_joins", "game_clock", "opponent_scores", "team_scores",
+    "add_metrics", "enrich", "game_clock", "opponent_scores", "team_scores",
     "with_game_clock", "with_team_context",
     "fan_out", "player_credits",
     "add_labels", "training_set",

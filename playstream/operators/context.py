@@ -85,14 +85,6 @@ def add_metrics(df: DataFrame) -> DataFrame:
     return df.withColumns(_metric_columns())
 
 
-def enrich_by_joins(stats: DataFrame, by: Sequence[str] = GAME) -> DataFrame:
-    """J4 written as the joins of J1-J3 (kept as the plain formulation;
-    :func:`enrich` computes the same rows with one exchange)."""
-    ctx = opponent_scores(team_scores(stats, by), by)
-    out = with_game_clock(with_team_context(stats, ctx, by), game_clock(stats, by), by)
-    return _project(add_metrics(out), by)
-
-
 def enrich(stats: DataFrame, by: Sequence[str] = GAME, team: str = "team_code") -> DataFrame:
     """Player statistics -> snapshot rows with team score, score difference,
     game quarter/clock, seconds remaining and efficiency (J4).

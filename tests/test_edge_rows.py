@@ -3,10 +3,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from playstream.operators import (add_labels, enrich, enrich_by_joins, opponent_scores,
-                                  player_credits, player_stats)
+from playstream.operators import (add_labels, add_metrics, enrich, game_clock, opponent_scores,
+                                  player_credits, player_stats, team_scores, with_game_clock,
+                                  with_team_context)
 from playstream.schemas import EVENT
 
+
+def enrich_by_joins(stats):
+    """The joins that ``enrich`` stands for."""
+    out = with_team_context(stats, opponent_scores(team_scores(stats)))
+    return add_metrics(with_game_clock(out, game_clock(stats)))
+
 EDGE = [
     ("0022500001", 1, 1, "AAA", "A. One", "2pt", "Made", 2, "A. Two", "12:00", 10.0, 20.0),
     ("0022500001", 2, 1, "AAA", "A. Two", "freethrow", "Made", 1, None, "11:40", 5.0, 5.0),

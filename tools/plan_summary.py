@@ -28,11 +28,11 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     from playstream import get_session
-    import __spark_entry__ as E
+    from playstream.plans.catalog import QUERIES
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]")
     rows = []
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         rows.append((name, summarize(df._jdf.queryExecution().executedPlan().toString())))
