@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import slices, table
+from playstream.llm.common import save, slices, table
 
 PATHS = 4            # paths kept of a host, by votes
 
@@ -203,7 +203,7 @@ def extract(page: str, paths: list[str]) -> str:
         inside = [t for p, t, _ in found if _inside(p, path)]
         if inside:
             return "\n".join(inside)
-    own = max(votes(found), key=lambda x: (x[1], x[0]), default=None)
+    own = min(votes(found), key=lambda x: (-x[1], x[0]), default=None)
     return "\n".join(t for p, t, _ in found if own is None or _inside(p, own[0]))
 
 
@@ -215,7 +215,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
       ignored; an empty table gives an empty table;
     * ties of votes go to the smaller path."""
     rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    paths = host_paths(pages).withColumnRenamed("host", "of")
+    # written first, so Spark knows its size: few hosts are broadcast under its
+    # threshold and the pages stay where they are, more are joined by host
+    paths = save(host_paths(pages)).withColumnRenamed("host", "of")
     joined = rows.join(paths, rows["host"] == paths["of"], "left").select("page_id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
