@@ -14,6 +14,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -30,51 +33,180 @@ from playstream.llm.common import save, slices, table
 LENGTH = 2048        # tokens of a sequence
 END = 0              # id that ends a document
 SALT_ROWS = 1 << 18  # pieces of one length that a task numbers
-_CACHED = 1 << 18    # words whose ids a task remembers
+_STRINGS = 1 << 19   # distinct strings between blanks whose ids a task remembers
+_WORDS = 3 << 18     # distinct words whose ids a worker process remembers
+_JOINED = 1 << 14    # words that the tokeniser gets at once
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # ASCII marks but the apostrophe
 
 
-class _Encoder:
-    """Ids of texts, by way of the ids of their words: the tokeniser drops
-    white space and merges only inside words, so a text's ids are its words'
-    ids in a row.  Words are encoded once and remembered (up to a bound)."""
+def _classes() -> np.ndarray:
+    """Classes by which the tokeniser's pattern cuts words, for the characters
+    of ASCII and the Latin blocks: 1 letter, 2 number, 3 other, 0 white space."""
+    kinds = [unicodedata.category(chr(c))[0] for c in range(0x250)]
+    return np.array([0 if chr(c).isspace() else {"L": 1, "N": 2}.get(k, 3) for c, k in enumerate(kinds)], np.int8)
+
+
+class _Store:
+    """Runs of ids by number, in arrays that grow by doubling."""
+
+    def __init__(self) -> None:
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(sizes) > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.sizes[self.n:self.n + len(sizes)] = sizes
+        self.starts[self.n:self.n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.n += len(sizes)
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs' ids in a row, and the runs' sizes."""
+        sizes = self.sizes[numbers]
+        place = np.arange(int(sizes.sum())) + np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
+        return self.ids[place], sizes
+
+
+class _Numbers(dict):
+    """Numbers of strings in order of their first look-up; ``new`` lists those without ids yet."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.new.append(key)
+        self[key] = n = len(self)
+        return n
+
+
+class _Words:
+    """Ids of words, encoded once by a worker process and remembered (up to a bound)."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
+        self.classes = _classes()
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.store = _Numbers(), _Store()
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def split(self, strings: list[str]) -> list[str]:
+        """Each string without blanks as two words whose ids in a row are its
+        own: the marks at its end go apart, in lower case.  A string whose
+        characters are not ASCII or plain Latin letters, or that holds an
+        apostrophe or a special token's mark, stays as it is."""
+        out: list[str] = []
+        add, classes = out.append, self.classes
+        for string in strings:
+            low = string.lower()
+            if "'" in low or "<|" in low:
+                add(string)
+                add("")
+            elif low.isascii():
+                word = low.rstrip(_MARKS)
+                add(word)
+                add(low[len(word):])
+            elif max(low + string) < "\u0250" and "\u0130" not in string and unicodedata.is_normalized("NFC", string):
+                word = low.rstrip(_MARKS)
+                if word and classes[ord(word[-1])] == 3:
+                    word = low
+                add(word)
+                add(low[len(word):])
+            else:
+                add(string)
+                add("")
+        return out
+
+    def _plain(self, word: str) -> bool:
+        return "'" not in word and "<|" not in word and (word.isascii() or (max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word)))
+
+    def add_new(self) -> None:
+        """Encode the words looked up since the last call, many as one text whose
+        ids are cut after each one's last part.  Parts are counted by character
+        class, so other words are encoded alone."""
+        new, self.numbers.new = self.numbers.new, []
+        for at in range(0, len(new), _JOINED):
+            words = new[at:at + _JOINED]
+            easy = [w for w in words if self._plain(w)]
+            joined = "  ".join(easy) + " "
+            kind = self.classes[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+            starts = (kind > 0) & ((kind == 2) | (kind != np.concatenate([[0], kind[:-1]])))
+            upto = np.cumsum(starts)[np.cumsum(np.fromiter((len(w) + 2 for w in easy), np.int64, len(easy))) - 2] if easy else np.zeros(0, np.int64)
+            ids = self.encode(joined)
+            stops = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            known = {}
+            if easy and upto[-1] == len(stops) - 1 and stops[-1] == len(ids):
+                if len(easy) == len(words):
+                    self.store.add(ids, np.diff(stops[upto], prepend=0))
+                    continue
+                known = dict(zip(easy, zip(stops[np.concatenate([[0], upto[:-1]])].tolist(), stops[upto].tolist())))
+            parts = [ids[slice(*known[w])] if w in known else self.encode(w) for w in words]
+            self.store.add(np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts)))
+
+
+class _Encoder:
+    """Ids of texts, by way of the ids of the strings between their blanks: the
+    tokeniser drops white space and merges only inside words, so a text's ids
+    are its strings' ids in a row.  A string is put together from its words
+    once and remembered (up to a bound)."""
+
+    def __init__(self, path: str) -> None:
+        self.words = _words(path)
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.sizes = self.starts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.numbers, self.store = _Numbers(), _Store()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.index) > _CACHED:
+        if len(self.numbers) > _STRINGS:
             self._clear()
-        new = list({w for words in split for w in words}.difference(self.index))
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.starts = np.cumsum(self.sizes) - self.sizes
-            self.ids = np.concatenate([self.ids, np.fromiter((x for ids in got for x in ids), np.uint32, int(sizes.sum()))])
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-            n = self.sizes[at]
-            total = int(n.sum())
-            place = np.arange(total) + np.repeat(self.starts[at] - (np.cumsum(n) - n), n)
-            out.append(self.ids[place])
-        return out
+        if len(self.words.numbers) > _WORDS:
+            self.words.clear()
+        get = self.numbers.__getitem__
+        found = []
+        for t in texts:
+            strings = _lower(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            found.append(np.fromiter(map(get, strings), np.int64, len(strings)))
+        new, self.numbers.new = self.numbers.new, []
+        pairs = np.fromiter(map(self.words.numbers.__getitem__, self.words.split(new)), np.int64, 2 * len(new))
+        self.words.add_new()
+        ids, sizes = self.words.store.get(pairs)
+        self.store.add(ids, sizes.reshape(-1, 2).sum(axis=1))
+        return [self.store.get(x)[0] for x in found]
+
+
+def _lower(text: str) -> str:
+    """The text in lower case, where that is all the same to the tokeniser."""
+    if "\u03a3" in text or "\u0130" in text or "<|" in text or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
+        return text
+    return text.lower()
+
+
+def _words(path: str) -> _Words:
+    """This worker process's words; the process outlives a task."""
+    own = sys.modules.setdefault("playstream_worker", types.ModuleType("playstream_worker")).__dict__
+    if path not in own:
+        own[path] = _Words(path)
+    return own[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``; a null text is empty, so it is one piece of the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _Encoder(tokenizer)
-        for b in slices(batches):
+        for b in slices(batches, 128):
             rows, nums, starts, sizes, crcs = [], [], [], [], []
             for row, ids in enumerate(encode([t or "" for t in b.column("text").to_pylist()])):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
