@@ -8,6 +8,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 256
 
 _runs: dict[str, str] = {}
+_recorders: list[list[str]] = []
 
 
 def scratch(spark: SparkSession) -> str:
@@ -51,8 +53,20 @@ def save(df: DataFrame) -> DataFrame:
 
     Cuts the lineage; the files survive lost executors."""
     path = f"{scratch(df.sparkSession)}/{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def erase(*tables: DataFrame) -> None:
+    """Delete saved tables from which everything has been computed and saved,
+    and the shuffle files that were needed for that."""
+    for df in tables:
+        _delete(df.sparkSession, df._saved_at)
+    release(tables[0].sparkSession)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,3 +102,20 @@ def release(spark: SparkSession) -> None:
     rather than when the driver happens to collect its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Within it, the paths of saved tables are added to ``paths``."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete recorded tables that nothing reads any more."""
+    while paths:
+        _delete(spark, paths.pop())
+    release(spark)
