@@ -1,16 +1,17 @@
-"""Which 64-bit values do two owners have?  Found one bucket of values at a
-time and told to tasks as a bitmap of fixed size.
+"""Which 64-bit values are there, or do two owners have?  Found one bucket of
+values at a time and told to tasks as a bitmap of fixed size.
 
 The bitmap may say yes wrongly (more often, the larger the input); whoever
 uses it must find the true matches among what it lets through."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SLOT_BITS = 27       # the bitmap has 2 ** 27 bits (16 MB), whatever the input's size
 _REST_BITS = 40      # bits of a value that are compared within a bucket
@@ -52,8 +53,9 @@ def _bucketed(values_of: Values, bits: int):
     return run
 
 
-def shared(df: DataFrame, values_of: Values) -> np.ndarray:
-    """Packed bits by the first ``SLOT_BITS`` bits of the values that two owners have.
+def shared(df: DataFrame, values_of: Values, owners: int = 2) -> np.ndarray:
+    """Packed bits by the first ``SLOT_BITS`` bits of the values that two owners
+    (``owners=1``: any) have.
 
     Owners' numbers only need to differ within a task; equal values of
     different tasks count as two owners'."""
@@ -67,7 +69,9 @@ def shared(df: DataFrame, values_of: Values) -> np.ndarray:
             values.append(np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
         v = np.sort(np.concatenate(values))
         flags = np.zeros(1 << (SLOT_BITS - bits), bool)
-        flags[(v[1:][v[1:] == v[:-1]] >> np.uint64(_REST_BITS - SLOT_BITS + bits)).astype(np.int64)] = True
+        if owners > 1:
+            v = v[1:][v[1:] == v[:-1]]
+        flags[(v >> np.uint64(_REST_BITS - SLOT_BITS + bits)).astype(np.int64)] = True
         return pa.table({"bucket": group.column("bucket").slice(0, 1), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
 
     out = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
@@ -78,6 +82,22 @@ def shared(df: DataFrame, values_of: Values) -> np.ndarray:
     return out
 
 
-def holds(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = (values >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    return (flags[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+class Flags:
+    """A bitmap for tasks, sent compressed and unpacked once by a task."""
+
+    def __init__(self, spark: SparkSession, bits: np.ndarray) -> None:
+        self._sent = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))   # 16 MB at most
+        self._bits = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_bits": None}
+
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        if self._bits is None:
+            self._bits = np.frombuffer(zlib.decompress(self._sent.value), np.uint8)
+        slot = (values >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        return (self._bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+    def forget(self) -> None:
+        """Remove it everywhere; what was computed with it must have been saved."""
+        self._sent.destroy()

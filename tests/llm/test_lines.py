@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from playstream.llm.lines import SHINGLE, band_keys, dedup_lines, form, op9_line_dedup, shingles
+from playstream.llm.lines import SHINGLE, _distances, band_keys, dedup_lines, form, op9_line_dedup, removals, shingles
 from tests.llm.util import EDGE, SF0001, docs_of
 
 
@@ -96,3 +96,27 @@ def test_band_recall():
         k = band_keys(["".join(a), "".join(b)])
         met += bool((k[0] == k[1]).any())
     assert met >= 396
+
+
+def test_chunks_of_one_bucket(spark):
+    """Many variants of one line, in chunks far smaller than the bucket."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    base = [rng.choice(words) for _ in range(40)]
+    rows = [(0, " ".join(base)), (1, " ".join(base))]
+    for d in range(2, 70):
+        w = base[:]
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6])):
+            w[rng.randrange(40)] = rng.choice(words[:30])
+        rows.append((d, " ".join(w)))
+    gone = {r.key.doc_id for r in removals(docs_of(spark, rows), chunk=7).collect()}
+    assert {d for d, t in plain(rows) if not t} == gone
+
+
+def test_distances_are_exact():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(SHINGLE, 60))) for _ in range(60)] + ["é" * 9, "é" * 30]
+    xs, ys = zip(*[(rng.choice(texts), rng.choice(texts)) for _ in range(300)])
+    for x, y, (apart, both) in zip(xs, ys, _distances(list(xs), list(ys))):
+        a, b = shingles(x), shingles(y)
+        assert (apart, both) == (len(a ^ b), len(a | b))
