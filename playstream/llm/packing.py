@@ -34,7 +34,7 @@ LENGTH = 2048        # tokens of a sequence
 END = 0              # id that ends a document
 SALT_ROWS = 1 << 18  # pieces of one length that a task numbers
 _STRINGS = 1 << 19   # distinct strings between blanks whose ids a task remembers
-_WORDS = 3 << 18     # distinct words whose ids a worker process remembers
+_WORDS = 1 << 19     # distinct words whose ids a worker process remembers
 _JOINED = 1 << 14    # words that the tokeniser gets at once
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # ASCII marks but the apostrophe
 
