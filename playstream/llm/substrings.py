@@ -9,10 +9,12 @@ A suffix matters up to ``MIN`` bytes here, so it is a window of the text.
    sample's hash is its rank: equal strings, equal ranks.
 2. Ranks met in two documents are found one bucket of ranks at a time; a
    bitmap of fixed size tells the tasks which samples may be shared.
-3. Every window belongs to its least sample.  The windows of a sample form a
-   context; a context that also stands in a document of a smaller id is
-   removed whole.
-4. Where one rank has several contexts, their windows are a suffix bucket.
+3. Neighbouring samples that may be shared form chunks, cut by content.  A
+   chunk that also stands in a document of a smaller id is removed whole; its
+   samples need no further look.
+4. Every window belongs to its least sample.  The windows of a sample form a
+   context; one that also stands in a document of a smaller id goes whole.
+5. Where one rank has several contexts, their windows are a suffix bucket.
    Tasks sort one bucket at a time and compare neighbours byte by byte; equal
    ranks already decide the sample's 16 bytes, the rest is sorted.  A bucket
    of very many contexts is grouped by Spark, window by window.
@@ -29,12 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.bitmap import holds, shared
-from playstream.llm.common import as_bytes, release, row_key, save, slices, table
+from playstream.llm.bitmap import Flags, shared
+from playstream.llm.common import as_bytes, erase, release, row_key, save, slices, table
 
 MIN = 50                   # bytes of a repeated string
 SAMPLE = 16                # bytes of a cover sample
 _SPAN = MIN - SAMPLE + 1   # samples in a window
+_MARK = 15                 # a sample whose rank has these bits clear begins a chunk
 SORTED_ROWS = 20000        # most contexts of one rank that a task sorts
 _BATCH_ROWS = 4096
 
@@ -104,31 +107,121 @@ def _ranks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ranks), np.concatenate(owners)
 
 
-def _contexts(docs: DataFrame, bitmap) -> DataFrame:
-    """One row per document: the contexts of its samples that may be shared."""
+def _contexts(docs: DataFrame, ranks: Flags) -> DataFrame:
+    """One row per document: the contexts of its samples that may be shared,
+    and the chunks they form (number of the first sample, digest)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.frombuffer(bitmap.value, np.uint8)
+        digest = xxhash.xxh3_64_intdigest
         for b in slices(batches, 64):
             texts = as_bytes(b.column("text"))
             text, rank, lo, n = cover(texts)
-            keep = holds(flags, rank)
+            keep = ranks.holds(rank)
             text, rank, lo, n = text[keep], rank[keep], lo[keep], n[keep]
-            digest = xxhash.xxh3_64_intdigest
+            end = lo + n
+            begins = (rank & np.uint64(_MARK)) == 0
+            begins[:1] = True
+            begins[1:] |= (text[1:] != text[:-1]) | (lo[1:] != end[:-1])
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:], len(lo))[:len(first)] - 1
             views = list(map(memoryview, texts))
-            context = np.fromiter((digest(views[t][a:z]) for t, a, z in zip(text.tolist(), lo.tolist(), (lo + n + MIN - 1).tolist())), np.uint64, len(lo))
-            cuts = pa.array(np.searchsorted(text, np.arange(b.num_rows + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (rank.view(np.int64), context.view(np.int64), lo.astype(np.int32), n.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), *lists], ["doc_id", "h", "rank", "context", "lo", "n"])
+            of = lambda t, a, z: np.fromiter((digest(views[i][x:y]) for i, x, y in zip(t.tolist(), a.tolist(), (z + MIN - 1).tolist())), np.uint64, len(t))
+            cuts = np.searchsorted(text, np.arange(b.num_rows + 1))
+            chunk_cuts = np.searchsorted(text[first], np.arange(b.num_rows + 1))
+            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (
+                rank.view(np.int64), of(text, lo, end).view(np.int64), lo.astype(np.int32), n.astype(np.int32))]
+            lists += [pa.ListArray.from_arrays(pa.array(chunk_cuts, pa.int32()), pa.array(x)) for x in (
+                (first - cuts[text[first]]).astype(np.int32), of(text[first], lo[first], end[last]).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), *lists], ["doc_id", "h", "rank", "context", "lo", "n", "chunk", "digest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, h long, rank array<long>, context array<long>, lo array<int>, n array<int>")
+    return docs.mapInArrow(run, f"doc_id {kind}, h long, rank array<long>, context array<long>, lo array<int>, n array<int>, chunk array<int>, digest array<long>")
+
+
+class _Samples:
+    """A batch of ``_contexts`` as flat arrays: samples, chunks, and the row of each."""
+
+    def __init__(self, b: pa.RecordBatch) -> None:
+        flat = lambda name: b.column(name).flatten().to_numpy()
+        size = lambda name: b.column(name).value_lengths().to_numpy()
+        self.rank, self.context, self.lo, self.n = (flat(k) for k in ("rank", "context", "lo", "n"))
+        self.row = np.repeat(np.arange(b.num_rows), size("rank"))
+        self.h = b.column("h").to_numpy()
+        starts = np.cumsum(size("rank")) - size("rank")
+        self.chunk_row = np.repeat(np.arange(b.num_rows), size("chunk"))
+        self.first = flat("chunk") + starts[self.chunk_row]
+        self.digest = flat("digest")
+        self.last = np.append(self.first[1:], len(self.rank))[:len(self.first)] - 1
+
+    def owned(self) -> np.ndarray:
+        """A value of each chunk in its document."""
+        return _mix(self.digest.view(np.uint64) ^ _mix(self.h[self.chunk_row].view(np.uint64)))
+
+    def open(self, chunks: Flags) -> np.ndarray:
+        """Which samples are in chunks that the bitmap of open chunks holds."""
+        return np.repeat(chunks.holds(self.owned()), self.last - self.first + 1)
+
+
+def _chunks(kept: DataFrame) -> DataFrame:
+    """``(doc_id, h, rank, digest, start, stop, own)``: the chunks, told apart by their first rank and digest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            s = _Samples(b)
+            rows = pa.array(s.chunk_row)
+            stop = s.lo[s.last] + s.n[s.last] + np.int32(MIN - 1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(rows), b.column("h").take(rows), pa.array(s.rank[s.first]), pa.array(s.digest), pa.array(s.lo[s.first]),
+                 pa.array(stop), pa.array(s.owned().view(np.int64))], ["doc_id", "h", "rank", "digest", "start", "stop", "own"])
+
+    kind = kept.schema["doc_id"].dataType.simpleString()
+    return kept.mapInArrow(run, f"doc_id {kind}, h long, rank long, digest long, start int, stop int, own long")
+
+
+def _own(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    own = batch.column("own").to_numpy().view(np.uint64)
+    return own, own
+
+
+def _document(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The documents' numbers, mixed."""
+    h = _mix(batch.column("h").to_numpy().view(np.uint64))
+    return h, h
+
+
+def _open_ranks(chunks: Flags):
+    """Ranks and documents of the samples in open chunks."""
+    def values(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        s = _Samples(batch)
+        left = s.open(chunks)
+        return s.rank[left].view(np.uint64), s.h[s.row[left]].view(np.uint64)
+    return values
+
+
+def _occurrences(kept: DataFrame, chunks: Flags, ranks: Flags) -> DataFrame:
+    """``(doc_id, h, rank, context, lo, n)`` of the samples in open chunks whose rank another document's open chunk may have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            s = _Samples(b)
+            left = s.open(chunks) & ranks.holds(s.rank.view(np.uint64))
+            rows = pa.array(s.row[left])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("h").take(rows)] + [pa.array(x[left]) for x in (s.rank, s.context, s.lo, s.n)],
+                                             ["doc_id", "h", "rank", "context", "lo", "n"])
+
+    kind = kept.schema["doc_id"].dataType.simpleString()
+    return kept.mapInArrow(run, f"doc_id {kind}, h long, rank long, context long, lo int, n int")
 
 
 def _read(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The first contexts' bytes: ``(rank, context, first, places, n, bytes)``."""
-    wanted = firsts.groupBy(F.struct("first", F.col("places")[0]["h"].alias("h")).alias("at")).agg(
-        F.collect_list(F.struct("rank", "context", "places", "n")).alias("all"))
-    rows = docs.select(F.struct("doc_id", "h").alias("key"), "text")
+    wanted = save(firsts.groupBy(F.struct("first", F.col("places")[0]["h"].alias("h")).alias("at")).agg(
+        F.collect_list(F.struct("rank", "context", "places", "n")).alias("all")))
+    held = Flags(docs.sparkSession, shared(wanted.select("at.h"), _document, owners=1))
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1024):
+            yield b.filter(pa.array(held.holds(_document(b)[0])))
+
+    some = docs.select("doc_id", "h", "text").mapInArrow(only, docs.select("doc_id", "h", "text").schema)
+    rows = some.select(F.struct("doc_id", "h").alias("key"), "text")
     found = rows.join(wanted, rows["key"] == wanted["at"]).dropDuplicates(["key"]).select("text", "key.doc_id", "all")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,31 +298,44 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """``(doc_id, h, start, stop)``: byte ranges of ``docs(doc_id, h, text)`` that go; they may overlap."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(shared(docs.select("h", "text"), _ranks).tobytes())  # 16 MB
-    kept = save(_contexts(docs, bitmap))
+    ranks = Flags(spark, shared(docs.select("h", "text"), _ranks))
+    kept = save(_contexts(docs, ranks))
+    ranks.forget()
+    release(spark)
+    chunks = _chunks(kept)
+    low = chunks.groupBy("rank", "digest").agg(F.min("doc_id").alias("first"))
+    chunks = save(chunks.join(low, ["rank", "digest"]).select("doc_id", "h", "start", "stop", "own", (F.col("first") < F.col("doc_id")).alias("gone")))
     release(spark)
-    occurrences = kept.select("doc_id", "h", F.explode(F.arrays_zip("rank", "context", "lo", "n")).alias("c")).select("doc_id", "h", "c.*")
+    open_chunks = Flags(spark, shared(chunks.where("NOT gone").select("own"), _own, owners=1))
+    whole = save(chunks.where("gone").select("doc_id", "h", "start", "stop"))
+    open_ranks = Flags(spark, shared(kept, _open_ranks(open_chunks)))
+    occurrences = save(_occurrences(kept, open_chunks, open_ranks))
+    open_chunks.forget()
+    open_ranks.forget()
+    erase(kept, chunks)
     firsts = save(occurrences.groupBy("rank", "context").agg(F.min("doc_id").alias("first")))
     release(spark)
     several = firsts.groupBy("rank").agg(F.count("*").alias("contexts")).where("contexts > 1")
     known = firsts.join(several, "rank", "left")
     placed = save(occurrences.join(known, ["rank", "context"]).where("first < doc_id OR contexts > 1"))
-    release(spark)
-    certain = placed.where("first < doc_id").select("doc_id", "h", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + MIN - 1).alias("stop"))
-    own = (placed.where("first = doc_id").groupBy("rank", "context", "first", "n", "contexts")
-           .agg(F.sort_array(F.collect_set(F.struct("h", "lo"))).alias("places")))  # places in one document
-    own = save(own)
+    erase(occurrences, firsts)
+    certain = save(placed.where("first < doc_id").select("doc_id", "h", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + MIN - 1).alias("stop")))
+    own = save(placed.where("first = doc_id").groupBy("rank", "context", "first", "n", "contexts")
+               .agg(F.sort_array(F.collect_set(F.struct("h", "lo"))).alias("places")))  # places in one document
+    erase(placed)
     small = save(_read(docs, own.where(F.col("contexts") <= sorted_rows).drop("contexts")))
+    release(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     ranges = save(small.repartition("rank").sortWithinPartitions("rank").mapInArrow(_sorted_buckets, f"doc_id {kind}, h long, start int, stop int"))
+    erase(small)
     large = save(_read(docs, own.where(F.col("contexts") > sorted_rows).drop("contexts")))
-    release(spark)
+    erase(own)
     windows = large.select("first", "places", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"), "bytes").select(
         "first", "places", "at", F.substring("bytes", F.col("at") + 1, F.lit(MIN)).alias("window"))
     least = windows.groupBy("window").agg(F.min("first").alias("least"))
     hot = (windows.join(least, "window").where("least < first").select("first", "at", F.explode("places").alias("p"))
            .select(F.col("first").alias("doc_id"), "p.h", (F.col("p.lo") + F.col("at")).alias("start"), (F.col("p.lo") + F.col("at") + MIN).alias("stop")))
-    return certain.unionByName(ranges).unionByName(hot)
+    return whole.unionByName(certain).unionByName(ranges).unionByName(hot)
 
 
 def without_repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
