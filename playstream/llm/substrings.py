@@ -2,7 +2,7 @@
 
 A suffix matters up to ``MIN`` bytes here, so it is a window of the text.
 
-1. Cover sample: the positions whose 16-byte hash is the least among the
+1. Cover sample: the positions whose 24-byte hash is the least among the
    windows around them.  Like a difference cover's sample it holds a place at
    the same offset in any two equal windows - here it is chosen by content,
    which takes a third of the positions that an arithmetic cover takes.  The
@@ -16,7 +16,7 @@ A suffix matters up to ``MIN`` bytes here, so it is a window of the text.
    context; one that also stands in a document of a smaller id goes whole.
 5. Where one rank has several contexts, their windows are a suffix bucket.
    Tasks sort one bucket at a time and compare neighbours byte by byte; equal
-   ranks already decide the sample's 16 bytes, the rest is sorted.  A bucket
+   ranks already decide the sample's 24 bytes, the rest is sorted.  A bucket
    of very many contexts is grouped by Spark, window by window.
 """
 
@@ -35,7 +35,7 @@ from playstream.llm.bitmap import Flags, shared
 from playstream.llm.common import as_bytes, erase, release, row_key, save, slices, table
 
 MIN = 50                   # bytes of a repeated string
-SAMPLE = 16                # bytes of a cover sample
+SAMPLE = 24                # bytes of a cover sample, a multiple of eight
 _SPAN = MIN - SAMPLE + 1   # samples in a window
 _MARK = 15                 # a sample whose rank has these bits clear begins a chunk
 SORTED_ROWS = 20000        # most contexts of one rank that a task sorts
@@ -71,7 +71,9 @@ def cover(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     if not (sizes >= MIN).any():
         return none, none.astype(np.uint64), none, none
     words = np.ndarray((n - 7,), "<u8", data, 0, (1,)).copy()
-    rank = _mix(_mix(words[:n - 15]) ^ words[8:])
+    rank = np.zeros(n - SAMPLE + 1, np.uint64)
+    for at in range(0, SAMPLE, 8):
+        rank = _mix(rank ^ words[at:at + len(rank)])
     order = np.maximum((rank >> np.uint64(32)).astype(np.uint32), np.uint32(1))
     least = _slide(np.minimum, order, _SPAN)
     edge = np.zeros(n + 1, np.int8)  # windows that end inside their text
