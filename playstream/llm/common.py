@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Name under which a worker process keeps things from task to task.
+WORKER = "playstream_worker"
+
 #: Rows of a record batch that a task turns into Python objects at once.
 SLICE_ROWS = 256
 
@@ -73,8 +77,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces of at most ``rows`` rows, to bound memory."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, remember: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of at most ``rows`` rows, to bound memory.
+
+    Unless told to ``remember``, the worker process first lets go of what tasks
+    of another kind have left for later ones."""
+    if not remember:
+        sys.modules.pop(WORKER, None)
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playstream.llm.common import save, slices, table
+from playstream.llm.common import WORKER, save, slices, table
 
 LENGTH = 2048        # tokens of a sequence
 END = 0              # id that ends a document
@@ -196,7 +196,7 @@ def _lower(text: str) -> str:
 
 def _words(path: str) -> _Words:
     """This worker process's words; the process outlives a task."""
-    own = sys.modules.setdefault("playstream_worker", types.ModuleType("playstream_worker")).__dict__
+    own = sys.modules.setdefault(WORKER, types.ModuleType(WORKER)).__dict__
     if path not in own:
         own[path] = _Words(path)
     return own[path]
@@ -206,7 +206,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
     """``(doc_id, piece, start, length, ids_crc32)``; a null text is empty, so it is one piece of the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _Encoder(tokenizer)
-        for b in slices(batches, 128):
+        for b in slices(batches, 128, remember=True):
             rows, nums, starts, sizes, crcs = [], [], [], [], []
             for row, ids in enumerate(encode([t or "" for t in b.column("text").to_pylist()])):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
