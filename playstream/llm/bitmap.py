@@ -17,8 +17,8 @@ SLOT_BITS = 27       # the bitmap has 2 ** 27 bits (16 MB), whatever the input's
 _REST_BITS = 40      # bits of a value that are compared within a bucket
 _FLUSH = 1 << 21     # values that a task gathers before it writes their buckets
 
-#: Of a record batch: well-mixed values, and the owner's number of each.
-Values = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+#: Of a record batch: well-mixed values, and the owner's number of each (None: every value has an owner of its own).
+Values = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray | None]]
 
 
 def _bucketed(values_of: Values, bits: int):
@@ -43,7 +43,7 @@ def _bucketed(values_of: Values, bits: int):
             v, owner = values_of(b)
             if len(v):
                 values.append(v)
-                owners.append(owner)
+                owners.append(np.arange(have, have + len(v)) if owner is None else owner)  # not from 0 in every batch
                 have += len(v)
             if have >= _FLUSH:
                 yield flush(values, owners)

@@ -137,9 +137,9 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("line").to_numpy().view(np.uint64)
 
 
-def _every(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _every(batch: pa.RecordBatch) -> tuple[np.ndarray, None]:
     """The lines, each row an owner of its own."""
-    return _ids(batch), np.arange(batch.num_rows)
+    return _ids(batch), None
 
 
 def _values(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

@@ -120,3 +120,16 @@ def test_distances_are_exact():
     for x, y, (apart, both) in zip(xs, ys, _distances(list(xs), list(ys))):
         a, b = shingles(x), shingles(y)
         assert (apart, both) == (len(a ^ b), len(a | b))
+
+
+def test_copies_one_batch_apart(spark):
+    """Copies of lines at the same row of two Arrow batches of one task."""
+    rows = [(d, "\n".join([f"line {k}"] + [f"{c} passage of some length number {k}" for c in "abcdefg"])) for d, k in [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3), (5, 1)]]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8")
+    try:
+        got = [(r.doc_id, r.text) for r in dedup_lines(docs_of(spark, rows).coalesce(1)).collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(got, key=str) == plain(rows)
