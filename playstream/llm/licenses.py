@@ -6,7 +6,9 @@
    an unchanged copy of a template is one diagonal.
 3. Neighbouring diagonals that continue each other are merged; inserted or
    deleted words shift the diagonal.
-4. Merged spans are verified word by word in the document's own text.
+4. Merged spans are verified word by word in the document's own text, however
+   few their votes: a changed word takes up to k votes, inserted words take
+   votes and no cover, and edits can split a span.
 """
 
 from __future__ import annotations
@@ -58,22 +60,23 @@ def _grams(docs: DataFrame, k: int) -> DataFrame:
 
 
 def spans(docs: DataFrame, templates: list[tuple[str, list[str]]], k: int = K) -> DataFrame:
-    """Candidate spans ``(key, template, start, stop)`` of ``docs(key, text)``."""
+    """Candidate spans ``(key, template, start, stop, low, high)`` of ``docs(key, text)``:
+    words around the hits, and the template's whole extent along the diagonals."""
     spark = docs.sparkSession
     places = [(int(h), n, at) for n, (_, words) in enumerate(templates)
               for at, h in enumerate(shingle_hashes([w.encode() for w in words], k).view(np.int64))]
     positions = spark.createDataFrame(places, "gram long, template int, at int")  # the fixed templates
     hits = _grams(docs, k).select("key", F.posexplode("grams").alias("place", "gram")).join(F.broadcast(positions), "gram")
     diagonals = (hits.withColumn("diagonal", F.col("place") - F.col("at")).groupBy("key", "template", "diagonal")
-                 .agg(F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")))
+                 .agg(F.min("place").alias("first"), F.max("place").alias("last")))
     # a repeated template word run votes for other diagonals too; long gaps end a span
     size = F.get(F.array(*[F.lit(len(w)) for _, w in templates]), F.col("template"))
     w = Window.partitionBy("key", "template").orderBy("first", "diagonal")
     near = (F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) <= DRIFT) & (F.col("first") - F.lag("last").over(w) <= DRIFT + k)
     runs = diagonals.withColumn("turn", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("turn").over(w))
-    merged = runs.groupBy("key", "template", "run").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("from"), F.max("diagonal").alias("to"))
-    enough = F.col("votes") >= F.greatest(F.lit(1), F.ceil(size * COVER) - k + 1 - DRIFT)
-    return merged.where(enough).select("key", "template", F.greatest(F.col("first") - k, F.lit(0)).alias("start"), (F.col("last") + 2 * k).alias("stop"))
+    merged = runs.groupBy("key", "template", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("from"), F.max("diagonal").alias("to"))
+    return merged.select("key", "template", F.greatest(F.col("first") - k, F.lit(0)).alias("start"), (F.col("last") + 2 * k).alias("stop"),
+                         F.greatest(F.col("from") - DRIFT, F.lit(0)).alias("low"), (F.col("to") + size + DRIFT).alias("high"))
 
 
 def _covered(words: list[str], template: list[str]) -> float:
@@ -94,7 +97,7 @@ def licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) ->
     known = [(label, [w.decode() for w in word_list(t.encode())]) for label, texts in (templates or TEMPLATES).items() for t in texts]
     phrases = [(p.encode().split(), label) for p, label in PHRASES.items()]
     rows = docs.select(row_key().alias("key"), "text")
-    found = spans(rows, known).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("template", "start", "stop"))).alias("spans")).withColumnRenamed("key", "found")
+    found = spans(rows, known).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("template", "start", "stop", "low", "high"))).alias("spans")).withColumnRenamed("key", "found")
     joined = rows.join(found, rows["key"] == found["found"], "left").select(F.col("key.doc_id").alias("doc_id"), "text", "spans")
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
@@ -112,7 +115,7 @@ def licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) ->
         more, score = set(labels), float(bool(starts))
         for s in mine:
             label, template = known[s["template"]]
-            share = _covered([w.decode() for w in words[s["start"]:s["stop"]]], template)
+            share = max(_covered([w.decode() for w in words[a:b]], template) for a, b in ((s["start"], s["stop"]), (s["low"], s["high"])))
             if share >= COVER:
                 more.add(label)
                 score = max(score, share)

@@ -48,3 +48,21 @@ def test_edge_rows(spark):
     assert "gpl-3.0" in by[41].labels and "gpl-3.0" in by[44].labels and by[45].labels == "mit"
     assert by[43].labels == ""
     assert licenses(docs_of(spark, [])).collect() == []
+
+
+def test_spread_edits(spark):
+    """Notices with changed words that are spread, of which at least 0.8 are left."""
+    notices = [("gpl-3.0", TEMPLATES["gpl-3.0"][1], (5, 12, 19, 26), 31 / 35), ("bsd", TEMPLATES["bsd"][0], (5, 10, 15), 18 / 21),
+               ("mit", TEMPLATES["mit"][1], (4, 9, 14), 17 / 20), ("mpl-2.0", TEMPLATES["mpl-2.0"][0], (4, 8, 12), 14 / 17),
+               ("gpl-3.0", TEMPLATES["gpl-3.0"][1], (3, 7, 11, 15, 19, 23, 27), 28 / 35)]
+    rows = []
+    for n, (_, text, places, _) in enumerate(notices):
+        words = re.findall("[A-Za-z0-9]+", text)
+        rows.append((n, "before it " + " ".join(f"odd{i}" if i in places else w for i, w in enumerate(words)) + " and after it"))
+    split = re.findall("[A-Za-z0-9]+", notices[0][1])   # inserted words far apart take votes, and the diagonal shifts
+    rows.append((9, " ".join(w + " odd" * (i % 5 == 2) for i, w in enumerate(split))))
+    got = {r.doc_id: r for r in licenses(docs_of(spark, rows)).collect()}
+    for n, (label, _, _, share) in enumerate(notices):
+        assert label in got[n].labels.split(",")
+        assert got[n].score >= (1 if got[n].n_base else round(share, 3) - 0.001), (n, got[n].score)
+    assert "gpl-3.0" in got[9].labels.split(",")
