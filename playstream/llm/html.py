@@ -32,6 +32,8 @@ _ENDS_P = _BLOCK - {"body", "html"}
 
 #: Fixed words of class and id names that mark what is not the article.
 _NOT_MAIN = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|menu|nav\w*|newsletter|notice|popup|promo\w*|related|share|sharing|side-?bar|social|sponsor\w*|subscribe|toolbar|widget)(?=$|[-_\s\d])", re.I)
+#: Names that tell of a layout's state (has-sidebar, no-sidebar), not of what an element is.
+_STATE = re.compile(r"(?<!\S)(?:has|no|not|with|without)[-_]\S*", re.I)
 _MAIN = re.compile(r"article|content|entry|main|post|story|text", re.I)
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -40,32 +42,57 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Open:
-    """An open element: its name, step of the path, path, and whether it is outside the article."""
+    """An open element: its name, path, whether it is outside the article for
+    certain, the numbers of the marked elements around it, and whether it is in an article or main element."""
 
-    __slots__ = ("name", "path", "out")
+    __slots__ = ("name", "path", "out", "marks", "main")
 
-    def __init__(self, name: str, path: str, out: bool) -> None:
-        self.name, self.path, self.out = name, path, out
+    def __init__(self, name: str, path: str, out: bool, marks: tuple[int, ...] = (), main: bool = False) -> None:
+        self.name, self.path, self.out, self.marks, self.main = name, path, out, marks, main
 
 
-def _step(name: str, attributes: str) -> tuple[str, bool]:
-    """The element's generalised step - tag and first class, digits dropped - and whether it is marked as not the article."""
+def _step(name: str, attributes: str) -> tuple[str, bool, str]:
+    """The element's generalised step - tag and first class, digits dropped -
+    whether it is outside the article for certain, and the names that mark it as not the article."""
     if not attributes or attributes.isspace():
-        return name, name in _CHROME
+        return name, name in _CHROME, ""
     named = {k.lower(): (v or "").strip("\"'") for k, v in _NAMED.findall(attributes)}
-    marks = " ".join(named.get(k, "") for k in ("class", "id", "role"))
+    marks = _STATE.sub("", " ".join(named.get(k, "") for k in ("class", "id", "role")))
     out = name in _CHROME or "hidden" in named or named.get("aria-hidden", "").lower() == "true"
-    if name not in ("body", "html", "article", "main"):
-        out = out or bool(_NOT_MAIN.search(marks))
+    if name in ("body", "html", "article", "main") or not _NOT_MAIN.search(marks):
+        marks = ""
     first = re.sub(r"\d+", "", (named.get("class", "").split() or [""])[0].lower())
-    return (f"{name}.{first}" if first else name), out
+    return (f"{name}.{first}" if first else name), out, marks
+
+
+def _unmarked(found: list[tuple[_Open, str, int]], whole: list[bool]) -> list[tuple[str, str, int]]:
+    """The blocks in no marked element.  Where none of them is in an article or
+    main element, a mark counts for nothing whose element holds more unlinked
+    text than is left without it: it is the page's layout.  A name that is a
+    fixed word as a ``whole`` (comments) counts unless an article or main element is in there."""
+    lifted: set[int] = set()
+    while True:
+        left, gains, known = 0, dict[int, int](), set()
+        for e, text, linked in found:
+            mark = next((m for m in e.marks if m not in lifted), None)
+            if e.main:
+                known.add(mark)
+            if mark is None:
+                left += max(0, len(text) - linked)
+            else:
+                gains[mark] = gains.get(mark, 0) + max(0, len(text) - linked)
+        more = [] if None in known else [(g, -m) for m, g in gains.items() if g > left and (m in known or not whole[m])]
+        if not more:
+            return [(e.path, text, linked) for e, text, linked in found if lifted.issuperset(e.marks)]
+        lifted.add(-max(more)[1])
 
 
 def blocks(page: str) -> list[tuple[str, str, int]]:
     """The page's blocks of text outside menus and the like, in order: path of
     containers, text (references decoded, white space as one space), and the
     characters of it inside links."""
-    out: list[tuple[str, str, int]] = []
+    out: list[tuple[_Open, str, int]] = []
+    whole: list[bool] = []  # of every marked element, whether a name of it is a fixed word as a whole
     stack = [_Open("", "", False)]
     parts: list[str] = []
     linked = 0
@@ -74,7 +101,7 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append((stack[-1].path, text, linked))
+            out.append((stack[-1], text, linked))
         parts.clear()
         linked = 0
 
@@ -138,11 +165,15 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
                     break
                 if stack[k].name in ("ul", "ol"):
                     break
-        step, aside = _step(name, m[2])
+        step, aside, marked = _step(name, m[2])
         top = stack[-1]
-        stack.append(_Open(name, f"{top.path}>{step}" if name in _CONTAINER else top.path, top.out or aside))
+        marks = top.marks
+        if marked:
+            marks += (len(whole),)
+            whole.append(any(_NOT_MAIN.fullmatch(x) for x in marked.split()))
+        stack.append(_Open(name, f"{top.path}>{step}" if name in _CONTAINER else top.path, top.out or aside, marks, top.main or name in ("article", "main")))
     flush()
-    return out
+    return _unmarked(out, whole) if whole else [(e.path, text, linked) for e, text, linked in out]
 
 
 def _inside(path: str, container: str) -> bool:

@@ -58,3 +58,12 @@ def test_host_consensus(spark):
 def test_paths_drop_digits():
     assert blocks("<div class='post-123 x'>t</div>") == [(">div.post-", "t", 0)]
     assert extract("<p>a</p>", []) == "a"
+
+
+def test_layout_wrappers_keep_their_article():
+    side = "<div class=sidebar><p>side side side</div><div class=comments><article>a reader</article></div>"
+    for name in ("layout has-sidebar", "no-sidebar", "site-content with-sidebar", "page sticky-header", "page_with-sidebar sticky-header-2"):
+        for page in (f"<div class='{name}'><article><p>the text of it</article>{side}</div>", f"<body><div class='{name}'><p>the text of it</p>{side}</div></body>"):
+            assert extract(page, []) == "the text of it", page
+    assert [t for _, t, _ in blocks("<div class='x main-nav'>menu menu menu</div><main>text</main>")] == ["text"]
+    assert [t for _, t, _ in blocks("<div class=post>text</div><div id=comments>much longer than the text</div>")] == ["text"]
