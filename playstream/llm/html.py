@@ -182,14 +182,17 @@ def _inside(path: str, container: str) -> bool:
 
 def votes(found: list[tuple[str, str, int]]) -> list[tuple[str, float]]:
     """Scores of a page's containers: unlinked characters of the blocks directly
-    in them and, less, of those deeper; named article or main containers count more."""
+    in them and, less, of those deeper; named article or main containers count more.
+    What stands outside the body is in an implied one, whose path is empty."""
     scores: dict[str, float] = {}
     for path, text, linked in found:
         weight, at = float(max(0, len(text) - 2 * linked)), path
-        while at:
+        while True:
             scores[at] = scores.get(at, 0.0) + weight
-            weight *= 0.5
-            at = at.rpartition(">")[0]
+            above, _, step = at.rpartition(">")
+            if not at or step.partition(".")[0] == "body":
+                break
+            weight, at = weight * 0.5, above
     out = []
     for path, score in scores.items():
         last = path.rpartition(">")[2]

@@ -67,3 +67,10 @@ def test_layout_wrappers_keep_their_article():
             assert extract(page, []) == "the text of it", page
     assert [t for _, t, _ in blocks("<div class='x main-nav'>menu menu menu</div><main>text</main>")] == ["text"]
     assert [t for _, t, _ in blocks("<div class=post>text</div><div id=comments>much longer than the text</div>")] == ["text"]
+
+
+def test_text_outside_containers_is_scored():
+    page = PAGES[7][2]
+    assert extract(page, []) == "short\n" + ("long text " * 3000).strip()
+    assert extract(page, [">div.content-"]) == "short"   # the host's path goes before the page's own best
+    assert extract(page, [">div.other", ""]) == extract(page, [])
