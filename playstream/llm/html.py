@@ -15,12 +15,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playstream.llm.common import save, slices, table
 
 PATHS = 4            # paths kept of a host, by votes
+SALTS = 64           # parts that a host's paths are dealt into before the best are taken
 
 #: Fixed element names.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -225,6 +226,9 @@ def host_paths(pages: DataFrame, keep: int = PATHS) -> DataFrame:
 
     cast = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes long")
     summed = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    # a host may have as many paths as pages: the best of every salt first, then of those
+    w = Window.partitionBy("host", F.pmod(F.xxhash64("path"), F.lit(SALTS))).orderBy(F.desc("votes"), "path")
+    summed = summed.withColumn("place", F.row_number().over(w)).where(F.col("place") <= keep)
     best = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path")))
     top = summed.groupBy("host").agg(F.transform(F.slice(best, 1, keep), lambda x: x["path"]).alias("paths"))
     return top

@@ -74,3 +74,13 @@ def test_text_outside_containers_is_scored():
     assert extract(page, []) == "short\n" + ("long text " * 3000).strip()
     assert extract(page, [">div.content-"]) == "short"   # the host's path goes before the page's own best
     assert extract(page, [">div.other", ""]) == extract(page, [])
+
+
+def test_host_of_many_paths(spark):
+    """The list of a host is made of a few paths a salt, however many it has."""
+    letters = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:04}")
+    rows = [(i, "http://h/x", f"<div class='z{letters(i)}'><p>words of it</div>") for i in range(900)]
+    rows += [(i, "http://h/x", f"<div class='z{letters(i % 7 + 800)}'><p>words of it</div>") for i in range(900, 935)]
+    top = host_paths(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert top.first().paths == ["", *[f">div.z{letters(i)}" for i in range(800, 803)]]   # the implied body is around all
+    assert "row_number" in top._jdf.queryExecution().toString()
