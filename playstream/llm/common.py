@@ -52,14 +52,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def save(df: DataFrame) -> DataFrame:
+def save(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the scratch folder and read it back.
 
     Cuts the lineage; the files survive lost executors."""
     path = f"{scratch(df.sparkSession)}/{uuid.uuid4().hex}"
     for paths in _recorders:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
