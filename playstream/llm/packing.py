@@ -41,9 +41,11 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # ASCII marks but the apostrophe
 
 def _classes() -> np.ndarray:
     """Classes by which the tokeniser's pattern cuts words, for the characters
-    of ASCII and the Latin blocks: 1 letter, 2 number, 3 other, 0 white space."""
+    of ASCII and the Latin blocks: 1 letter, 2 number, 3 other, 0 white space
+    (Unicode's, which the separators 0x1c to 0x1f are not)."""
     kinds = [unicodedata.category(chr(c))[0] for c in range(0x250)]
-    return np.array([0 if chr(c).isspace() else {"L": 1, "N": 2}.get(k, 3) for c, k in enumerate(kinds)], np.int8)
+    blank = {c for c in range(0x250) if chr(c).isspace()} - set(range(0x1c, 0x20))
+    return np.array([0 if c in blank else {"L": 1, "N": 2}.get(k, 3) for c, k in enumerate(kinds)], np.int8)
 
 
 class _Store:
@@ -114,13 +116,9 @@ class _Words:
             if "'" in low or "<|" in low:
                 add(string)
                 add("")
-            elif low.isascii():
+            elif low.isascii() or (max(low + string) < "\u0250" and "\u0130" not in string and unicodedata.is_normalized("NFC", string)):
                 word = low.rstrip(_MARKS)
-                add(word)
-                add(low[len(word):])
-            elif max(low + string) < "\u0250" and "\u0130" not in string and unicodedata.is_normalized("NFC", string):
-                word = low.rstrip(_MARKS)
-                if word and classes[ord(word[-1])] == 3:
+                if word and classes[ord(word[-1])] == 3:   # one run with the marks
                     word = low
                 add(word)
                 add(low[len(word):])
@@ -191,7 +189,8 @@ def _lower(text: str) -> str:
     """The text in lower case, where that is all the same to the tokeniser."""
     if "\u03a3" in text or "\u0130" in text or "<|" in text or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
         return text
-    return text.lower()
+    low = text.lower()
+    return low if low.isascii() or unicodedata.is_normalized("NFC", low) else text   # T and a mark stay two, t and a mark become one
 
 
 def _words(path: str) -> _Words:

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from playstream.llm.packing import op7_best_fit_packing, packed, pack, plan
+from playstream.llm.packing import _Encoder, op7_best_fit_packing, packed, pack, plan
 from tests.llm.util import EDGE, SF001, docs_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +57,19 @@ def test_special_white_space_and_marks(spark):
     assert sorted(tuple(r)[:5] for r in got) == sorted(plain_pieces(rows))
 
 
+def test_random_texts_of_odd_characters():
+    """Control, mark, combining, cased and blank characters, alone and in the tokeniser's own strings."""
+    encode = _Encoder(PATH)
+    rng = np.random.default_rng(7)
+    parts = np.array([chr(c) for c in range(0x80)] + list("éÉßñÇ\x80\x85\xa0\xad¼²ªµ×ÿŁłſǅɏ\u0308\u0327\u0301İıΣσς漢字Ａａ\u2163\U0001f600\u200b\u200d\u2028\u3000\ufb01\ufeff")
+                     + ["'s", "'T", "'re", "T\u0308", "H\u0331", "<|", "|>", "<|endoftext|>", "<|startoftext|>", "</w>", "a\x00.", "x\x1f.", "a\x07!", "end\x7f."])
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(0, 12, 20000)]
+    tok = Tokenizer.from_file(PATH)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [ids.tolist() for at in range(0, len(texts), 500) for ids in encode(texts[at:at + 500])]
+    assert [(t, g, w) for t, g, w in zip(texts, got, want) if g != w] == []
+
+
 def test_empty_table(spark):
     assert packed(docs_of(spark, [])).collect() == []
 
