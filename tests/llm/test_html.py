@@ -1,4 +1,5 @@
 import html
+import time
 import re
 
 from playstream.llm.html import blocks, extract, host_paths, main_texts, op4_html_extraction
@@ -84,3 +85,43 @@ def test_host_of_many_paths(spark):
     top = host_paths(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert top.first().paths == ["", *[f">div.z{letters(i)}" for i in range(800, 803)]]   # the implied body is around all
     assert "row_number" in top._jdf.queryExecution().toString()
+
+
+def test_quotes_count_after_an_equals_sign_only():
+    assert extract("<p title=it's>Hello world and more</p><p>We don't stop here</p><p>end</p>", []) == "Hello world and more\nWe don't stop here\nend"
+    assert extract('<p class="a>', []) == ""
+    assert extract('<p class="a>shown</p>', []) == "shown"   # a quote that is never closed
+    assert extract("<p title='a > b' data-x=\"<p>\">text</p><p a = 'x>y' b>more", []) == "text\nmore"
+    assert extract("<p 'odd' =x \"y>text</p>", []) == "text"
+    assert blocks("<div data-x='class=\"ad\"' class=post>t</div>") == [(">div.post", "t", 0)]
+
+
+def test_places_do_not_shift_with_lower_case():
+    assert extract("İ" * 10 + "<script>x</script><p>Hello world", []) == "İ" * 10 + "\nHello world"
+    assert extract("<p>a<SCRIPT>İ</p></ScRiPt >b</p>", []) == "ab"
+    assert extract("<p>a<script>ſ</ſcript>no</script>b</p>", []) == "ab"
+
+
+def test_unclosed_elements_do_not_swallow_the_page():
+    assert extract("One<button>Copy<p>Two and the rest", []) == "One\nTwo and the rest"
+    for name in ("button", "select", "svg", "noscript", "template"):
+        assert extract(f"<p>One<{name} x='1'><p>gone</p></{name}> and<p>two", []) == "One and\ntwo"
+        assert extract(f"<div><p>One<{name}>gone</div><p>two<{name}>gone</{name}> three", []).replace("One\n", "") == "two three"
+    assert extract("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", []) == "so x=2 holds"
+    assert extract("a < b <3 </> c <!----> d <!x> e <?y?> f </ g> h <", []) == "a < b <3 c d e f h <"
+
+
+def test_deep_and_broken_pages_take_time_in_proportion():
+    began, n = time.process_time(), 100_000
+    text = "words " * 30
+    assert extract("<div class=post>" * n + text, []) == text.strip()
+    assert extract("<div class=ad>" * n + text, []) == ""
+    assert extract("<div class=x-nav>" * n + text, []) == text.strip()   # lifted one by one
+    assert extract("<a '" * n + "><p>" + text, []) == text.strip()
+    assert extract("<p a=\"" * n + "><p>" + text, []).endswith(text.strip())
+    assert extract("<span>" * n + ("<p>" + text) * 3 + "</section>" * n + text, []) == "\n".join([text.strip()] * 3) + " " + text.strip()
+    assert extract("<svg>" * n + "<p>" + text, []) == text.strip()
+    assert extract("<" * n + "<!" * n + "><p>" + text, []).endswith(text.strip())
+    assert extract(("<ul><li>" * n) + text, []) == text.strip()
+    assert len(extract("<p>x" * n, [])) == 2 * n - 1
+    assert time.process_time() - began < 40
