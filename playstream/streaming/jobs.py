@@ -18,15 +18,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from playstream.operators import decode, encode, enrich, fill_numeric, player_credits, player_stats
 from playstream.operators.models import score
 from playstream.operators.stats import PLAYER_KEYS
 from playstream.schemas import SNAP_FIELDS, SNAP_MESSAGE
+from playstream.streaming.table import StatsTable, latest_stats
 
 BatchSink = Callable[[DataFrame, int], None]
-BUCKETS = 256   # folders of a statistics table, by hash of the game; fixed for a table's life
 
 
 def _start(stream: DataFrame, mode: str, fn: BatchSink, trigger: dict | None,
@@ -58,48 +57,17 @@ def foreach_enrich(sink: BatchSink, key: str = "game_id", reference_names: bool
     return fn
 
 
-def _table_exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_stats(spark, table: str, schema, before: int | None = None) -> DataFrame:
-    """All versions in a statistics table, with their ``batch`` and ``bucket``;
-    only those of batches before ``before`` if given."""
-    versions = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType()), StructField("bucket", IntegerType())])) \
-        .option("basePath", table).parquet(table)
-    return versions if before is None else versions.where(F.col("batch") < before)
-
-
-def latest_stats(versions: DataFrame, keys: tuple[str, ...] = PLAYER_KEYS) -> DataFrame:
-    """Each player's newest version; null keys are keys like any other."""
-    cols = [c for c in versions.columns if c not in ("batch", "bucket")]
-    return (versions.groupBy(F.struct(*keys).alias("_k")).agg(F.max_by(F.struct(*cols), "batch").alias("_v"))
-            .select("_v.*"))
+    """All versions that count in a statistics table, with their ``batch`` and
+    ``bucket``; only those of batches before ``before`` if given."""
+    return StatsTable(spark, table, schema).read(before)
 
 
 def merge_stats(changed: DataFrame, table: str, batch_id: int, game: str = "game_id",
                 keys: tuple[str, ...] = PLAYER_KEYS) -> DataFrame:
-    """Add changed player rows to an append-only statistics table and return
-    the whole current statistics of the touched games.
-
-    Batch ``n`` writes its rows to the table's folder ``batch=n``, dealt into
-    a fixed number of buckets by a null-safe hash of the game.  A batch that
-    runs again replaces its own folder only and reads only batches before it,
-    so neither a crash nor a re-run loses or doubles rows; nothing is ever
-    rewritten in place.  Reading keeps to the touched games' buckets."""
-    spark = changed.sparkSession
-    k = F.struct(F.col(game).alias("g"))
-    bucket = F.pmod(F.xxhash64(k), F.lit(BUCKETS)).cast("int")
-    now = changed.withColumn("bucket", bucket)
-    now.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table.rstrip('/')}/batch={batch_id}")
-    versions = now.withColumn("batch", F.lit(batch_id).cast("long"))
-    touched = [r[0] for r in now.select("bucket").distinct().collect()]   # BUCKETS rows at most
-    old = read_stats(spark, table, changed.schema, batch_id)
-    games = changed.select(k.alias("_g")).distinct()
-    kept = (old.where(F.col("bucket").isin(touched)).withColumn("_g", k).join(games, "_g", "left_semi").drop("_g"))
-    return latest_stats(versions.unionByName(kept), keys)
+    """Add changed player rows to a statistics table and return the whole
+    current statistics of the touched games (see :class:`StatsTable`)."""
+    return StatsTable(changed.sparkSession, table, changed.schema, game, keys).add(changed, batch_id)
 
 
 def foreach_merge_enrich(table: str, sink: BatchSink, key: str = "game_id",
