@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstream.functions import display_pct, positive_prob, stamp
+from playstream.operators.compiled import CompiledModel
 from playstream.operators.moments import by_moment, dedupe_moments, share_of_total
 from playstream.schemas import SNAP_FIELDS, to_reference_names
 
@@ -64,17 +65,27 @@ def load_model(path: str) -> PipelineModel:
 _ML_COLS = ["rawPrediction", "probability", "prediction"]
 
 
-def score_win(df: DataFrame, model: PipelineModel, out: str = "win_prob") -> DataFrame:
+#: What scores rows: a fitted pipeline, or its compiled form.
+Model = PipelineModel | CompiledModel
+
+
+def _probability(df: DataFrame, model: Model, out: str, features: str) -> DataFrame:
+    """Class-1 probability by either form of a model."""
+    if isinstance(model, CompiledModel):
+        return model.transform(df, out)
+    return model.transform(df).withColumn(out, positive_prob("probability")).drop(*_ML_COLS, features)
+
+
+def score_win(df: DataFrame, model: Model, out: str = "win_prob") -> DataFrame:
     """Class-1 probability of the win model (M8)."""
-    return model.transform(df).withColumn(out, positive_prob("probability")).drop(*_ML_COLS, "features_win")
+    return _probability(df, model, out, "features_win")
 
 
-def score_mvp(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_mvp(df: DataFrame, model: Model) -> DataFrame:
     """MVP probability and its share of the game's total at that moment, x100 (M9)."""
     d = share_of_total(df, "efficiency", ("game_id", "team_code", "seconds_remaining"), "efficiency_norm",
                        exact_scale=2)
-    d = model.transform(d).withColumn("mvp_prob", positive_prob("probability")) \
-        .drop(*_ML_COLS, "features_mvp", "efficiency_norm")
+    d = _probability(d, model, "mvp_prob", "features_mvp").drop("efficiency_norm")
     return share_of_total(d, "mvp_prob", ("game_id", "seconds_remaining"), "mvp_share", percent=True)
 
 
@@ -86,7 +97,7 @@ def score_columns(df: DataFrame) -> DataFrame:
                      display_pct("mvp_share").alias("mvp_pct"))
 
 
-def score(df: DataFrame, win: PipelineModel, mvp: PipelineModel,
+def score(df: DataFrame, win: Model, mvp: Model,
           dedupe_keys=("game_id", "player_name", "team_code", "seconds_remaining"),
           reference_names: bool = False) -> DataFrame:
     """Dedupe -> win probability -> MVP share -> 21 scored columns.

@@ -15,19 +15,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.functions import display_pct
+from playstream.functions import display_pct, positive_prob
 from playstream.operators import (by_moment, cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
                                   game_clock, latest_by, new_since, normalize_events,
                                   opponent_scores, ordered_stats, player_credits, player_stats, share_of_total,
                                   snapshot_history, snapshot_shots, team_scores, training_set, unpack_latest)
+from playstream.operators.compiled import compile_model
+from playstream.operators.models import score, score_win, train_models
 from playstream.plans import oracle as O
 from playstream.plans.batch import HISTORY_KEYS, materialize, numbered_credits, scored_history
+from playstream.plans.fixed import FIXED_MVP, FIXED_WIN
 from playstream.schemas import EVENT, GAME_DOC, SNAP, SNAP_FIELDS, SNAP_MESSAGE, SNAP_RECORD
 from playstream.session import checkpoint_dir, delete_path
 from playstream.sinks import batch_writer
 from playstream.sources.games import flatten_actions
 from playstream.sources.fixture import hard_raw, pbp_raw
-from playstream.streaming import run_stats_stream
+from playstream.streaming import run_score_stream, run_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,29 +213,39 @@ def q_display_pct(spark, sf_dir):
     return (_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", display_pct(q).alias("pct")))
 
 
-def _stream_stats(spark, sf_dir, mode):
-    """Run the statistics stream over the events table as a file stream, to its end; the messages it wrote last."""
-    schema = _t(spark, sf_dir, "events").schema
-    feed = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
-    path = f"{sf_dir}/events.parquet"
-    # a single file is streamed from its folder
-    feed = feed.parquet(path) if _is_folder(spark, path) else feed.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+TRIGGERS = 8   # files that a table is streamed as, one a trigger
+
+
+def _scratch(spark):
+    """A folder of this run under the shared checkpoint folder, removed when the driver ends."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
     atexit.register(delete_path, spark, base)
+    return base
+
+
+def _run_stats(spark, sf_dir, mode, base):
+    """Run the statistics stream over the events table in several triggers, to its end; its messages are in ``base/out``."""
+    rows = _t(spark, sf_dir, "events")
+    rows.repartitionByRange(TRIGGERS, "event_id").write.parquet(f"{base}/in")
+    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     q = run_stats_stream(normalize_events(pbp_raw(feed)), batch_writer("json", f"{base}/out"), mode=mode,
                          table=f"{base}/table" if mode == "update" else None,
                          trigger={"availableNow": True}, checkpoint=f"{base}/checkpoint")
     q.awaitTermination()
+    done = len([p for p in q.recentProgress if p["numInputRows"]])
+    if done < min(TRIGGERS, rows.count()):
+        raise RuntimeError(f"the stream ran in {done} triggers only")
+
+
+def _stream_stats(spark, sf_dir, mode):
+    """The messages that the statistics stream wrote last of every game."""
+    base = _scratch(spark)
+    _run_stats(spark, sf_dir, mode, base)
     messages = decode(spark.read.schema("key string, value string, batch int").json(f"{base}/out"), SNAP_MESSAGE)
     last = messages.groupBy("game_id").agg(F.max("snapshot_id").alias("snapshot_id"))
     return _shots_text(messages.join(last, ["game_id", "snapshot_id"], "left_semi").drop("snapshot_id"))
 
 
-def _is_folder(spark, path):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
-
-
 def q_stream_complete(spark, sf_dir):
     """S3/ST1-ST3/ST6/ST8: the statistics stream in complete mode, read back."""
     return _stream_stats(spark, sf_dir, "complete")
@@ -243,6 +256,42 @@ def q_stream_update(spark, sf_dir):
     return _stream_stats(spark, sf_dir, "update")
 
 
+def q_two_hop_scores(spark, sf_dir):
+    """ST7/ST8: events -> statistics stream -> messages -> scoring stream ->
+    documents, both in several triggers; every game's last documents without the stamp."""
+    base = _scratch(spark)
+    _run_stats(spark, sf_dir, "update", base)
+    messages = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 4).json(f"{base}/out/batch=*")
+    q = run_score_stream(messages, FIXED_WIN, FIXED_MVP, batch_writer("parquet", f"{base}/scored"),
+                         trigger={"availableNow": True}, checkpoint=f"{base}/checkpoint2")
+    q.awaitTermination()
+    scored = spark.read.parquet(f"{base}/scored")
+    # a trigger may hold several snapshots of a game: the last batch's least time left is the last of them
+    last = (scored.groupBy("game_id").agg(F.min(F.struct((-F.col("batch")).alias("b"), "seconds_remaining")).alias("m"))
+            .select("game_id", (-F.col("m.b")).cast("int").alias("batch"), "m.seconds_remaining"))
+    return _shots_text(scored.join(last, ["game_id", "batch", "seconds_remaining"], "left_semi").drop("batch", "@timestamp"))
+
+
+def q_scored_fixed(spark, sf_dir):
+    """M8-M10/F15/F17/P11 by value: the history scored by models of given
+    parameters, compiled to expressions (21 columns without the stamp)."""
+    return _shots_text(score(_history_enriched(spark, sf_dir, shots=True), FIXED_WIN, FIXED_MVP).drop("@timestamp"))
+
+
+def q_compiled_scores(spark, sf_dir):
+    """M3-M6/M8/M9: both models fitted on the history; per moment, whether their
+    compiled form gives every row the fitted pipelines' probabilities."""
+    hist = materialize(_history_enriched(spark, sf_dir))
+    train = materialize(training_set(hist))
+    win, mvp = train_models(train)
+    rows = score_win(train, win, "w0")
+    rows = compile_model(win).transform(rows, "w1")
+    rows = mvp.transform(rows).withColumn("m0", positive_prob("probability")).drop("rawPrediction", "probability", "prediction", "features_mvp")
+    rows = compile_model(mvp).transform(rows, "m1")
+    near = lambda a, b: F.expr(f"bool_and(coalesce(abs({a} - {b}) <= 1e-9, false))")
+    return rows.groupBy("game_id", "seconds_remaining").agg(F.count("*").alias("n_rows"), near("w0", "w1").alias("win_equal"), near("m0", "m1").alias("mvp_equal"))
+
+
 def q_score_checks(spark, sf_dir):
     """M3-M10/F15 checked by value: per moment of a game, rows, the MVP shares'
     total, and whether each team has one win percentage inside 0-100."""
@@ -406,6 +455,11 @@ ORACLE = {
     "snapshot_round_trip": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
     "stream_complete": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
     "stream_update": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),
+    "two_hop_scores": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), f"ty AS ({_TYPED.replace(', CAST(to_json(shots) AS VARCHAR) AS shots', ', shots')})",
+                                  *O.scored_sql("ty", fill=True), select=f"SELECT {_SNAP_TEXT}, win_pct, mvp_pct FROM sc"),
+    "scored_fixed": O.with_ctes(*_FULL_HISTORY, O.DEDUP, *O.scored_sql("dd"), select=f"SELECT {_SNAP_TEXT}, win_pct, mvp_pct FROM sc"),
+    "compiled_scores": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
+        "SELECT game_id, seconds_remaining, count(*) AS n_rows, true AS win_equal, true AS mvp_equal FROM dd GROUP BY game_id, seconds_remaining")),
     "display_pct": "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', CAST(l_quantity AS DOUBLE) / 8) AS FLOAT) AS pct FROM lineitem",
     "score_checks": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
         "SELECT game_id, seconds_remaining, CAST(count(*) AS BIGINT) AS n_rows, true AS mvp_total_ok, true AS mvp_in_range, "
@@ -466,6 +520,9 @@ QUERIES: dict[str, Query] = {
     "display_pct": q_display_pct,
     "stream_complete": q_stream_complete,
     "stream_update": q_stream_update,
+    "two_hop_scores": q_two_hop_scores,
+    "scored_fixed": q_scored_fixed,
+    "compiled_scores": q_compiled_scores,
     "score_checks": q_score_checks,
     "nation_revenue_share": q_nation_revenue_share,
     "latest_order_per_customer": q_latest_order_per_customer,

@@ -174,3 +174,20 @@ tr0 AS (SELECT d.*, f.final_diff, CASE WHEN f.final_diff > 0 THEN 1 ELSE 0 END A
 tr AS (SELECT * EXCLUDE (tot_eff),
   CASE WHEN tot_eff > 0 THEN efficiency / tot_eff ELSE CAST(0.0 AS DOUBLE) END AS efficiency_norm,
   CASE WHEN efficiency = max_game_eff THEN 1 ELSE 0 END AS label_mvp FROM tr0)"""
+
+
+def scored_sql(src: str, fill: bool = False) -> list[str]:
+    """Win% and MVP% of the rows of ``src`` by a forest and a logistic model of given parameters."""
+    numbers = "team_score, score_diff, seconds_remaining, game_quarter, pts, ast, reb, stl, blk, tov, pf, fg_pct, efficiency".split(", ")
+    filled = f"SELECT * REPLACE ({', '.join(f'coalesce({c}, 0) AS {c}' for c in numbers)}) FROM {src}" if fill else f"SELECT * FROM {src}"
+    return [f"""sc0 AS (SELECT *, CAST(sum(CAST(efficiency AS DECIMAL(30,2))) OVER (PARTITION BY game_id, team_code, seconds_remaining) AS DOUBLE) AS tot_eff FROM ({filled}))""",
+            """sc1 AS (SELECT *,
+  (CASE WHEN score_diff > 0.5 THEN CASE WHEN score_diff > 9.5 THEN 0.9375E0 ELSE 0.625E0 END WHEN seconds_remaining > 1440.5 THEN 0.375E0 ELSE 0.125E0 END
+   + CASE WHEN seconds_remaining > 600.5 THEN 0.4375E0 WHEN score_diff <= -3.5 THEN 0E0 WHEN score_diff <= 3.5 THEN 0.5E0 ELSE 1E0 END
+   + CASE WHEN score_diff > -12.5 THEN 0.5625E0 ELSE 0.03125E0 END) / 3E0 AS win_prob,
+  CASE WHEN tot_eff > 0 THEN efficiency / tot_eff ELSE 0E0 END AS efficiency_norm FROM sc0)""",
+            """sc2 AS (SELECT *, 1E0 / (1E0 + exp(4.5E0 - 0.11E0 * pts - 0.07E0 * ast - 0.05E0 * reb - 0.21E0 * stl - 0.19E0 * blk
+  + 0.13E0 * tov + 0.08E0 * pf - 0.004E0 * fg_pct - 6.5E0 * efficiency_norm)) AS mvp_prob FROM sc1)""",
+            """sc AS (SELECT *, CAST(printf('%.2f', win_prob * 100) AS FLOAT) AS win_pct,
+  CAST(printf('%.2f', CASE WHEN sum(mvp_prob) OVER w > 0 THEN mvp_prob / sum(mvp_prob) OVER w * 100 ELSE 0E0 END) AS FLOAT) AS mvp_pct
+  FROM sc2 WINDOW w AS (PARTITION BY game_id, seconds_remaining))"""]

@@ -14,13 +14,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playstream.operators import decode, encode, enrich, fill_numeric, player_credits, player_stats
-from playstream.operators.models import score
+from playstream.operators.models import Model, score
 from playstream.operators.stats import PLAYER_KEYS
 from playstream.schemas import SNAP_FIELDS, SNAP_MESSAGE
 from playstream.streaming.table import StatsTable, latest_stats
@@ -119,7 +118,7 @@ def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
     return _start(snapshot_stream(events, shots), mode, fn, trigger, checkpoint, name)
 
 
-def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
+def foreach_score(win: Model, mvp: Model, sink: BatchSink,
                   reference_names: bool = False) -> BatchSink:
     """Micro-batch scoring (ST7, L7): skip empty batches without a full count,
     persist once, score, write, release the same handle."""
@@ -134,7 +133,7 @@ def foreach_score(win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
     return fn
 
 
-def run_score_stream(messages: DataFrame, win: PipelineModel, mvp: PipelineModel, sink: BatchSink,
+def run_score_stream(messages: DataFrame, win: Model, mvp: Model, sink: BatchSink,
                      value: str = "value", trigger: dict | None = None, checkpoint: str | None = None,
                      name: str | None = None, reference_names: bool = False) -> StreamingQuery:
     """Start hop 2 (ST2, ST7): decode snapshot messages, fill numeric nulls,
