@@ -20,6 +20,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def matches(spark: SparkSession, pattern: str) -> int:
+    """How many files and folders match a pattern."""
+    fs, p = _at(spark, pattern)
+    return len(fs.globStatus(p) or [])
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
     stream = fs.open(p)

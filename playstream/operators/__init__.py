@@ -9,6 +9,7 @@ from playstream.operators.labels import add_labels, training_set
 from playstream.operators.moments import (by_moment, cumulative, dedupe_moments, number_events,
                                           share_of_total, snapshot_history, snapshot_shots)
 from playstream.operators.normalize import cursor_of, new_events, new_since, normalize_events
+from playstream.operators.rank import global_rank
 from playstream.operators.stats import (latest_by, ordered_stats, player_stats, shot_chart,
                                         shot_rows, unpack_latest)
 
@@ -21,5 +22,5 @@ __all__ = [
     "by_moment", "cumulative", "dedupe_moments", "number_events", "share_of_total",
     "snapshot_history", "snapshot_shots",
     "cursor_of", "new_events", "new_since", "normalize_events",
-    "latest_by", "ordered_stats", "player_stats", "shot_chart", "shot_rows", "unpack_latest",
+    "global_rank", "latest_by", "ordered_stats", "player_stats", "shot_chart", "shot_rows", "unpack_latest",
 ]

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstream.functions import fg_pct
+from playstream.operators.rank import global_rank
 
 PLAYER_KEYS = ("game_id", "player_name", "team_code")
+PLAYER_ORDER = ("game_id", "team_code", "player_name")
 STAT_COUNTERS = ["pts", "ast", "reb", "stl", "blk", "tov", "pf", "fga", "fgm"]
 
 
@@ -74,6 +76,7 @@ def unpack_latest(df: DataFrame, latest: str = "latest") -> DataFrame:
     })
 
 
-def ordered_stats(stats: DataFrame) -> DataFrame:
-    """Statistics sorted by (game, team) for batch views (O1)."""
-    return stats.orderBy("game_id", "team_code")
+def ordered_stats(stats: DataFrame, out: str = "place") -> DataFrame:
+    """Statistics sorted by (game, team), players by name, for batch views (O1),
+    with each row's place in that order."""
+    return global_rank(stats, PLAYER_ORDER, out)

@@ -7,15 +7,12 @@ events --normalise--> credits --aggregate--> player stats --enrich--> snapshots
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from playstream.operators import (enrich, normalize_events, number_events, player_credits,
                                   player_stats, snapshot_history, training_set)
 from playstream.operators.models import score, train_models
-from playstream.session import checkpoint_dir, delete_path
+from playstream.session import materialize
 from playstream.sources.fixture import pbp_raw
 
 HISTORY_KEYS = ("game_id", "snapshot_id")
@@ -51,19 +48,6 @@ def training_from_events(events: DataFrame, every: int = 30) -> DataFrame:
     return training_set(history_snapshots(events, every, shots=False))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a Parquet table under the shared checkpoint folder
-    (``spark.checkpoint.dir``) and read it back: the lineage is cut, the data
-    survives lost executors, and the re-read is columnar and prunable.  (An
-    RDD checkpoint of an uncached plan would compute it twice.)  The table is
-    removed when the driver ends."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    atexit.register(delete_path, spark, path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def scored_history(events: DataFrame, every: int = 30, seed: int = 42) -> DataFrame:
     """Fit both models on the history and score it (21 scored columns).
 

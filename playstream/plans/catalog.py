@@ -180,7 +180,7 @@ def q_snapshots_hard(spark, sf_dir):
 
 
 def q_ordered_stats(spark, sf_dir):
-    """O1: statistics in batch-view order, with each row's place among the games' teams."""
+    """O1: statistics in batch-view order, with each row's place in it."""
     return _flat_latest(ordered_stats(player_stats(player_credits(_events(spark, sf_dir)), shots=False)))
 
 
@@ -449,7 +449,8 @@ ORACLE = {
     "snapshots_hard": O.with_ctes(*O.hard(O.STATS), O.enrich_sql("st", ["game_id"]), select=(
         f"SELECT * REPLACE (CAST(team_score AS VARCHAR) AS team_score, CAST(score_diff AS VARCHAR) AS score_diff) "
         f"FROM (SELECT {_SNAP_TEXT} FROM en)")),
-    "ordered_stats": O.with_ctes(*O.STATS, select="SELECT * EXCLUDE (shots) FROM st ORDER BY game_id, team_code"),
+    "ordered_stats": O.with_ctes(*O.STATS, select=(
+        "SELECT * EXCLUDE (shots), row_number() OVER (ORDER BY game_id NULLS FIRST, team_code NULLS FIRST, player_name NULLS FIRST) AS place FROM st")),
     "flatten_actions": O.with_ctes(O.PBP_RAW, select="SELECT * FROM pbp_raw"),
     "event_round_trip": O.with_ctes(*O.BASE, select="SELECT * FROM ev"),
     "snapshot_round_trip": O.with_ctes(*O.STATS, O.enrich_sql("st", ["game_id"]), select=_TYPED),

@@ -80,7 +80,7 @@ def stats_stream(spark, args):
     src = stream_events(spark, args.events, fmt=args.format, max_per_trigger=args.max_per_trigger,
                         **_opts(args.option))
     _run(run_stats_stream(src, _sink(args), mode=args.mode, table=args.table, trigger=_trigger(args, 5),
-                          checkpoint=args.checkpoint, shots=not args.no_shots,
+                          checkpoint=args.checkpoint, shots=not args.no_shots, gap=args.gap,
                           reference_names=args.reference_names), args)
 
 
@@ -144,8 +144,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--truncate", action="store_true")
     p = sub.add_parser("stats-stream", parents=[stream, sink])
     p.add_argument("--events")
-    p.add_argument("--mode", default="complete", choices=["complete", "update"])
+    p.add_argument("--mode", default="complete", choices=["complete", "update", "sessions"])
     p.add_argument("--table")
+    p.add_argument("--gap", help="silence after which a game's state leaves (mode sessions)")
     p.add_argument("--no-shots", action="store_true")
     p.add_argument("--max-per-trigger", type=int, default=None)
     p = sub.add_parser("record", parents=[stream])

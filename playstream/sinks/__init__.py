@@ -75,8 +75,10 @@ def record_snapshots(sdf: DataFrame, path: str, checkpoint: str, partition_by: S
 def with_doc_id(df: DataFrame, keys: Sequence[str] = ("game_id", "team_code", "player_name",
                                                       "seconds_remaining")) -> DataFrame:
     """Deterministic document id for sinks that upsert (D8): re-emitted moments
-    overwrite instead of piling up."""
-    return df.withColumn("doc_id", F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256))
+    overwrite instead of piling up.  A hash of the keys as JSON with their
+    nulls, so that neither a null nor a mark in a name makes two keys alike."""
+    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"})
+    return df.withColumn("doc_id", F.sha2(key, 256))
 
 
 def write_scores(df: DataFrame, fmt: str = "parquet", path: str | None = None, mode: str = "append",

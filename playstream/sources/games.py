@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playstream import files
 from playstream.schemas import GAME_DOC
 
 # Fixed value: game id used when a document carries none.
@@ -40,7 +42,8 @@ def read_games(spark: SparkSession, paths: "str | Iterable[str]",
     skipped; :func:`missing_games` lists the former paths.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    present = [p for p in paths if p not in set(missing_games(spark, paths))]
+    gone = set(missing_games(spark, paths))
+    present = [p for p in paths if p not in gone]
     if not present:
         out = flatten_actions(spark.createDataFrame([], GAME_DOC))
     else:
@@ -53,13 +56,20 @@ def read_games(spark: SparkSession, paths: "str | Iterable[str]",
 
 
 def missing_games(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Those of the paths (patterns allowed) that match no file."""
-    sc = spark.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    gone = []
-    for path in paths:
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        found = p.getFileSystem(conf).globStatus(p)
-        if found is None or not len(found):
-            gone.append(path)
-    return gone
+    """Those of the paths (patterns allowed) that match no file.
+
+    One look-up per folder, not per document; a pattern is one of its own."""
+    paths = list(paths)
+    found: dict[str, set[str]] = {}
+    for folder in dict.fromkeys(_parts(p)[0] for p in paths if not _PATTERN.search(p)):
+        found[folder] = set(files.names(spark, folder or "."))
+    return [p for p in paths if (not files.matches(spark, p) if _PATTERN.search(p) else _parts(p)[1] not in found[_parts(p)[0]])]
+
+
+_PATTERN = re.compile(r"[*?\[{]")
+
+
+def _parts(path: str) -> tuple[str, str]:
+    """Folder and name."""
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    return folder or slash, name

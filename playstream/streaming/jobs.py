@@ -22,6 +22,7 @@ from playstream.operators import decode, encode, enrich, fill_numeric, player_cr
 from playstream.operators.models import Model, score
 from playstream.operators.stats import PLAYER_KEYS
 from playstream.schemas import SNAP_FIELDS, SNAP_MESSAGE
+from playstream.streaming.sessions import game_sessions
 from playstream.streaming.table import StatsTable, latest_stats
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -98,7 +99,8 @@ def snapshot_stream(events: DataFrame, shots: bool = True) -> DataFrame:
 def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
                      trigger: dict | None = None, checkpoint: str | None = None,
                      name: str | None = None, table: str | None = None, shots: bool = True,
-                     reference_names: bool = False) -> StreamingQuery:
+                     reference_names: bool = False, gap: str | None = None, time: str | None = None,
+                     delay: str = "0 seconds") -> StreamingQuery:
     """Start hop 1 (ST1, ST3, ST5, ST6).
 
     ``mode="complete"`` re-emits every player each trigger, so the batch
@@ -107,8 +109,16 @@ def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",
     intake (ST4).  ``mode="update"`` is the scale path: only changed players
     are emitted and merged into the statistics ``table`` (see
     :func:`foreach_merge_enrich`).  ``shots=False`` leaves the shot chart out
-    of state and messages.
+    of state and messages.  ``mode="sessions"`` keeps one state per game of a
+    fixed size, without shot charts, that leaves when the game was silent for
+    ``gap`` (see :func:`game_sessions`, also for ``time`` and ``delay``).
     """
+    if mode == "sessions":
+        if not gap:
+            raise ValueError("sessions need a gap after which a game is closed")
+        enriched = foreach_enrich(sink, reference_names=reference_names)
+        return _start(game_sessions(events, gap, time, delay), "update",
+                      lambda df, n: enriched(df.where("not closed").drop("closed"), n), trigger, checkpoint, name)
     if mode == "update":
         if not table:
             raise ValueError("update mode needs a statistics table to merge into")
