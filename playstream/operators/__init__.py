@@ -10,8 +10,8 @@ from playstream.operators.moments import (by_moment, cumulative, dedupe_moments,
                                           share_of_total, snapshot_history, snapshot_shots)
 from playstream.operators.normalize import cursor_of, new_events, new_since, normalize_events
 from playstream.operators.rank import global_rank
-from playstream.operators.stats import (latest_by, ordered_stats, player_stats, shot_chart,
-                                        shot_rows, unpack_latest)
+from playstream.operators.stats import (add_grids, grid_cells, latest_by, ordered_stats, player_stats, shot_cell,
+                                        shot_chart, shot_grid, shot_rows, unpack_latest)
 
 __all__ = [
     "decode", "encode", "fill_numeric",
@@ -23,4 +23,5 @@ __all__ = [
     "snapshot_history", "snapshot_shots",
     "cursor_of", "new_events", "new_since", "normalize_events",
     "global_rank", "latest_by", "ordered_stats", "player_stats", "shot_chart", "shot_rows", "unpack_latest",
+    "add_grids", "grid_cells", "shot_cell", "shot_grid",
 ]

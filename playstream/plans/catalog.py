@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstream.functions import display_pct, positive_prob
-from playstream.operators import (by_moment, cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
-                                  game_clock, latest_by, new_since, normalize_events,
+from playstream.operators import (add_grids, by_moment, cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
+                                  game_clock, grid_cells, latest_by, new_since, normalize_events,
                                   opponent_scores, ordered_stats, player_credits, player_stats, share_of_total,
                                   snapshot_history, snapshot_shots, team_scores, training_set, unpack_latest)
 from playstream.operators.compiled import compile_model
@@ -207,6 +207,17 @@ def q_snapshot_round_trip(spark, sf_dir):
     return _shots_text(decode(msgs, SNAP, reference_names=True))
 
 
+def q_shot_grid(spark, sf_dir):
+    """A2 in a fixed size: attempts and makes per player and court cell, the
+    quarters' grids added up."""
+    cr = player_credits(_events(spark, sf_dir), keep=())
+    keys = ("game_id", "player_name", "team_code")
+    halves = [player_stats(cr.where(c), shots=False, grid=5).select(F.struct(*keys).alias("k"), F.col("shot_grid").alias(g))
+              for c, g in ((F.col("quarter") <= 2, "a"), (F.col("quarter") > 2, "b"))]
+    both = halves[0].join(halves[1], "k", "full").select("k.*", add_grids("a", "b").alias("shot_grid"))
+    return grid_cells(both)
+
+
 def q_display_pct(spark, sf_dir):
     """F17 on eighths: percentages as shown in documents."""
     q = F.col("l_quantity").cast("double") / 8
@@ -461,6 +472,9 @@ ORACLE = {
     "scored_fixed": O.with_ctes(*_FULL_HISTORY, O.DEDUP, *O.scored_sql("dd"), select=f"SELECT {_SNAP_TEXT}, win_pct, mvp_pct FROM sc"),
     "compiled_scores": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
         "SELECT game_id, seconds_remaining, count(*) AS n_rows, true AS win_equal, true AS mvp_equal FROM dd GROUP BY game_id, seconds_remaining")),
+    "shot_grid": O.with_ctes(*O.BASE, O.credits_sql(), select=(
+        "SELECT game_id, player_name, team_code, CAST(least(floor(shot_x / 20), 4) AS INTEGER) AS cell_x, CAST(least(floor(shot_y / 20), 4) AS INTEGER) AS cell_y, "
+        "CAST(sum(fgm) AS BIGINT) AS made, count(*) AS tried FROM cr WHERE shot_x IS NOT NULL GROUP BY ALL")),
     "display_pct": "SELECT l_orderkey, l_linenumber, CAST(printf('%.2f', CAST(l_quantity AS DOUBLE) / 8) AS FLOAT) AS pct FROM lineitem",
     "score_checks": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
         "SELECT game_id, seconds_remaining, CAST(count(*) AS BIGINT) AS n_rows, true AS mvp_total_ok, true AS mvp_in_range, "
@@ -518,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "flatten_actions": q_flatten_actions,
     "event_round_trip": q_event_round_trip,
     "snapshot_round_trip": q_snapshot_round_trip,
+    "shot_grid": q_shot_grid,
     "display_pct": q_display_pct,
     "stream_complete": q_stream_complete,
     "stream_update": q_stream_update,

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playstream.operators.codec import encode
 from playstream.schemas import SNAP_FIELDS
+from playstream.sinks.bulk import BulkDocuments, bulk_writer, read_bulk, sweep_bulk
+from playstream.sinks.clustered import ClusteredTable, record_clustered
 
 
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -90,4 +92,5 @@ def write_scores(df: DataFrame, fmt: str = "parquet", path: str | None = None, m
 
 
 __all__ = ["write_events", "publish", "batch_writer", "record_snapshots", "with_doc_id",
-           "write_scores", "SNAP_FIELDS"]
+           "write_scores", "SNAP_FIELDS", "BulkDocuments", "bulk_writer", "read_bulk", "sweep_bulk",
+           "ClusteredTable", "record_clustered"]

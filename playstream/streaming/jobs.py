@@ -90,10 +90,10 @@ def foreach_merge_enrich(table: str, sink: BatchSink, key: str = "game_id",
     return fn
 
 
-def snapshot_stream(events: DataFrame, shots: bool = True) -> DataFrame:
+def snapshot_stream(events: DataFrame, shots: bool = True, grid: int | None = None) -> DataFrame:
     """Stateful per-player statistics over an event stream (ST1); without
-    ``shots`` the state of a player has a fixed size."""
-    return player_stats(player_credits(events), shots=shots)
+    ``shots`` the state of a player has a fixed size, also with a shot ``grid``."""
+    return player_stats(player_credits(events), shots=shots, grid=grid)
 
 
 def run_stats_stream(events: DataFrame, sink: BatchSink, mode: str = "complete",

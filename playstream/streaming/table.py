@@ -1,40 +1,25 @@
 """Log-structured table of player statistics for update-mode streams (ST6, D6).
 
-``batch=n``            rows that micro-batch n has changed
-``run=first-last``     the newest rows of the batches from first to last, merged
-``_manifest/n``        which runs count, as of the batches up to n
-
-A read is the newest manifest's runs and the batches after them.  Batches are
-merged ``every`` at a time, runs of equal rank likewise, so a row is rewritten
-once a rank and a read touches fewer than ``every`` folders a rank, however
-many batches there were.  Merging starts with a batch and covers only those
-before it, which can't run again.  It counts once its manifest is there: a
-crash before that leaves folders that nobody reads, a crash after it leaves
-old folders that the next merge removes.  Folders of the manifest before the
-newest stay, for whoever reads them still.
+A batch's folder holds the rows that it has changed, a run the newest row of
+every player in its batches (see :mod:`playstream.runs`).  Rows are dealt into
+buckets by a null-safe hash of the game, and a trigger reads the touched
+games' buckets only.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from playstream import files
 from playstream.operators.stats import PLAYER_KEYS
+from playstream.runs import Run, Runs, folder
 
 BUCKETS = 256   # folders of a batch or run, by hash of the game; fixed for a table's life
 EVERY = 8       # folders of a rank that are merged into one of the next
 
-Run = tuple[int, int, int]   # first and last batch, rank
-
-
-def _folder(run: Run) -> str:
-    return f"batch={run[0]}" if run[2] == 0 else f"run={run[0]}-{run[1]}"
-
 
 def game_of(game: str):
     """The game as a null-safe key."""
@@ -57,83 +42,44 @@ class StatsTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, game: str = "game_id",
                  keys: Sequence[str] = PLAYER_KEYS, every: int = EVERY) -> None:
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.game, self.keys, self.every = game, tuple(keys), every
-
-    def _manifests(self) -> list[int]:
-        return sorted(int(n) for n in files.names(self.spark, f"{self.path}/_manifest") if n.isdigit())
-
-    def _merged(self, number: int) -> list[Run]:
-        return [tuple(r) for r in json.loads(files.read_text(self.spark, f"{self.path}/_manifest/{number}"))]
-
-    def runs(self, before: int | None = None) -> list[Run]:
-        """What a read consists of, oldest first; with ``before`` only batches before that one."""
-        known = self._manifests()
-        merged = self._merged(known[-1]) if known else []
-        since = merged[-1][1] if merged else -1
-        batches = sorted(int(n[6:]) for n in files.names(self.spark, self.path) if n.startswith("batch=") and n[6:].isdigit())
-        return merged + [(b, b, 0) for b in batches if b > since and (before is None or b < before)]
-
-    def read(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
-        """All versions that count, with ``bucket`` and the ``batch`` that a version is as new as."""
-        schema = StructType([*self.schema.fields, StructField("bucket", IntegerType())])
-        out = self.spark.createDataFrame([], schema).withColumn("batch", F.lit(0).cast("long"))
-        for run in self.runs(before):
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/{_folder(run)}")
-            if buckets is not None:
-                rows = rows.where(F.col("bucket").isin(list(buckets)))
+        self.spark, self.path, self.game, self.keys = spark, path.rstrip("/"), game, tuple(keys)
+        self.schema = StructType([*schema.fields, StructField("bucket", IntegerType())])
+        self.runs = Runs(spark, self.path, every)
+
+    def _versions(self, runs: Sequence[Run]) -> DataFrame:
+        out = self.spark.createDataFrame([], self.schema).withColumn("batch", F.lit(0).cast("long"))
+        for run in runs:
+            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder(run)}")
             out = out.unionByName(rows.withColumn("batch", F.lit(run[1]).cast("long")))
         return out
 
+    def read(self, before: int | None = None) -> DataFrame:
+        """All versions that count, with ``bucket`` and the ``batch`` that a
+        version is as new as; with ``before`` those of batches before that one."""
+        return self._versions(self.runs.known(before))
+
     def current(self) -> DataFrame:
         """Every player's newest row."""
         return latest_stats(self.read(), self.keys)
 
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+    def _write(self, rows: DataFrame, run: Run) -> None:
+        (rows.withColumn("bucket", bucket_of(self.game)).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+         .parquet(f"{self.path}/{folder(run)}"))
 
     def compact(self, before: int) -> Run | None:
-        """Merge batches before ``before`` where ``every`` of a rank are there; the new run if so."""
-        runs = self.runs(before)
-        rank, merged = 0, []
-        while sum(r[2] == rank for r in runs) + bool(merged) >= self.every:
-            merged = [r for r in runs if r[2] <= rank]
-            rank += 1
-        if not merged:
-            return None
-        new: Run = (merged[0][0], merged[-1][1], rank)
-        versions = [self.spark.read.schema(StructType([*self.schema.fields, StructField("bucket", IntegerType())]))
-                    .parquet(f"{self.path}/{_folder(r)}").withColumn("batch", F.lit(r[1]).cast("long")) for r in merged]
-        rows = versions[0]
-        for v in versions[1:]:
-            rows = rows.unionByName(v)
-        self._write(latest_stats(rows, self.keys).withColumn("bucket", bucket_of(self.game)), _folder(new))
-        self._commit([r for r in runs if r not in merged] + [new])
-        return new
-
-    def _commit(self, runs: list[Run]) -> None:
-        """Let ``runs`` count from now on, and remove what neither these nor the ones before them hold."""
-        known = self._manifests()
-        files.publish_text(self.spark, f"{self.path}/_manifest/{runs[-1][1]}", json.dumps(runs))
-        held = {_folder(r) for n in known[-1:] for r in self._merged(n)} | {_folder(r) for r in runs}
-        before = self._merged(known[-1])[-1][1] if known else -1
-        for name in files.names(self.spark, self.path):
-            old = name.startswith("batch=") and name[6:].isdigit() and int(name[6:]) <= before
-            if name not in held and (old or name.startswith("run=")):
-                files.remove(self.spark, f"{self.path}/{name}")
-        for n in known[:-1]:
-            files.remove(self.spark, f"{self.path}/_manifest/{n}")
+        """Merge batches before ``before`` where enough of a rank are there; the new run if so."""
+        return self.runs.merge(before, lambda merged, new: self._write(latest_stats(self._versions(merged), self.keys), new))
 
     def add(self, changed: DataFrame, batch_id: int) -> DataFrame:
         """Add the rows that a batch has changed; the touched games' whole current rows.
 
         A batch that runs again replaces its own folder only and reads only
         batches before it, so neither a crash nor a re-run loses or doubles
-        rows.  Reading keeps to the touched games' buckets."""
+        rows."""
         self.compact(batch_id)
-        now = changed.withColumn("bucket", bucket_of(self.game))
-        self._write(now, f"batch={batch_id}")
-        touched = [r[0] for r in now.select("bucket").distinct().collect()]   # BUCKETS rows at most
+        self._write(changed, (batch_id, batch_id, 0))
+        touched = [r[0] for r in changed.select(bucket_of(self.game)).distinct().collect()]   # BUCKETS rows at most
         games = changed.select(game_of(self.game).alias("_g")).distinct()
-        kept = self.read(batch_id, touched).withColumn("_g", game_of(self.game)).join(games, "_g", "left_semi").drop("_g")
-        return latest_stats(kept.unionByName(now.withColumn("batch", F.lit(batch_id).cast("long"))), self.keys)
+        kept = (self.read(batch_id).where(F.col("bucket").isin(touched)).drop("bucket")
+                .withColumn("_g", game_of(self.game)).join(games, "_g", "left_semi").drop("_g"))
+        return latest_stats(kept.unionByName(changed.withColumn("batch", F.lit(batch_id).cast("long"))), self.keys)

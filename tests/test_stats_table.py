@@ -6,6 +6,7 @@ import re
 import pandas as pd
 import pytest
 
+from playstream import files
 from playstream.streaming import StatsTable, latest_stats, table as module
 
 SCHEMA = "game_id string, player_name string, team_code string, pts int"
@@ -69,7 +70,7 @@ def test_a_crash_before_or_after_the_swap_changes_nothing(spark, tmp_path, small
         raise RuntimeError("crash")
 
     with monkeypatch.context() as m:   # the run is written, its manifest is not
-        m.setattr(module.files, "publish_text", crash)
+        m.setattr(files, "publish_text", crash)
         with pytest.raises(RuntimeError):
             t.add(merged, 4)
     assert folders(t.read()) == {f"batch={n}" for n in range(4)} and state(t.current()) == wanted(range(4))
@@ -78,7 +79,7 @@ def test_a_crash_before_or_after_the_swap_changes_nothing(spark, tmp_path, small
     for n in range(4, 8):
         t.add(spark.createDataFrame(rows_of(n), SCHEMA), n)
     with monkeypatch.context() as m:   # the manifest is there, old folders are not removed
-        m.setattr(module.files, "remove", crash)
+        m.setattr(files, "remove", crash)
         with pytest.raises(RuntimeError):
             t.add(spark.createDataFrame(rows_of(8), SCHEMA), 8)
     assert folders(t.read()) == {"run=0-3", "run=4-7"} and state(t.current()) == wanted(range(8))
