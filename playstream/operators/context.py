@@ -18,7 +18,7 @@ from playstream.schemas import SNAP_FIELDS
 GAME = ("game_id",)
 
 
-def _clock_key(quarter: Column, clock: Column) -> Column:
+def clock_key(quarter: Column, clock: Column) -> Column:
     """Sort key of a player's latest event: quarter descending (nulls last),
     then seconds left ascending (nulls last), then clock text."""
     secs = clock_seconds(clock)
@@ -33,7 +33,7 @@ def game_clock(stats: DataFrame, by: Sequence[str] = GAME, latest: str = "latest
     An aggregate (min of a sort key) instead of ``row_number`` over the game,
     so it pre-aggregates before the shuffle and never sorts a whole game.
     """
-    k = F.min(_clock_key(F.col(f"{latest}.quarter"), F.col(f"{latest}.clock"))).alias("_k")
+    k = F.min(clock_key(F.col(f"{latest}.quarter"), F.col(f"{latest}.clock"))).alias("_k")
     return stats.groupBy(*by).agg(k).select(*by, F.col("_k.q").alias("game_quarter"),
                                              F.col("_k.c").alias("game_clock"))
 
@@ -100,11 +100,11 @@ def enrich(stats: DataFrame, by: Sequence[str] = GAME, team: str = "team_code")
     df = stats.repartition(*by).withColumn("team_score", F.when(valid, F.sum("pts").over(Window.partitionBy(*by, team))))
     df = df.withColumns({
         "_opps": _opponents(by, team, "team_score"),
-        "_k": F.min(_clock_key(F.col("latest.quarter"), F.col("latest.clock"))).over(g),
+        "_k": F.min(clock_key(F.col("latest.quarter"), F.col("latest.clock"))).over(g),
     })
     df = df.select("*", F.explode_outer("_opps").alias("opp_score"),
                    F.col("_k.q").alias("game_quarter"), F.col("_k.c").alias("game_clock"))
-    return _project(df, by, metrics=True)
+    return project(df, by, metrics=True)
 
 
 def _metric_columns() -> dict[str, Column]:
@@ -113,7 +113,7 @@ def _metric_columns() -> dict[str, Column]:
             "efficiency": efficiency()}
 
 
-def _project(df: DataFrame, by: Sequence[str], metrics: bool = False) -> DataFrame:
+def project(df: DataFrame, by: Sequence[str], metrics: bool = False) -> DataFrame:
     """Snapshot columns in payload order (+ extra moment keys), computing the
     metrics in the same projection when asked."""
     extra = [c for c in by if c not in SNAP_FIELDS]

@@ -30,7 +30,7 @@ from playstream.session import checkpoint_dir, delete_path
 from playstream.sinks import batch_writer
 from playstream.sources.games import flatten_actions
 from playstream.sources.fixture import hard_raw, pbp_raw
-from playstream.streaming import run_score_stream, run_stats_stream
+from playstream.streaming import closed_games, run_score_stream, run_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,6 +267,25 @@ def q_stream_update(spark, sf_dir):
     return _stream_stats(spark, sf_dir, "update")
 
 
+def q_stream_closed(spark, sf_dir):
+    """J1-J4/W1 inside the stream: finished games enriched by chained aggregates
+    and a stream-stream join, over irregular actions, a game a day, in several triggers."""
+    base = _scratch(spark)
+    days = 36500   # files may come in any order: no event is late
+    at = F.timestamp_seconds((F.col("game_id").cast("long") % 100000) * 86400 + F.col("event_id") * 60)
+    ev = materialize(normalize_events(_hard(spark, sf_dir)).withColumn("at", at))
+    ev.repartitionByRange(TRIGGERS, "at").write.parquet(f"{base}/in")
+    for _ in range(2):
+        feed = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        closed_games(feed, "at", delay=f"{days} days", shots=True).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint") \
+            .trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+        # a last event moves the watermark past all days
+        end = ev.agg(F.max("at").alias("at")).select(F.lit("end").alias("game_id"), F.lit("end").alias("player_name"), (F.col("at") + F.make_dt_interval(F.lit(days + 2))).alias("at"))
+        ev.limit(0).unionByName(end, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    out = _shots_text(spark.read.parquet(f"{base}/out"))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("team_score", "score_diff")})
+
+
 def q_two_hop_scores(spark, sf_dir):
     """ST7/ST8: events -> statistics stream -> messages -> scoring stream ->
     documents, both in several triggers; every game's last documents without the stamp."""
@@ -472,6 +491,9 @@ ORACLE = {
     "scored_fixed": O.with_ctes(*_FULL_HISTORY, O.DEDUP, *O.scored_sql("dd"), select=f"SELECT {_SNAP_TEXT}, win_pct, mvp_pct FROM sc"),
     "compiled_scores": O.with_ctes(*_FULL_HISTORY, O.DEDUP, select=(
         "SELECT game_id, seconds_remaining, count(*) AS n_rows, true AS win_equal, true AS mvp_equal FROM dd GROUP BY game_id, seconds_remaining")),
+    "stream_closed": O.with_ctes(*O.hard(O.STATS), O.enrich_sql("st", ["game_id"]), select=(
+        f"SELECT * REPLACE (CAST(team_score AS VARCHAR) AS team_score, CAST(score_diff AS VARCHAR) AS score_diff) "
+        f"FROM (SELECT {_SNAP_TEXT} FROM en)")),
     "shot_grid": O.with_ctes(*O.BASE, O.credits_sql(), select=(
         "SELECT game_id, player_name, team_code, CAST(least(floor(shot_x / 20), 4) AS INTEGER) AS cell_x, CAST(least(floor(shot_y / 20), 4) AS INTEGER) AS cell_y, "
         "CAST(sum(fgm) AS BIGINT) AS made, count(*) AS tried FROM cr WHERE shot_x IS NOT NULL GROUP BY ALL")),
@@ -536,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "display_pct": q_display_pct,
     "stream_complete": q_stream_complete,
     "stream_update": q_stream_update,
+    "stream_closed": q_stream_closed,
     "two_hop_scores": q_two_hop_scores,
     "scored_fixed": q_scored_fixed,
     "compiled_scores": q_compiled_scores,
