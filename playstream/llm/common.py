@@ -11,7 +11,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +91,26 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, remember:
             yield batch.slice(at, rows)
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 24, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of at most ``rows`` rows whose ``column`` has
+    at most ``most`` bytes together, or of one longer value."""
+    for b in slices(batches, rows):
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, "right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
@@ -102,8 +124,9 @@ def row_key() -> Column:
 
 def rows_with(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows of ``docs`` whose key is (``left_anti``: is not) among ``keys(doc_id, h)``, all columns kept."""
-    k = keys.select(F.struct("doc_id", "h").alias("key__"))
-    return docs.join(k, F.struct(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"])) == k["key__"], how)
+    key = fresh(docs, "key")
+    k = keys.select(F.struct("doc_id", "h").alias(key))
+    return docs.join(k, F.struct(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"])) == k[key], how)
 
 
 def release(spark: SparkSession) -> None:

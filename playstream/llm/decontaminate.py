@@ -3,15 +3,16 @@
 A window is a run of consecutive words of a benchmark item (ten, or the whole
 item if it has fewer); a document is contaminated where a window occurs.
 
-1. Windows are sets of word shingles with positions.  A bitmap of fixed size
-   over the shingles' hashes goes to all tasks, and documents keep the word
+1. Windows are sets of word shingles with positions.  A bitmap of the shingles'
+   hashes, sized by their number, goes to all tasks, and documents keep the word
    segments whose consecutive shingles all hit it (no segment that could hold
    a window is lost; false hits only cost work).
 2. The segments' shingles are counted over the whole corpus; every window's
    shingles are ordered by rarity.  As all of them must occur, a prefix of one
    - the rarest - is enough, and only that one is joined.
 3. Positions bound the window's place in the segment, lengths bound its end.
-4. Survivors are verified word by word over the item-sized window.
+4. Survivors meet their document's words again, and are verified word by word
+   over the item-sized window.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import as_bytes, row_key, rows_with, save, slices, table
+from playstream.llm.common import as_bytes, portions, row_key, rows_with, save, slices, table
 
 WINDOW = 10          # words of a window
 SHINGLE = 3          # words of a shingle; items of fewer words are one shingle
-SLOTS = 1 << 22      # bits of the bitmap, whatever the benchmark's size
+SLOT_BITS = range(22, 31)   # a bitmap has 2 ** 22 to 2 ** 30 bits, about this many for a shingle:
+_SPARSE = 32
 
 #: Bytes of a word, A-Z as a-z; all others separate words.
 _FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -74,38 +76,53 @@ def _windows(items: DataFrame, width: int) -> DataFrame:
     return items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, k int, words array<string>, hashes array<long>")
 
 
-def _bitmap(windows: DataFrame) -> dict[int, np.ndarray]:
-    """For each shingle length in use (three at most) a bitmap of ``SLOTS`` bits."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, hashes in zip(b.column("k").to_pylist(), b.column("hashes").to_pylist()):
-                at = np.array(hashes, np.int64).view(np.uint64) % np.uint64(SLOTS)
-                maps.setdefault(k, np.zeros(SLOTS, bool))[at] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([np.packbits(x).tobytes() for x in maps.values()], pa.binary())], ["k", "bits"])
+class _Bitmap:
+    """Which shingles may be of a window: for each shingle length in use (three
+    at most) a bitmap by the hash's upper bits, 128 MB each at most."""
+
+    def __init__(self, windows: DataFrame) -> None:
+        shingles = windows.agg(F.sum(F.size("hashes"))).first()[0] or 0   # those of neighbouring windows repeat
+        self.bits = min(max(SLOT_BITS[0], (_SPARSE * shingles // WINDOW).bit_length()), SLOT_BITS[-1])
+        shift, size = np.uint64(64 - self.bits), 1 << (self.bits - 3)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            maps: dict[int, np.ndarray] = {}
+            for b in batches:
+                for k, hashes in zip(b.column("k").to_pylist(), b.column("hashes").to_pylist()):
+                    at = np.array(hashes, np.int64).view(np.uint64) >> shift
+                    np.bitwise_or.at(maps.setdefault(k, np.zeros(size, np.uint8)), (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([x.tobytes() for x in maps.values()], pa.binary())], ["k", "bits"])
 
-    merged: dict[int, np.ndarray] = {}
-    for row in windows.select("k", "hashes").coalesce(4).mapInArrow(run, "k int, bits binary").toLocalIterator():
-        bits = np.frombuffer(row.bits, np.uint8)
-        merged[row.k] = merged.get(row.k, 0) | bits
-    return merged
+        merged: dict[int, np.ndarray] = {}
+        for row in windows.select("k", "hashes").coalesce(4).mapInArrow(run, "k int, bits binary").toLocalIterator():
+            merged[row.k] = merged.get(row.k, 0) | np.frombuffer(row.bits, np.uint8)
+        self.lengths = sorted(merged)
+        self._sent = windows.sparkSession.sparkContext.broadcast({k: zlib.compress(x.tobytes(), 1) for k, x in merged.items()})
+        self._maps: dict[int, np.ndarray] = {}
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_maps": {}}
 
-def _segments(docs: DataFrame, bitmap: dict[int, np.ndarray], least: dict[int, int]) -> DataFrame:
+    def holds(self, k: int, hashes: np.ndarray) -> np.ndarray:
+        if k not in self._maps:
+            self._maps[k] = np.frombuffer(zlib.decompress(self._sent.value[k]), np.uint8)
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self._maps[k][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _segments(docs: DataFrame, bitmap: _Bitmap, least: dict[int, int]) -> DataFrame:
     """One row per document: ``doc_id, h, n_words`` and its segments (start,
     words, hashes by shingle length) of at least ``least[k]`` shingles in a row."""
-    packed = {k: v.tobytes() for k, v in bitmap.items()}
     kind = pa.list_(pa.struct([("k", pa.int32()), ("start", pa.int64()), ("words", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = {k: np.unpackbits(np.frombuffer(v, np.uint8)).view(bool) for k, v in packed.items()}
-        for b in slices(batches):
+        for b in portions(batches):
             counts, found = [], []
             for text in as_bytes(b.column("text")):
                 words, mine = word_list(text), []
-                for k, bits in maps.items():
+                for k in bitmap.lengths:
                     h = shingle_hashes(words, k)
-                    hit = np.concatenate([[False], bits[h % np.uint64(SLOTS)], [False]])
+                    hit = np.concatenate([[False], bitmap.holds(k, h), [False]])
                     turn = np.flatnonzero(hit[1:] != hit[:-1])
                     for s, e in zip(turn[::2].tolist(), turn[1::2].tolist()):
                         if e - s >= least[k]:
@@ -131,9 +148,11 @@ def _found(docs: DataFrame, items: DataFrame, width: int) -> tuple[DataFrame, Da
     """The documents' word counts, the windows, and the verified hits ``(doc_id, h, start, stop, window)``."""
     windows = save(_windows(items, width))
     least = {r.k: r.n for r in windows.groupBy("k").agg(F.min(F.size("hashes")).alias("n")).collect()}  # three rows at most
-    segments = save(_segments(docs, _bitmap(windows), least))
-    parts = segments.where(F.size("segments") > 0).select("doc_id", "h", F.explode("segments").alias("s")).dropDuplicates(["doc_id", "h", "s"])
-    grams = save(parts.select("doc_id", "h", "s.k", "s.start", "s.words", F.posexplode("s.hashes").alias("at", "gram")))
+    segments = save(_segments(docs, _Bitmap(windows), least))
+    of = F.struct("doc_id", "h").alias("of")   # rows alike in both are one text
+    texts = segments.where(F.size("segments") > 0).select(of, "segments").dropDuplicates(["of"])
+    parts = texts.select("of", F.posexplode("segments").alias("segment", "s"))
+    grams = save(parts.select("of", "segment", "s.k", F.size("s.words").alias("size"), F.posexplode("s.hashes").alias("at", "gram")))
     rarity = grams.groupBy("k", "gram").agg(F.count("*").alias("df"))
     distinct = windows.select("k", "words", "hashes").distinct()
     tokens = distinct.select("k", "words", F.posexplode("hashes").alias("offset", "gram"))
@@ -141,11 +160,12 @@ def _found(docs: DataFrame, items: DataFrame, width: int) -> tuple[DataFrame, Da
               .groupBy("k", "words").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "gram")).alias("p"))
               .where("p.df > 0").select("k", "p.gram", "p.offset", F.col("words").alias("window")))
     first = F.col("at") - F.col("offset")
-    size = F.size("window")
-    hits = save(grams.join(prefix, ["k", "gram"])
-                .where((first >= 0) & (first + size <= F.size("words")))
-                .where(F.slice("words", first + 1, size) == F.col("window"))
-                .select("doc_id", "h", (F.col("start") + first).alias("start"), (F.col("start") + first + size).alias("stop"), "window"))
+    near = save(grams.join(prefix, ["k", "gram"]).where((first >= 0) & (first + F.size("window") <= F.col("size")))
+                .select("of", "segment", first.alias("first"), "window"))
+    segment = F.get("segments", F.col("segment"))
+    hits = save(near.join(texts, "of").where(F.slice(segment["words"], F.col("first") + 1, F.size("window")) == F.col("window"))
+                .select("of.doc_id", "of.h", (segment["start"] + F.col("first")).alias("start"), "window")
+                .select("doc_id", "h", "start", (F.col("start") + F.size("window")).alias("stop"), "window"))
     return segments.select("doc_id", "h", "n_words"), windows, hits
 
 

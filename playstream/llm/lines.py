@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstream.llm.bitmap import Flags, shared
-from playstream.llm.common import erase, release, row_key, save, slices, table
+from playstream.llm.common import erase, fresh, release, row_key, save, slices, table
 from playstream.llm.components import components, forest
 
 SHINGLE = 7          # characters of a shingle; shorter lines match exact copies only
@@ -368,9 +368,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
       document and stay alike;
     * blank lines stay; a null text stays null, an empty one empty; a text may
       lose all its lines; an empty table gives an empty table."""
-    gone = removals(docs).select(F.col("key").alias("key__"), F.col("lines").alias("lines__"))
+    of, lines = fresh(docs, "key"), fresh(docs, "lines")
+    gone = removals(docs).select(F.col("key").alias(of), F.col("lines").alias(lines))
     key = F.struct(docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"]))
-    joined = docs.join(gone, key == F.struct(gone["key__"]["doc_id"], gone["key__"]["h"]), "left")
+    joined = docs.join(gone, key == F.struct(gone[of]["doc_id"], gone[of]["h"]), "left")
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,7 +388,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 columns[k] = pa.array([None if t is None else len(t) for t in out], pa.int64()).cast(b.schema.field(k).type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.select(*[docs[c] for c in names], gone["lines__"]).mapInArrow(run, schema)
+    return joined.select(*[docs[c] for c in names], gone[lines]).mapInArrow(run, schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import as_bytes, row_key, rows_with, save, slices, table
+from playstream.llm.common import as_bytes, fresh, row_key, rows_with, save, slices, table
 from playstream.llm.components import components, forest
 
 PIVOTS = 16          # reference fingerprints
@@ -150,8 +150,8 @@ def one_of_each(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
     null one last - with all columns."""
     _, rooted = _rooted(docs, words, bits)
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.h")
-    key = F.struct("doc_id", F.xxhash64("doc_id", "text"))
-    return rows_with(docs, kept).withColumn("key__", key).dropDuplicates(["key__"]).drop("key__")
+    key = fresh(docs, "key")
+    return rows_with(docs, kept).withColumn(key, F.struct("doc_id", F.xxhash64("doc_id", "text"))).dropDuplicates([key]).drop(key)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstream.llm.bitmap import Flags, shared
-from playstream.llm.common import as_bytes, erase, release, row_key, save, slices, table
+from playstream.llm.common import as_bytes, erase, portions, release, row_key, save, slices, table
 
 MIN = 50                   # bytes of a repeated string
 SAMPLE = 24                # bytes of a cover sample, a multiple of eight
 _SPAN = MIN - SAMPLE + 1   # samples in a window
 _MARK = 15                 # a sample whose rank has these bits clear begins a chunk
 SORTED_ROWS = 20000        # most contexts of one rank that a task sorts
+BLOCK = 1 << 21            # bytes of text whose cover is found at once
 _BATCH_ROWS = 4096
 
 
@@ -98,12 +99,39 @@ def cover(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, rank[sample[k[first]]], lo - begins[text], np.diff(np.append(first, len(at)))
 
 
+def covered(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """``cover`` of the texts, some together and a longer one in blocks, each of
+    whose windows belongs to one block: a block's end only cuts a sample's
+    windows in two.  Memory is that of a block and of what is found."""
+    found, group, size = [], [], 0
+
+    def flush() -> None:
+        if group:
+            text, *rest = cover([texts[i] for i in group])
+            found.append((np.array(group, np.int64)[text], *rest))
+            group.clear()
+
+    for i, t in enumerate(texts):
+        if size + len(t) > BLOCK:
+            flush()
+            size = 0
+        if len(t) <= BLOCK:
+            group.append(i)
+            size += len(t)
+            continue
+        for at in range(0, len(t) - MIN + 1, BLOCK):
+            text, rank, lo, n = cover([t[at:at + BLOCK + MIN - 1]])
+            found.append((text + i, rank, lo + at, n))
+    flush()
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip((none, none.astype(np.uint64), none, none), *found))
+
+
 def _ranks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The ranks of a batch's texts, and the number (h) of the document each is from."""
     ranks, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    for b in slices([batch], 64):
-        texts = as_bytes(b.column("text"))
-        text, rank, _, _ = cover(texts)
+    for b in portions([batch]):
+        text, rank, _, _ = covered(as_bytes(b.column("text")))
         ranks.append(rank)
         owners.append(b.column("h").to_numpy().view(np.uint64)[text])
     return np.concatenate(ranks), np.concatenate(owners)
@@ -114,9 +142,9 @@ def _contexts(docs: DataFrame, ranks: Flags) -> DataFrame:
     and the chunks they form (number of the first sample, digest)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for b in slices(batches, 64):
+        for b in portions(batches, rows=64):
             texts = as_bytes(b.column("text"))
-            text, rank, lo, n = cover(texts)
+            text, rank, lo, n = covered(texts)
             keep = ranks.holds(rank)
             text, rank, lo, n = text[keep], rank[keep], lo[keep], n[keep]
             end = lo + n

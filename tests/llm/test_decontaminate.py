@@ -1,6 +1,8 @@
 import hashlib
+import os
 import re
 
+from playstream.llm.common import recorded
 from playstream.llm.decontaminate import contamination
 from tests.llm.util import EDGE, SF0001, docs_of
 
@@ -57,3 +59,20 @@ def test_whole_table(spark):
     rows = lambda name, key: [(r[key], r.text) for r in read(name).collect()]
     assert sorted(got, key=str) == plain(rows("documents", "doc_id"), rows("benchmark", "item_id"))
     assert any(r[-1] for r in got)
+
+
+def _size(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs)
+
+
+def test_a_long_copied_passage_takes_room_in_proportion(spark):
+    """100,000 words of a document stand in one item."""
+    sizes = {}
+    for n in (10000, 100000):
+        passage = " ".join(f"w{i * 7919 % 99991} q{i}" for i in range(n // 2))
+        paths = []
+        with recorded(paths):
+            got = contamination(docs_of(spark, [(1, f"before {passage} after"), (2, "clean words only")]), items_of(spark, [(5, passage)])).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in got) == [(1, n + 2, n, 1), (2, 3, 0, 0)]
+        sizes[n] = sum(map(_size, paths))
+    assert sizes[100000] < 15 * sizes[10000] and sizes[100000] < 50e6

@@ -3,7 +3,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from playstream.llm.simhash import fingerprint, fingerprints, links, near_duplicates, op2_simhash_near_dedup
+from playstream.llm.simhash import fingerprint, fingerprints, links, near_duplicates, one_of_each, op2_simhash_near_dedup
 from tests.llm.util import EDGE, SF0001, SF001, docs_of
 
 
@@ -87,3 +87,10 @@ def test_buckets_over_many_chunks(spark):
     mine = {(x, top(x)) for x in fps}
     all_pairs = plain_components([(x, x) for x in fps])
     assert {(d, c) for d, _, c in all_pairs} == mine
+
+
+def test_helper_columns_do_not_clash(spark):
+    rows = [(1, "a b c d", "x", "y"), (2, "a b c d", "x", "y"), (3, "quite other words here", None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, key_ string")
+    got = one_of_each(docs)
+    assert got.columns == docs.columns and sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]

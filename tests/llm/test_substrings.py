@@ -2,7 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
+from playstream.llm import substrings
+from playstream.llm.common import portions
 from playstream.llm.substrings import MIN, cover, op6_suffix_array_dedup, without_repeats
 from tests.llm.util import EDGE, SF0001, docs_of
 
@@ -80,3 +83,26 @@ def test_cover_holds_every_window():
     for t, r, a, k in zip(text.tolist(), rank.tolist(), lo.tolist(), n.tolist()):
         for i in range(a, a + k):
             assert by.setdefault(texts[t][i:i + MIN], r) == r
+
+
+def test_texts_in_blocks_have_the_same_windows(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (0, 49, 50, 51, 300, 2500, 20, 999)]
+    monkeypatch.setattr(substrings, "BLOCK", 400)
+    text, rank, lo, n = substrings.covered(texts)
+    got = sorted((int(t), int(a) + k) for t, a, m in zip(text, lo, n) for k in range(m))
+    assert got == [(i, k) for i, t in enumerate(texts) for k in range(len(t) - substrings.MIN + 1)]   # every window once
+
+
+def test_long_texts_in_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK", 500)
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 123, 6000).astype(np.uint8).tobytes().decode()
+    rows = [(1, base[:3000]), (2, "x" + base[1000:5000]), (3, base[2700:3300] + "!" + base[100:700]), (4, base)]
+    got = [tuple(r) for r in without_repeats(docs_of(spark, rows)).collect()]
+    assert sorted(got, key=str) == plain(rows)
+
+
+def test_portions_are_bounded_by_bytes():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * k for k in (5, 5, 30, 0, 4, 4, 4)] + [None]})
+    assert [[len(x or "") for x in b.column("text").to_pylist()] for b in portions(iter([batch]), most=10)] == [[5, 5], [30], [0, 4, 4], [4, 0]]
