@@ -2,19 +2,20 @@
 
 1. Spark joins the hashes of all rolling word k-grams of the documents to the
    positions of the templates' k-grams.
-2. Hits are counted by offset diagonal (document place less template place):
-   an unchanged copy of a template is one diagonal.
-3. Neighbouring diagonals that continue each other are merged; inserted or
-   deleted words shift the diagonal.
-4. Merged spans are verified word by word in the document's own text, however
-   few their votes: a changed word takes up to k votes, inserted words take
-   votes and no cover, and edits can split a span.
+2. Hits vote for their offset diagonal (document place less template place):
+   an unchanged copy of a template is one diagonal with all its votes.
+3. Neighbouring diagonals that continue each other are merged and their votes
+   added up; inserted or deleted words shift the diagonal.
+4. A merged span goes on with as many votes as a copy keeps whose changed
+   words are the share that may differ, k votes lost for each of them.
+5. It is verified in the document's own text by its longest common
+   subsequence of words with the template, over the template's whole extent.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +34,26 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 #: Fixed notices by label.
 TEMPLATES = {
-    "apache-2.0": ["Licensed under the Apache License, Version 2.0"],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "apache-2.0": ["Licensed under the Apache License, Version 2.0",
+                   "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+                   "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"],
+    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"],
     "cc-by-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa-4.0": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "epl": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License"],
     "gpl-2.0": ["This work is licensed under the GNU General Public License, version 2"],
     "gpl-3.0": ["This work is licensed under the GNU General Public License, version 3",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"],
     "mit": ["Released under the MIT License",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+            "The Software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement"],
+    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+                "If a copy of the MPL was not distributed with this file, You can obtain one at"],
 }
 
 
@@ -59,30 +69,47 @@ def _grams(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, f"key {key}, grams array<long>")
 
 
-def spans(docs: DataFrame, templates: list[tuple[str, list[str]]], k: int = K) -> DataFrame:
-    """Candidate spans ``(key, template, start, stop, low, high)`` of ``docs(key, text)``:
-    words around the hits, and the template's whole extent along the diagonals."""
+def least_votes(size: int, k: int = K) -> int:
+    """Votes that a copy of a template of ``size`` words keeps at least, if
+    ``COVER`` of its words are unchanged and each other takes ``k`` votes."""
+    changed = size - math.ceil(COVER * size - 1e-9)
+    return max(1, size - k + 1 - k * changed)
+
+
+def spans(docs: DataFrame, templates: list[tuple[str, list[bytes]]], k: int = K) -> DataFrame:
+    """Candidate spans ``(key, template, votes, start, stop)`` of ``docs(key, text)``:
+    the words of the template's whole extent along the merged diagonals."""
     spark = docs.sparkSession
     places = [(int(h), n, at) for n, (_, words) in enumerate(templates)
-              for at, h in enumerate(shingle_hashes([w.encode() for w in words], k).view(np.int64))]
-    positions = spark.createDataFrame(places, "gram long, template int, at int")  # the fixed templates
-    hits = _grams(docs, k).select("key", F.posexplode("grams").alias("place", "gram")).join(F.broadcast(positions), "gram")
+              for at, h in enumerate(shingle_hashes(words, k).view(np.int64))]
+    positions = spark.createDataFrame(places, "gram long, template int, at int")
+    hits = _grams(docs, k).select("key", F.posexplode("grams").alias("place", "gram")).join(positions, "gram")
     diagonals = (hits.withColumn("diagonal", F.col("place") - F.col("at")).groupBy("key", "template", "diagonal")
-                 .agg(F.min("place").alias("first"), F.max("place").alias("last")))
+                 .agg(F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")))
     # a repeated template word run votes for other diagonals too; long gaps end a span
-    size = F.get(F.array(*[F.lit(len(w)) for _, w in templates]), F.col("template"))
+    rules = spark.createDataFrame([(n, len(words), least_votes(len(words), k)) for n, (_, words) in enumerate(templates)], "template int, size int, least int")
+    # diagonals of one copy lie within its changes of each other, and begin within its length of the end of the one before
     w = Window.partitionBy("key", "template").orderBy("first", "diagonal")
-    near = (F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) <= DRIFT) & (F.col("first") - F.lag("last").over(w) <= DRIFT + k)
-    runs = diagonals.withColumn("turn", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("turn").over(w))
-    merged = runs.groupBy("key", "template", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("from"), F.max("diagonal").alias("to"))
-    return merged.select("key", "template", F.greatest(F.col("first") - k, F.lit(0)).alias("start"), (F.col("last") + 2 * k).alias("stop"),
-                         F.greatest(F.col("from") - DRIFT, F.lit(0)).alias("low"), (F.col("to") + size + DRIFT).alias("high"))
-
-
-def _covered(words: list[str], template: list[str]) -> float:
-    """Share of the template's words found in order in ``words``."""
-    blocks = SequenceMatcher(None, words, template, autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks) / len(template)
+    near = (F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) <= DRIFT) & (F.col("first") - F.lag("last").over(w) <= F.col("size"))
+    runs = (diagonals.join(rules, "template").withColumn("turn", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1))
+            .withColumn("run", F.sum("turn").over(w)))
+    merged = runs.groupBy("key", "template", "run", "size", "least").agg(
+        F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("from"), F.max("diagonal").alias("to"))
+    start = F.greatest(F.least(F.col("first") - k, F.col("from") - DRIFT), F.lit(0))
+    return merged.where(F.col("votes") >= F.col("least")).select("key", "template", "votes", start.alias("start"),
+                                                                 F.greatest(F.col("last") + 2 * k, F.col("to") + F.col("size") + DRIFT).alias("stop"))
+
+
+def common_words(words: list, template: list) -> int:
+    """Length of the longest common subsequence, by a bit per word of the template."""
+    places: dict = {}
+    for i, w in enumerate(template):
+        places[w] = places.get(w, 0) | 1 << i
+    row, full = (1 << len(template)) - 1, (1 << len(template)) - 1   # a bit is clear where the length goes up
+    for w in words:
+        if at := row & places.get(w, 0):
+            row = ((row + at) | (row - at)) & full
+    return len(template) - row.bit_count()
 
 
 def licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
@@ -90,14 +117,15 @@ def licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) ->
 
     * places of the fixed phrases, by word; first_word and last_word are null
       without one;
-    * score: 1 with a fixed phrase, else the best share of a template's words
-      in a verified span, else 0;
+    * labels: of fixed phrases, and of templates of which a span with enough
+      votes (``least_votes``) holds ``COVER`` of the words in order;
+    * score: 1 with a fixed phrase, else the best such share, else 0;
     * null and empty texts have no words; repeated rows get equal rows; other
       columns are ignored; an empty table gives an empty table."""
-    known = [(label, [w.decode() for w in word_list(t.encode())]) for label, texts in (templates or TEMPLATES).items() for t in texts]
+    known = [(label, word_list(t.encode())) for label, texts in (templates or TEMPLATES).items() for t in texts]
     phrases = [(p.encode().split(), label) for p, label in PHRASES.items()]
     rows = docs.select(row_key().alias("key"), "text")
-    found = spans(rows, known).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("template", "start", "stop", "low", "high"))).alias("spans")).withColumnRenamed("key", "found")
+    found = spans(rows, known).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("template", "start", "stop"))).alias("spans")).withColumnRenamed("key", "found")
     joined = rows.join(found, rows["key"] == found["found"], "left").select(F.col("key.doc_id").alias("doc_id"), "text", "spans")
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
@@ -115,7 +143,7 @@ def licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) ->
         more, score = set(labels), float(bool(starts))
         for s in mine:
             label, template = known[s["template"]]
-            share = max(_covered([w.decode() for w in words[a:b]], template) for a, b in ((s["start"], s["stop"]), (s["low"], s["high"])))
+            share = common_words(words[s["start"]:s["stop"]], template) / len(template)
             if share >= COVER:
                 more.add(label)
                 score = max(score, share)

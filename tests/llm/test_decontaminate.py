@@ -67,12 +67,10 @@ def _size(path):
 
 def test_a_long_copied_passage_takes_room_in_proportion(spark):
     """100,000 words of a document stand in one item."""
-    sizes = {}
     for n in (10000, 100000):
         passage = " ".join(f"w{i * 7919 % 99991} q{i}" for i in range(n // 2))
         paths = []
         with recorded(paths):
             got = contamination(docs_of(spark, [(1, f"before {passage} after"), (2, "clean words only")]), items_of(spark, [(5, passage)])).collect()
         assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in got) == [(1, n + 2, n, 1), (2, 3, 0, 0)]
-        sizes[n] = sum(map(_size, paths))
-    assert sizes[100000] < 15 * sizes[10000] and sizes[100000] < 50e6
+        assert sum(map(_size, paths)) < 300 * n   # bytes a word, whatever the length

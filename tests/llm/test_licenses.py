@@ -1,6 +1,7 @@
+import random
 import re
 
-from playstream.llm.licenses import PHRASES, TEMPLATES, licenses, op5_license_scan
+from playstream.llm.licenses import COVER, PHRASES, TEMPLATES, common_words, least_votes, licenses, op5_license_scan
 from tests.llm.util import EDGE, SF001, docs_of
 
 
@@ -66,3 +67,69 @@ def test_spread_edits(spark):
         assert label in got[n].labels.split(",")
         assert got[n].score >= (1 if got[n].n_base else round(share, 3) - 0.001), (n, got[n].score)
     assert "gpl-3.0" in got[9].labels.split(",")
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_common_words_are_exact():
+    rng = random.Random(3)
+    for _ in range(400):
+        a, b = ([rng.choice("abcdef") for _ in range(rng.randint(0, 30))] for _ in range(2))
+        assert common_words(a, b) == lcs(a, b)
+
+
+def test_votes_of_changed_copies():
+    """However its changed words lie, a copy keeps the votes it needs."""
+    rng = random.Random(4)
+    for size in (3, 5, 8, 13, 21, 35, 60):
+        changed = [size - -(-4 * size // 5)]
+        for _ in range(50):
+            places = set(rng.sample(range(size), changed[0]))
+            votes = sum(not places & {i, i + 1, i + 2} for i in range(size - 2))
+            assert votes >= least_votes(size) or votes == 0 and least_votes(size) == 1
+
+
+def test_labels_and_scores_equal_a_plain_scan(spark):
+    """Copies with changed, dropped and inserted words among other text: templates
+    found at their best window, where enough of their shingles are left."""
+    rng = random.Random(5)
+    rows = [(n, _edited(rng)) for n in range(120)]
+    got = {r.doc_id: r for r in licenses(docs_of(spark, rows)).collect()}
+    found = 0
+    for n, text in rows:
+        words = re.findall("[a-z0-9]+", text.lower())
+        shingles = {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+        sure, possible, best = set(), set(), 0.0
+        for label, texts in TEMPLATES.items():
+            for t in texts:
+                t = re.findall("[a-z0-9]+", t.lower())
+                share = lcs(words, t) / len(t)   # the texts hold one copy, so its best window is the text
+                votes = sum(tuple(t[i:i + 3]) in shingles for i in range(len(t) - 2))
+                if share >= COVER:
+                    possible.add(label)
+                    if votes >= least_votes(len(t)):
+                        sure.add(label)
+                        best = max(best, share)
+        labels = set(filter(None, got[n].labels.split(","))) - set(PHRASES.values())
+        assert sure <= labels <= possible, (n, text)
+        assert got[n].score >= (1 if got[n].n_base else round(best, 9) - 1e-9)
+        found += len(sure)
+    assert found > 60
+
+
+def _edited(rng):
+    label = rng.choice(sorted(TEMPLATES))
+    words = re.findall("[A-Za-z0-9]+", rng.choice(TEMPLATES[label]))
+    out = []
+    for w in words:
+        kind = rng.random()
+        out += [] if kind < 0.04 else [f"odd{rng.randint(0, 9)}"] if kind < 0.12 else [w, "put"] if kind < 0.15 else [w]
+    other = lambda: " ".join(f"o{rng.randint(0, 99)}" for _ in range(rng.randint(0, 30)))
+    return f"{other()} {' '.join(out)} {other()}"
