@@ -1,8 +1,13 @@
 import hashlib
+import math
+import random
 import re
 import string
+import time
+import zlib
+from collections import Counter
 
-from playstream.llm.secrets import op3_secret_scan, scan
+from playstream.llm.secrets import COMMON, SYMBOLS, base_spans, learned, op3_secret_scan, ratios, samples, scan, threshold
 from tests.llm.util import EDGE, SF001, docs_of
 
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -47,7 +52,7 @@ def test_edge_rows(spark):
 
 
 def test_models_find_other_random_strings(spark):
-    rng = __import__("random").Random(1)
+    rng = random.Random(1)
     pick = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
     words = ["internationalisation", "getDocumentElement", "configuration_handler", "straightforwardness", "read_configuration_file"]
     rows = [(i, f"the {rng.choice(words)} and {rng.choice(words)} use token={pick(32)} here") for i in range(300)]
@@ -56,3 +61,73 @@ def test_models_find_other_random_strings(spark):
     assert got[1000].spans == "markov:6:30"
     assert got[1001].spans == ""
     assert all("markov" not in got[i].spans for i in range(300))
+
+
+def mixed_texts(seed, n=200):
+    rng = random.Random(seed)
+    pick = lambda k: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(k))
+    words = ["internationalisation", "getDocumentElement", "configuration_handler", "straightforwardness", "read_configuration_file", "documentation", "Verantwortungsbewusstsein"]
+    kinds = [lambda: f"token={pick(24)}.{pick(12)}==", lambda: f"password: {pick(16)}", lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32)), lambda: pick(rng.choice([12, 15, 20, 40]))]
+    return [(i, " ".join(rng.choice(kinds)() if rng.random() < 0.2 else rng.choice(words) for _ in range(8))) for i in range(n)]
+
+
+def test_models_equal_plain_counts(spark):
+    """Samples, ratios, threshold and the added spans recomputed in Python."""
+    rows = mixed_texts(3)
+    got = {r.doc_id: r for r in scan(docs_of(spark, rows)).collect()}
+    labelled = samples(base_spans(docs_of(spark, rows)))
+    counts, bases = Counter(), {}
+    for i, text in rows:
+        bases[i] = [(m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12] + [m.span() for m in re.finditer("[0-9a-f]{16,}", text)]
+        values = [m[2] for m in ASSIGN.finditer(text) if len(m[2]) >= 12] + re.findall("[0-9a-f]{16,}", text)
+        rest = re.sub("[0-9a-f]{16,}", " ", ASSIGN.sub(" ", text)) if values else text
+        counts.update([(v, True) for v in values] + [(t, False) for t in re.findall("[A-Za-z0-9+/_-]{12,}", rest)])
+    assert {(r.token, r.random): r.n for r in labelled.collect()} == counts
+    pairs = {k: Counter() for k in (True, False)}
+    out = lambda t: zlib.crc32(t.encode()) % 5 == 0
+    for (token, kind), n in counts.items():
+        if out(token) if kind else n < COMMON:
+            continue
+        for a, b in zip(token, token[1:]):
+            if a in SYMBOLS and b in SYMBOLS:
+                pairs[kind][a, b] += n
+
+    def log(kind, a, b):
+        p = pairs[kind]
+        after, alone = sum(n for (x, _), n in p.items() if x == a), sum(n for (_, y), n in p.items() if y == b)
+        return math.log((p[a, b] + 256 * (alone + 1) / (sum(p.values()) + len(SYMBOLS))) / (after + 256))
+
+    ratio = {(a, b): round(log(True, a, b) - log(False, a, b), 4) for a in SYMBOLS for b in SYMBOLS}
+    mean = lambda t: sum(ratio.get(p, 0) for p in zip(t, t[1:])) / (len(t) - 1)
+    table = ratios(learned(labelled))
+    assert table == [ratio[a, b] for a in SYMBOLS for b in SYMBOLS]
+    least = threshold(labelled, table)
+    reach = [mean(t) for t, kind in counts if kind and out(t)]
+    assert sum(x >= least - 1e-9 for x in reach) >= 0.9 * len(reach)
+    for i, text in rows:
+        want = [f"markov:{m.start()}:{m.end()}" for m in re.finditer("[A-Za-z0-9+/_-]{12,}", text)
+                if mean(m[0]) >= least - 1e-12 and not any(a < m.end() and m.start() < b for a, b in bases[i])]
+        assert [s for s in got[i].spans.split(",") if s.startswith("markov")] == want, text
+
+
+def test_recall_of_random_strings(spark):
+    """Nine in ten of other random strings are found where the samples are like them, ordinary words are left alone."""
+    rng = random.Random(9)
+    pick = lambda k: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(k))
+    words = ["internationalisation", "getDocumentElement", "configuration_handler", "straightforwardness", "read_configuration_file", "Verantwortungsbewusstsein", "responsabilidades"]
+    rows = [(i, f"the {rng.choice(words)} and {rng.choice(words)} use token={pick(rng.choice([12, 20, 32]))} here") for i in range(400)]
+    rows += [(1000 + i, f"value {pick(k)} of {rng.choice(words)}") for i, k in enumerate([12, 16, 20, 24, 32] * 40)]
+    got = {r.doc_id: r.spans for r in scan(docs_of(spark, rows)).collect()}
+    found = sum(s.startswith("markov:6:") for i, s in got.items() if i >= 1000)
+    assert found >= 0.9 * 200
+    assert not any("markov" in s for i, s in got.items() if i < 1000) and not any("," in s for i, s in got.items() if i >= 1000)
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    texts = [(n, "deadbeefdeadbeef0 " * n) for n in (2000, 20000)]
+    base_spans(docs_of(spark, texts[:1])).select("hex").collect()
+    began = time.monotonic()
+    got = {r.doc_id: r for r in base_spans(docs_of(spark, texts)).collect()}
+    assert time.monotonic() - began < 30
+    for n, _ in texts:
+        assert [(s.start, s.stop) for s in got[n].hex] == [(18 * i, 18 * i + 17) for i in range(n)]
