@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstream.functions import fg_pct, safe_ratio
-from playstream.operators.stats import PLAYER_KEYS, STAT_COUNTERS, latest_by, shot_entries
+from playstream.operators.stats import PLAYER_KEYS, STAT_COUNTERS, latest_by
 
 SNAPSHOT_EVERY = 30          # fixed value: events per trigger of the reference's aggregation stream
 DEFAULT_CHUNK = 1 << 16      # ordering values per first-level chunk
@@ -115,7 +115,8 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     """
     snap = (F.floor((F.col(seq) - 1) / every) + 1).cast("long")
     c = credits.withColumn("snapshot_id", snap)
-    aggs = [F.sum(x).alias(x) for x in STAT_COUNTERS]
+    counters = [*STAT_COUNTERS, "_shots"] if shots else STAT_COUNTERS
+    aggs = [F.count("shot_x").alias(x) if x == "_shots" else F.sum(x).alias(x) for x in counters]
     aggs.append(latest_by("event_id", "quarter", "clock").alias("latest"))
     has_total = total in credits.columns
     if has_total:
@@ -124,7 +125,7 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
     per_bucket = c.groupBy(*keys, "snapshot_id").agg(*aggs)
     # ``_last`` rides along as a (constant) running max so that both branches
     # of the two-level scan read the same aggregate and share its shuffle
-    run = cumulative(per_bucket, keys, "snapshot_id", sums=STAT_COUNTERS,
+    run = cumulative(per_bucket, keys, "snapshot_id", sums=counters,
                      maxes=["latest", "_last"] if has_total else ["latest"],
                      chunk=chunk, next_col="_next")
     if not has_total:
@@ -132,7 +133,7 @@ def snapshot_history(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str =
         last = per_bucket.groupBy(game).agg(F.max("snapshot_id").alias("_last"))
         run = run.join(last, on=game, how="left")
     expand = F.explode(F.sequence(F.col("snapshot_id"), F.coalesce(F.col("_next") - 1, F.col("_last"))))
-    hist = run.select(*keys, *STAT_COUNTERS, "latest", fg_pct().alias("fg_pct"), expand.alias("snapshot_id"))
+    hist = run.select(*keys, *counters, "latest", fg_pct().alias("fg_pct"), expand.alias("snapshot_id"))
     return with_shots(hist, c, keys) if shots else hist
 
 
@@ -148,15 +149,16 @@ def snapshot_shots(credits: DataFrame, every: int = SNAPSHOT_EVERY, seq: str = "
 
 def with_shots(hist: DataFrame, credits: DataFrame, keys: Sequence[str] = PLAYER_KEYS) -> DataFrame:
     """``hist`` with each row's chart so far, for payloads.  A player's attempts
-    are collected once and every row takes those up to its snapshot, so no
-    running total carries an array."""
-    entry = shot_entries().withField("s", F.col("snapshot_id"))
-    charts = (credits.groupBy(F.struct(*keys).alias("_key"))
-              .agg(F.array_sort(F.collect_list(entry)).alias("_all")))
-    upto = F.filter("_all", lambda e: e["s"] <= F.col("snapshot_id"))
-    shots = F.transform(upto, lambda e: F.struct(e["x"].alias("x"), e["y"].alias("y"), e["r"].alias("r")))
+    are collected once, by snapshot and event, and every row takes the first
+    ``_shots`` of them - its running count of attempts - so no running total
+    carries an array and no row looks through the whole list."""
+    entry = F.when(F.col("shot_x").isNotNull(), F.struct(F.col("snapshot_id").alias("s"), F.col("event_id").alias("o"), F.col("shot_x").alias("x"),
+                                                         F.col("shot_y").alias("y"), F.col("fgm").alias("r")))
+    chart = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["x"].alias("x"), e["y"].alias("y"), e["r"].alias("r")))
+    charts = credits.groupBy(F.struct(*keys).alias("_key")).agg(chart.alias("_all"))
+    shots = F.slice("_all", F.lit(1), F.col("_shots").cast("int"))
     return (hist.withColumn("_key", F.struct(*keys)).join(charts, "_key", "left")
-            .select(*[c for c in hist.columns if c != "snapshot_id"], shots.alias("shots"), "snapshot_id"))
+            .select(*[c for c in hist.columns if c not in ("snapshot_id", "_shots")], shots.alias("shots"), "snapshot_id"))
 
 
 def by_moment(df: DataFrame, keys: Sequence[str] = ("game_id", "seconds_remaining")) -> DataFrame:
