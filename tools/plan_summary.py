@@ -2,7 +2,9 @@
 so adaptive decisions are final): shuffles, joins, windows, aggregates and
 the columns each scan reads.  Prints a Markdown table.
 
-    python tools/plan_summary.py [sf_dir]
+    python tools/plan_summary.py [sf_dir] [query ...]
+
+Streaming queries show the plan that reads their result back.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]")
     rows = []
-    for name, q in QUERIES.items():
-        df = q(spark, sf)
+    for name in sys.argv[2:] or QUERIES:
+        df = QUERIES[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()
         rows.append((name, summarize(df._jdf.queryExecution().executedPlan().toString())))
     cols = list(rows[0][1])
