@@ -27,6 +27,7 @@ from playstream.llm.decontaminate import shingle_hashes, word_list
 
 K = 3                # words of a k-gram
 DRIFT = 4            # largest shift between neighbouring diagonals that are merged
+FEW_PLACES = 1 << 18 # positions of the templates' k-grams that are broadcast at most (4 MB)
 COVER = 0.8          # least share of a template's words that a verified span holds
 
 #: Fixed phrases and their labels.
@@ -83,11 +84,15 @@ def spans(docs: DataFrame, templates: list[tuple[str, list[bytes]]], k: int = K)
     places = [(int(h), n, at) for n, (_, words) in enumerate(templates)
               for at, h in enumerate(shingle_hashes(words, k).view(np.int64))]
     positions = spark.createDataFrame(places, "gram long, template int, at int")
+    if len(places) <= FEW_PLACES:   # 16 bytes each; more are joined by shuffle
+        positions = F.broadcast(positions)
     hits = _grams(docs, k).select("key", F.posexplode("grams").alias("place", "gram")).join(positions, "gram")
     diagonals = (hits.withColumn("diagonal", F.col("place") - F.col("at")).groupBy("key", "template", "diagonal")
                  .agg(F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")))
     # a repeated template word run votes for other diagonals too; long gaps end a span
     rules = spark.createDataFrame([(n, len(words), least_votes(len(words), k)) for n, (_, words) in enumerate(templates)], "template int, size int, least int")
+    if len(templates) <= FEW_PLACES:
+        rules = F.broadcast(rules)
     # diagonals of one copy lie within its changes of each other, and begin within its length of the end of the one before
     w = Window.partitionBy("key", "template").orderBy("first", "diagonal")
     near = (F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) <= DRIFT) & (F.col("first") - F.lag("last").over(w) <= F.col("size"))
