@@ -70,10 +70,17 @@ Model = PipelineModel | CompiledModel
 
 
 def _probability(df: DataFrame, model: Model, out: str, features: str) -> DataFrame:
-    """Class-1 probability by either form of a model."""
+    """Class-1 probability by either form of a model.
+
+    A fitted pipeline counts null features as 0, as its training set does
+    (P13): a game may have one team only, so no score difference.  The rows
+    keep their nulls."""
     if isinstance(model, CompiledModel):
         return model.transform(df, out)
-    return model.transform(df).withColumn(out, positive_prob("probability")).drop(*_ML_COLS, features)
+    own = {c: f"_own_{c}" for c in model.stages[0].getInputCols()}
+    filled = df.withColumns({o: F.col(c) for c, o in own.items()}).na.fill(0, list(own))
+    scored = model.transform(filled).withColumn(out, positive_prob("probability")).drop(*_ML_COLS, features)
+    return scored.withColumns({c: F.col(o) for c, o in own.items()}).drop(*own.values())
 
 
 def score_win(df: DataFrame, model: Model, out: str = "win_prob") -> DataFrame:

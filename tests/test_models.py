@@ -56,3 +56,17 @@ def test_reference_field_names(fitted):
     cols = score(hist, win, mvp, reference_names=True).columns
     assert cols[:4] == ["@timestamp", "Partita", "Squadra", "Punteggio_Squadra"]
     assert cols[-3:] == ["Posizioni", "Win%", "MVP%"] and len(cols) == 21
+
+
+def test_a_game_of_one_team_is_scored(fitted):
+    """Without an opponent there is no score difference; it counts as 0 and stays null in the row."""
+    from playstream.operators.models import score
+    hist, win, mvp = fitted
+    one = hist.withColumns({"score_diff": F.lit(None).cast("int"), "seconds_remaining": F.when(F.col("snapshot_id") > 1, F.col("seconds_remaining"))})
+    rows = score_mvp(score_win(one, win), mvp)
+    zero = score_win(one.na.fill(0, ["score_diff", "seconds_remaining"]), win)
+    key = ["game_id", "snapshot_id", "player_name", "team_code"]
+    assert rows.where("score_diff IS NOT NULL OR win_prob IS NULL OR mvp_prob IS NULL").count() == 0
+    assert rows.where("seconds_remaining IS NULL").count() == one.where("snapshot_id = 1").count()
+    assert rows.select(*key, "win_prob").exceptAll(zero.select(*key, "win_prob")).count() == 0
+    assert score(one, win, mvp).where("win_pct IS NULL OR mvp_pct IS NULL").count() == 0
