@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playstream.files import matches
 from playstream.functions import display_pct, positive_prob
 from playstream.operators import (add_grids, by_moment, cursor_of, decode, dedupe_moments, encode, enrich, fill_numeric,
                                   game_clock, grid_cells, latest_by, new_since, normalize_events,
@@ -224,7 +225,7 @@ def q_display_pct(spark, sf_dir):
     return (_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", display_pct(q).alias("pct")))
 
 
-TRIGGERS = 8   # files that a table is streamed as, one a trigger
+TRIGGERS = 8   # triggers that a table is streamed in, or more
 
 
 def _scratch(spark):
@@ -234,6 +235,11 @@ def _scratch(spark):
     return base
 
 
+def _per_trigger(files):
+    """Files a trigger that read ``files`` of them in :data:`TRIGGERS` triggers or more."""
+    return max(1, files // TRIGGERS)
+
+
 def _run_stats(spark, sf_dir, mode, base):
     """Run the statistics stream over the events table in several triggers, to its end; its messages are in ``base/out``."""
     rows = _t(spark, sf_dir, "events")
@@ -291,7 +297,9 @@ def q_two_hop_scores(spark, sf_dir):
     documents, both in several triggers; every game's last documents without the stamp."""
     base = _scratch(spark)
     _run_stats(spark, sf_dir, "update", base)
-    messages = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 4).json(f"{base}/out/batch=*")
+    # a game's messages of a batch are in one file
+    each = _per_trigger(matches(spark, f"{base}/out/batch=*/part-*"))
+    messages = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", each).json(f"{base}/out/batch=*")
     q = run_score_stream(messages, FIXED_WIN, FIXED_MVP, batch_writer("parquet", f"{base}/scored"),
                          trigger={"availableNow": True}, checkpoint=f"{base}/checkpoint2")
     q.awaitTermination()
