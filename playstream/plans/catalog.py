@@ -240,11 +240,19 @@ def _per_trigger(files):
     return max(1, files // TRIGGERS)
 
 
+def _feed(rows, by, path):
+    """Write ``rows`` by ranges of ``by``, as many files a trigger as the session
+    has cores; files a trigger.  One file a trigger would be read by one task, however large it is."""
+    spark = rows.sparkSession
+    rows.repartitionByRange(TRIGGERS * spark.sparkContext.defaultParallelism, by).write.parquet(path)
+    return _per_trigger(matches(spark, f"{path}/part-*"))
+
+
 def _run_stats(spark, sf_dir, mode, base):
     """Run the statistics stream over the events table in several triggers, to its end; its messages are in ``base/out``."""
     rows = _t(spark, sf_dir, "events")
-    rows.repartitionByRange(TRIGGERS, "event_id").write.parquet(f"{base}/in")
-    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    each = _feed(rows, "event_id", f"{base}/in")
+    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(f"{base}/in")
     q = run_stats_stream(normalize_events(pbp_raw(feed)), batch_writer("json", f"{base}/out"), mode=mode,
                          table=f"{base}/table" if mode == "update" else None,
                          trigger={"availableNow": True}, checkpoint=f"{base}/checkpoint")
