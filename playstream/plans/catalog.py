@@ -288,9 +288,9 @@ def q_stream_closed(spark, sf_dir):
     days = 36500   # files may come in any order: no event is late
     at = F.timestamp_seconds((F.col("game_id").cast("long") % 100000) * 86400 + F.col("event_id") * 60)
     ev = materialize(normalize_events(_hard(spark, sf_dir)).withColumn("at", at))
-    ev.repartitionByRange(TRIGGERS, "at").write.parquet(f"{base}/in")
+    each = _feed(ev, "at", f"{base}/in")
     for _ in range(2):
-        feed = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        feed = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", each).parquet(f"{base}/in")
         closed_games(feed, "at", delay=f"{days} days", shots=True).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint") \
             .trigger(availableNow=True).start(f"{base}/out").awaitTermination()
         # a last event moves the watermark past all days
