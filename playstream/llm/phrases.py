@@ -9,8 +9,9 @@
 3. A bucket adds up the counts and points back to every segment that holds a
    frequent fingerprint (a colliding fingerprint only counts too much).
 4. The segments look those up in their text: occurrences are verified word by
-   word, words byte by byte, and frequent phrases only are materialised and
-   counted exactly by their text.
+   word, words byte by byte, and frequent phrases only are materialised.  A
+   task adds up its segments' phrases by their text and passes them on as one
+   row a bucket and language, where all tasks' counts are added up exactly.
 5. Spark's joins and aggregates score, thin out and rank the phrases.
 """
 
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from playstream.llm.common import as_bytes, erase, save, slices, table
 
 SEGMENT = 1 << 22        # bytes of a segment's own words; only a longer word alone exceeds it
 BUCKET_TEXT = 1 << 25    # bytes of text whose fingerprints share a bucket, about
+PHRASE_BYTES = 1 << 25   # bytes of materialised phrases that a task adds up before it passes them on
 RANK_SALTS = 64          # parts that a language's phrases are ranked in first
 
 #: Fixed classes: letters to lower case, blanks, ends of pieces.
@@ -193,9 +196,16 @@ class Words:
             number[i] = others.setdefault(self.data[self.starts[i]:self.ends[i]].tobytes(), len(found) + len(others))
         return number
 
-    def texts(self, first: np.ndarray, n: int) -> list[bytes]:
-        data = self.data.tobytes()
-        return [data[a:b] for a, b in zip(self.starts[first].tolist(), self.ends[first + n - 1].tolist())]
+    def texts(self, first: np.ndarray, n: int) -> pa.BinaryArray:
+        a, b = self.starts[first], self.ends[first + n - 1]
+        at = np.cumsum(b - a) - (b - a)
+        return _binaries(self.data[np.repeat(a - at, b - a) + np.arange(int((b - a).sum()))], b - a)
+
+
+def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Values of these sizes that follow each other in ``data``."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -257,13 +267,13 @@ def _frequent(least: int):
 
 
 def _materialised(longest: int):
-    """``(lang, phrase, size, n)``: a segment's phrases with a frequent fingerprint, counted by their exact words."""
+    """``(lang, phrase, size, f, print)``: a segment's phrases with a frequent fingerprint, counted by their exact words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
             row = b.to_pylist()[0]
             words, known = Words(row["lang"], row["text"], row["own"]), _known(row)
             ids = words.exact()
-            phrases, sizes, counts = [], [], []
+            found = []
             for n, first in [*((n, words.runs(n)) for n in (1, 2)), *words.spanned(known, longest)]:
                 prints = words.prints(first, n)
                 often = _among(prints, known)
@@ -275,11 +285,58 @@ def _materialised(longest: int):
                 for i in first[~same].tolist():
                     others.setdefault(tuple(ids[i:i + n].tolist()), [i, 0])[1] += 1
                 firsts = np.concatenate([first[at], np.array([i for i, _ in others.values()], np.int64)])
-                phrases += words.texts(firsts, n)
-                counts += total.tolist() + [c for _, c in others.values()]
-                sizes += [n] * len(firsts)
-            yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * len(sizes), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                                              pa.array(sizes, pa.int32()), pa.array(counts, pa.int64())], ["lang", "phrase", "size", "f"])
+                counts = np.concatenate([total, np.array([c for _, c in others.values()], np.int64)])
+                found.append((words.texts(firsts, n), np.full(len(firsts), n, np.int32), counts, words.prints(firsts, n)))
+            phrases, *numbers = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * sum(map(len, phrases)), pa.string()), pa.concat_arrays(phrases).cast(pa.string())]
+                                             + [pa.array(np.concatenate(x)) for x in numbers], ["lang", "phrase", "size", "f", "print"])
+    return run
+
+
+def _packed(bits: int, longest: int, most: int | None = None):
+    """``(bucket, lang, phrases, counts)``: the phrases of a task's segments (one a
+    line, none holds a line end) with their counts there, by bucket of the fingerprint."""
+    most = most or PHRASE_BYTES
+
+    def pack(lang: str, tables: list[pa.Table]) -> pa.RecordBatch:
+        t = pa.concat_tables(tables).group_by(["print", "phrase"], use_threads=False).aggregate([("f", "sum")]).sort_by("print").combine_chunks()
+        cut = np.searchsorted(t.column("print").to_numpy() >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=_WORD))
+        used = np.flatnonzero(cut[1:] > cut[:-1])
+        phrases, counts = t.column("phrase").to_pylist(), t.column("f_sum").to_numpy().astype("<i8")
+        parts = [slice(cut[k], cut[k + 1]) for k in used]
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([lang] * len(used), pa.string()), pa.array([b"\n".join(phrases[x]) for x in parts], pa.binary()),
+                                           pa.array([counts[x].tobytes() for x in parts], pa.binary())], ["bucket", "lang", "phrases", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[pa.Table]] = {}
+        size = 0
+        for b in _materialised(longest)(batches):
+            if not b.num_rows:
+                continue
+            t = pa.table({"print": b.column("print"), "phrase": b.column("phrase").cast(pa.binary()), "f": b.column("f")})
+            waiting.setdefault(b.column("lang")[0].as_py(), []).append(t)
+            size += t.nbytes
+            if size > most:
+                while waiting:
+                    yield pack(*waiting.popitem())
+                size = 0
+        while waiting:
+            yield pack(*waiting.popitem())
+    return run
+
+
+def _added(least: int):
+    """``(lang, phrase, size, f)``: a bucket's phrases of one language that all tasks together hold often enough."""
+    def run(group: pa.Table) -> pa.Table:
+        data = np.frombuffer(b"\n".join(group.column("phrases").to_pylist()), np.uint8)
+        ends = np.append(np.flatnonzero(data == 10), len(data))
+        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<i8")
+        phrase = _binaries(data[data != 10], np.diff(ends, prepend=-1) - 1)
+        t = pa.table({"phrase": phrase, "f": counts}).group_by("phrase", use_threads=False).aggregate([("f", "sum")])
+        t = t.filter(pc.greater_equal(t.column("f_sum"), least))
+        text = t.column("phrase").cast(pa.string())
+        size = pc.add(pc.count_substring(text, " "), 1).cast(pa.int32())
+        return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * len(t), pa.string()), "phrase": text, "size": size, "f": t.column("f_sum")})
     return run
 
 
@@ -303,8 +360,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, segment
         if longest < 3:
             break
     known = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    rows = _with(segs, known).mapInArrow(_materialised(longest), "lang string, phrase string, size int, f long")
-    phrases = save(rows.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
+    rows = _with(segs, known).mapInArrow(_packed(bits + 2, longest), "bucket int, lang string, phrases binary, counts binary")
+    phrases = save(rows.groupBy("bucket", "lang").applyInArrow(_added(least), "lang string, phrase string, size int, f long"))
     words = save(segs.groupBy("lang").agg(F.sum("words").alias("n")))   # a row per language
     erase(segs, *found)
     return phrases, words

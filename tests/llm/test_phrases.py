@@ -84,6 +84,26 @@ def test_colliding_fingerprints_are_told_apart(spark, monkeypatch):
     assert got >= {("aa", 3), ("b", 3), ("cc", 1), ("aa b", 2), ("b aa", 2), ("aa cc", 1), ("cc b", 1), ("b aa b", 1), ("cc b aa", 1)} and len(got) == 12
 
 
+def test_segments_of_a_task_share_rows(spark, monkeypatch):
+    """The counting step makes rows by task, bucket and language, not by segment and phrase; counts stay exact where fingerprints collide."""
+    monkeypatch.setattr(phrases, "_mixed", lambda x: (x & np.uint64(3)) << np.uint64(62))
+    rows = [{"seg": i, "lang": "en" if i % 3 else "fr", "text": b"aa b aa cc b\naa " + b"d%d e" % (i % 7), "own": 20,
+             "known": [(np.arange(4, dtype="<u8") << np.uint64(62)).tobytes()]} for i in range(90)]
+    want = Counter()
+    for r in rows:
+        for piece in r["text"].decode().split("\n"):
+            w = piece.split(" ")
+            want.update((r["lang"], " ".join(w[i:i + n])) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    for most, limit in ((None, 8), (5000, 8 * 90)):
+        packed = pa.Table.from_batches(list(phrases._packed(2, 3, most)(iter([pa.RecordBatch.from_pylist(rows)]))))
+        assert packed.num_rows <= limit
+        got = []
+        for key in {(r["bucket"], r["lang"]) for r in packed.to_pylist()}:
+            mine = packed.filter(pa.array([(r["bucket"], r["lang"]) == key for r in packed.to_pylist()]))
+            got += [tuple(r.values()) for r in phrases._added(30)(mine).to_pylist()]
+        assert sorted(got) == sorted((lang, p, p.count(" ") + 1, c) for (lang, p), c in want.items() if c >= 30)
+
+
 def test_segments_keep_every_word_once(spark):
     rows = [("en", LONG), ("en", "a b. c " * 100), ("fr", "x" * 500)]
     segs = phrases.segments(docs_of(spark, rows), 4, 200).collect()
