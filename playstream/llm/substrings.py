@@ -11,7 +11,8 @@ A suffix matters up to ``MIN`` bytes here, so it is a window of the text.
    bitmap of fixed size tells the tasks which samples may be shared.
 3. Neighbouring samples that may be shared form chunks, cut by content.  A
    chunk that also stands in a document of a smaller id is removed whole; its
-   samples need no further look.
+   samples need no further look.  Only chunks that a second bitmap says two
+   documents may have are compared.
 4. Every window belongs to its least sample.  The windows of a sample form a
    context; one that also stands in a document of a smaller id goes whole.
 5. Where one rank has several contexts, their windows are a suffix bucket.
@@ -186,21 +187,33 @@ class _Samples:
         """A value of each chunk in its document."""
         return _mix(self.digest.view(np.uint64) ^ _mix(self.h[self.chunk_row].view(np.uint64)))
 
-    def open(self, chunks: Flags) -> np.ndarray:
-        """Which samples are in chunks that the bitmap of open chunks holds."""
-        return np.repeat(chunks.holds(self.owned()), self.last - self.first + 1)
+    def alike(self) -> np.ndarray:
+        """A value of each chunk in any document: of its first rank and digest."""
+        return _mix(self.digest.view(np.uint64) ^ _mix(self.rank[self.first].view(np.uint64)))
 
+    def open(self, met: Flags, chunks: Flags) -> np.ndarray:
+        """Which samples are in chunks that no other document has, or that the bitmap of open chunks holds."""
+        return np.repeat(~met.holds(self.alike()) | chunks.holds(self.owned()), self.last - self.first + 1)
 
-def _chunks(kept: DataFrame) -> DataFrame:
-    """``(doc_id, h, rank, digest, start, stop, own)``: the chunks, told apart by their first rank and digest."""
+
+def _alike(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks, and the number (h) of the document each is from."""
+    s = _Samples(batch)
+    return s.alike(), s.h[s.chunk_row].view(np.uint64)
+
+
+def _chunks(kept: DataFrame, met: Flags) -> DataFrame:
+    """``(doc_id, h, rank, digest, start, stop, own)``: the chunks that two
+    documents may have, told apart by their first rank and digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             s = _Samples(b)
-            rows = pa.array(s.chunk_row)
-            stop = s.lo[s.last] + s.n[s.last] + np.int32(MIN - 1)
+            left = met.holds(s.alike())
+            rows, first, last = pa.array(s.chunk_row[left]), s.first[left], s.last[left]
+            stop = s.lo[last] + s.n[last] + np.int32(MIN - 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(rows), b.column("h").take(rows), pa.array(s.rank[s.first]), pa.array(s.digest), pa.array(s.lo[s.first]),
-                 pa.array(stop), pa.array(s.owned().view(np.int64))], ["doc_id", "h", "rank", "digest", "start", "stop", "own"])
+                [b.column("doc_id").take(rows), b.column("h").take(rows), pa.array(s.rank[first]), pa.array(s.digest[left]), pa.array(s.lo[first]),
+                 pa.array(stop), pa.array(s.owned()[left].view(np.int64))], ["doc_id", "h", "rank", "digest", "start", "stop", "own"])
 
     kind = kept.schema["doc_id"].dataType.simpleString()
     return kept.mapInArrow(run, f"doc_id {kind}, h long, rank long, digest long, start int, stop int, own long")
@@ -217,21 +230,21 @@ def _document(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return h, h
 
 
-def _open_ranks(chunks: Flags):
+def _open_ranks(met: Flags, chunks: Flags):
     """Ranks and documents of the samples in open chunks."""
     def values(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         s = _Samples(batch)
-        left = s.open(chunks)
+        left = s.open(met, chunks)
         return s.rank[left].view(np.uint64), s.h[s.row[left]].view(np.uint64)
     return values
 
 
-def _occurrences(kept: DataFrame, chunks: Flags, ranks: Flags) -> DataFrame:
+def _occurrences(kept: DataFrame, met: Flags, chunks: Flags, ranks: Flags) -> DataFrame:
     """``(doc_id, h, rank, context, lo, n)`` of the samples in open chunks whose rank another document's open chunk may have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             s = _Samples(b)
-            left = s.open(chunks) & ranks.holds(s.rank.view(np.uint64))
+            left = s.open(met, chunks) & ranks.holds(s.rank.view(np.uint64))
             rows = pa.array(s.row[left])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("h").take(rows)] + [pa.array(x[left]) for x in (s.rank, s.context, s.lo, s.n)],
                                              ["doc_id", "h", "rank", "context", "lo", "n"])
@@ -332,14 +345,17 @@ def repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     kept = save(_contexts(docs, ranks))
     ranks.forget()
     release(spark)
-    chunks = _chunks(kept)
+    met = Flags(spark, shared(kept, _alike))
+    release(spark)
+    chunks = _chunks(kept, met)
     low = chunks.groupBy("rank", "digest").agg(F.min("doc_id").alias("first"))
     chunks = save(chunks.join(low, ["rank", "digest"]).select("doc_id", "h", "start", "stop", "own", (F.col("first") < F.col("doc_id")).alias("gone")))
     release(spark)
     open_chunks = Flags(spark, shared(chunks.where("NOT gone").select("own"), _own, owners=1))
     whole = save(chunks.where("gone").select("doc_id", "h", "start", "stop"))
-    open_ranks = Flags(spark, shared(kept, _open_ranks(open_chunks)))
-    occurrences = save(_occurrences(kept, open_chunks, open_ranks))
+    open_ranks = Flags(spark, shared(kept, _open_ranks(met, open_chunks)))
+    occurrences = save(_occurrences(kept, met, open_chunks, open_ranks))
+    met.forget()
     open_chunks.forget()
     open_ranks.forget()
     erase(kept, chunks)

@@ -5,7 +5,8 @@ import numpy as np
 import pyarrow as pa
 
 from playstream.llm import substrings
-from playstream.llm.common import portions
+from playstream.llm.bitmap import Flags, shared
+from playstream.llm.common import portions, row_key, save
 from playstream.llm.substrings import MIN, cover, op6_suffix_array_dedup, without_repeats
 from tests.llm.util import EDGE, SF0001, docs_of
 
@@ -68,6 +69,18 @@ def test_edge_rows(spark):
     assert len(without_repeats(docs_of(spark, [(None, None), (1, "")])).collect()) == 2
 
 
+def test_only_chunks_of_two_documents_are_compared(spark):
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(20000))
+    rows = docs_of(spark, [(1, base), (2, "".join(c if i % 700 else "#" for i, c in enumerate(base)))])
+    rows = rows.select("doc_id", row_key()["h"].alias("h"), "text")
+    kept = save(substrings._contexts(rows, Flags(spark, shared(rows.select("h", "text"), substrings._ranks))))
+    one, two = ({(r.rank[c], d) for c, d in zip(r.chunk, r.digest)} for r in kept.collect())
+    met = Flags(spark, shared(kept, substrings._alike))
+    got = {(r["rank"], r.digest) for r in substrings._chunks(kept, met).collect()}
+    assert one & two == got and 0 < len(got) < len(one | two)
+
+
 def test_cover_holds_every_window():
     rng = random.Random(1)
     texts = [bytes(rng.choice(b"ab ") for _ in range(rng.choice([0, 49, 50, 51, 400]))) for _ in range(40)] + [b"", b"z" * 500]
