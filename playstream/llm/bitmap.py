@@ -1,5 +1,5 @@
 """Which 64-bit values are there, or do two owners have?  Found one bucket of
-values at a time and told to tasks as a bitmap of fixed size.
+values at a time and told to tasks as a bitmap of bounded size.
 
 The bitmap may say yes wrongly (more often, the larger the input); whoever
 uses it must find the true matches among what it lets through."""
@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLOT_BITS = 27       # the bitmap has 2 ** 27 bits (16 MB), whatever the input's size
+SLOT_BITS = 27       # the bitmap has 2 ** 27 bits (16 MB), whatever the input's size, unless told otherwise
+MOST_BITS = 30       # the largest one, 128 MB
 _REST_BITS = 40      # bits of a value that are compared within a bucket
 _FLUSH = 1 << 21     # values that a task gathers before it writes their buckets
 
@@ -53,8 +54,14 @@ def _bucketed(values_of: Values, bits: int):
     return run
 
 
-def shared(df: DataFrame, values_of: Values, owners: int = 2) -> np.ndarray:
-    """Packed bits by the first ``SLOT_BITS`` bits of the values that two owners
+def slots_for(size: int) -> int:
+    """``slot_bits`` for the samples of ``size`` bytes of text: at least one slot
+    for every eight bytes, up to 8 GB; beyond that the bitmap fills up."""
+    return min(MOST_BITS, max(SLOT_BITS, (size // 8).bit_length()))
+
+
+def shared(df: DataFrame, values_of: Values, owners: int = 2, slot_bits: int = SLOT_BITS) -> np.ndarray:
+    """Packed bits by the first ``slot_bits`` bits of the values that two owners
     (``owners=1``: any) have.
 
     Owners' numbers only need to differ within a task; equal values of
@@ -68,16 +75,16 @@ def shared(df: DataFrame, values_of: Values, owners: int = 2) -> np.ndarray:
             n = len(blob) // 5
             values.append(np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
         v = np.sort(np.concatenate(values))
-        flags = np.zeros(1 << (SLOT_BITS - bits), bool)
+        flags = np.zeros(1 << (slot_bits - bits), bool)
         if owners > 1:
             v = v[1:][v[1:] == v[:-1]]
-        flags[(v >> np.uint64(_REST_BITS - SLOT_BITS + bits)).astype(np.int64)] = True
+        flags[(v >> np.uint64(_REST_BITS - slot_bits + bits)).astype(np.int64)] = True
         return pa.table({"bucket": group.column("bucket").slice(0, 1), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
 
-    out = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
-    size = 1 << (SLOT_BITS - 3 - bits)
+    out = np.zeros(1 << (slot_bits - 3), np.uint8)
+    size = 1 << (slot_bits - 3 - bits)
     rows = df.mapInArrow(_bucketed(values_of, bits), "bucket int, values binary").groupBy("bucket").applyInArrow(meet, "bucket int, flags binary")
-    for row in rows.toLocalIterator():  # 16 MB in all
+    for row in rows.toLocalIterator():  # a bucket at a time, 128 MB in all at most
         out[row.bucket * size:(row.bucket + 1) * size] = np.frombuffer(row.flags, np.uint8)
     return out
 
@@ -86,7 +93,8 @@ class Flags:
     """A bitmap for tasks, sent compressed and unpacked once by a task."""
 
     def __init__(self, spark: SparkSession, bits: np.ndarray) -> None:
-        self._sent = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))   # 16 MB at most
+        self._sent = spark.sparkContext.broadcast(zlib.compress(bits, 1))   # 16 MB, or 128 MB at most
+        self._shift = np.uint64(64 - 3 - (len(bits) - 1).bit_length())
         self._bits = None
 
     def __getstate__(self) -> dict:
@@ -95,7 +103,7 @@ class Flags:
     def holds(self, values: np.ndarray) -> np.ndarray:
         if self._bits is None:
             self._bits = np.frombuffer(zlib.decompress(self._sent.value), np.uint8)
-        slot = (values >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        slot = (values >> self._shift).astype(np.int64)
         return (self._bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
     def forget(self) -> None:

@@ -8,7 +8,7 @@ A suffix matters up to ``MIN`` bytes here, so it is a window of the text.
    which takes a third of the positions that an arithmetic cover takes.  The
    sample's hash is its rank: equal strings, equal ranks.
 2. Ranks met in two documents are found one bucket of ranks at a time; a
-   bitmap of fixed size tells the tasks which samples may be shared.
+   bitmap, larger for larger inputs, tells the tasks which samples may be shared.
 3. Neighbouring samples that may be shared form chunks, cut by content.  A
    chunk that also stands in a document of a smaller id is removed whole; its
    samples need no further look.  Only chunks that a second bitmap says two
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.bitmap import Flags, shared
+from playstream.llm.bitmap import Flags, shared, slots_for
 from playstream.llm.common import as_bytes, erase, portions, release, row_key, save, slices, table
 
 MIN = 50                   # bytes of a repeated string
@@ -128,12 +128,18 @@ def covered(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip((none, none.astype(np.uint64), none, none), *found))
 
 
+def _spread(rank: np.ndarray) -> np.ndarray:
+    """A rank's value for bitmaps: a sample is the least around it, so ranks
+    themselves crowd into a fraction of a bitmap."""
+    return _mix(rank.view(np.uint64))
+
+
 def _ranks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The ranks of a batch's texts, and the number (h) of the document each is from."""
+    """The ranks of a batch's texts, spread, and the number (h) of the document each is from."""
     ranks, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for b in portions([batch]):
         text, rank, _, _ = covered(as_bytes(b.column("text")))
-        ranks.append(rank)
+        ranks.append(_spread(rank))
         owners.append(b.column("h").to_numpy().view(np.uint64)[text])
     return np.concatenate(ranks), np.concatenate(owners)
 
@@ -146,7 +152,7 @@ def _contexts(docs: DataFrame, ranks: Flags) -> DataFrame:
         for b in portions(batches, rows=64):
             texts = as_bytes(b.column("text"))
             text, rank, lo, n = covered(texts)
-            keep = ranks.holds(rank)
+            keep = ranks.holds(_spread(rank))
             text, rank, lo, n = text[keep], rank[keep], lo[keep], n[keep]
             end = lo + n
             begins = (rank & np.uint64(_MARK)) == 0
@@ -231,11 +237,11 @@ def _document(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _open_ranks(met: Flags, chunks: Flags):
-    """Ranks and documents of the samples in open chunks."""
+    """Ranks, spread, and documents of the samples in open chunks."""
     def values(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         s = _Samples(batch)
         left = s.open(met, chunks)
-        return s.rank[left].view(np.uint64), s.h[s.row[left]].view(np.uint64)
+        return _spread(s.rank[left]), s.h[s.row[left]].view(np.uint64)
     return values
 
 
@@ -244,7 +250,7 @@ def _occurrences(kept: DataFrame, met: Flags, chunks: Flags, ranks: Flags) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             s = _Samples(b)
-            left = s.open(met, chunks) & ranks.holds(s.rank.view(np.uint64))
+            left = s.open(met, chunks) & ranks.holds(_spread(s.rank))
             rows = pa.array(s.row[left])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("h").take(rows)] + [pa.array(x[left]) for x in (s.rank, s.context, s.lo, s.n)],
                                              ["doc_id", "h", "rank", "context", "lo", "n"])
@@ -341,7 +347,8 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """``(doc_id, h, start, stop)``: byte ranges of ``docs(doc_id, h, text)`` that go; they may overlap."""
     spark = docs.sparkSession
-    ranks = Flags(spark, shared(docs.select("h", "text"), _ranks))
+    slots = slots_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    ranks = Flags(spark, shared(docs.select("h", "text"), _ranks, slot_bits=slots))
     kept = save(_contexts(docs, ranks))
     ranks.forget()
     release(spark)
@@ -353,7 +360,7 @@ def repeats(docs: DataFrame, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     release(spark)
     open_chunks = Flags(spark, shared(chunks.where("NOT gone").select("own"), _own, owners=1))
     whole = save(chunks.where("gone").select("doc_id", "h", "start", "stop"))
-    open_ranks = Flags(spark, shared(kept, _open_ranks(met, open_chunks)))
+    open_ranks = Flags(spark, shared(kept, _open_ranks(met, open_chunks), slot_bits=slots))
     occurrences = save(_occurrences(kept, met, open_chunks, open_ranks))
     met.forget()
     open_chunks.forget()

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from playstream.llm import substrings
-from playstream.llm.bitmap import Flags, shared
+from playstream.llm.bitmap import Flags, shared, slots_for
 from playstream.llm.common import portions, row_key, save
 from playstream.llm.substrings import MIN, cover, op6_suffix_array_dedup, without_repeats
 from tests.llm.util import EDGE, SF0001, docs_of
@@ -81,6 +81,43 @@ def test_only_chunks_of_two_documents_are_compared(spark):
     assert one & two == got and 0 < len(got) < len(one | two)
 
 
+def test_ranks_spread_over_the_whole_bitmap(spark):
+    """Samples are the least around them; their ranks as they are would fill a fraction of a bitmap."""
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 3000).astype(np.uint8).tobytes().decode() for _ in range(40)]
+    value, owner = substrings._ranks(pa.RecordBatch.from_pydict({"h": list(range(40)), "text": texts}))
+    assert len(value) > 5000 and len(set(owner.tolist())) == 40
+    share = np.bincount((value >> np.uint64(60)).astype(int), minlength=16) / len(value)
+    assert share.min() > 0.04 and share.max() < 0.09
+
+    rows = docs_of(spark, [(1, texts[0]), (2, texts[0][:1500] + texts[1]), (3, texts[2])])
+    rows = rows.select("doc_id", row_key()["h"].alias("h"), "text")
+    kept = save(substrings._contexts(rows, Flags(spark, shared(rows.select("h", "text"), substrings._ranks))))
+    batch = kept.toArrow().to_batches()[0]
+    none = Flags(spark, np.zeros(1 << 24, np.uint8))   # no chunk is shared: all are open
+    value, _ = substrings._open_ranks(none, none)(batch)
+    assert len(value) > 50 and 0.3 < (value >> np.uint64(63)).mean() < 0.7
+
+
+def _held(batch):
+    return batch.column("v").to_numpy().view(np.uint64), batch.column("o").to_numpy().view(np.uint64)
+
+
+def test_a_larger_input_gets_a_larger_bitmap(spark):
+    assert [slots_for(n) for n in (0, 10**6, 10**9, 2 * 10**9, 10**10, 10**12)] == [27, 27, 27, 28, 30, 30]
+    rng = np.random.default_rng(8)
+    v = rng.integers(-2**63, 2**63 - 1, 40000)
+    rows = [(int(x), o) for i, x in enumerate(v) for o in ((1, 2) if i < 20000 else (1,))]
+    df = spark.createDataFrame(rows, "v long, o long").coalesce(1)
+    let = {}
+    for bits in (16, 28):
+        flags = Flags(spark, shared(df, _held, slot_bits=bits))
+        held = flags.holds(v.view(np.uint64))
+        assert held[:20000].all()
+        let[bits] = held[20000:].mean()
+    assert let[28] < 0.01 < 0.2 < let[16] < 0.35   # 20,000 of 65,536 slots
+
+
 def test_cover_holds_every_window():
     rng = random.Random(1)
     texts = [bytes(rng.choice(b"ab ") for _ in range(rng.choice([0, 49, 50, 51, 400]))) for _ in range(40)] + [b"", b"z" * 500]
