@@ -70,3 +70,16 @@ def test_a_game_of_one_team_is_scored(fitted):
     assert rows.where("seconds_remaining IS NULL").count() == one.where("snapshot_id = 1").count()
     assert rows.select(*key, "win_prob").exceptAll(zero.select(*key, "win_prob")).count() == 0
     assert score(one, win, mvp).where("win_pct IS NULL OR mvp_pct IS NULL").count() == 0
+
+
+def test_history_with_a_game_of_one_team_is_scored_whole(spark):
+    from playstream.operators import by_moment, dedupe_moments
+    from playstream.plans.batch import scored_history
+    events = events_of(spark, SF0001)
+    game = events.agg(F.min("game_id")).first()[0]
+    events = events.withColumn("team_code", F.when(F.col("game_id") == game, "T").otherwise(F.col("team_code")))
+    rows = scored_history(events).persist()
+    assert rows.count() == dedupe_moments(by_moment(history_snapshots(events, shots=False))).count()
+    assert rows.where("score_diff IS NULL").select("game_id").distinct().collect() == [(game,)]
+    assert rows.where("win_pct IS NULL OR mvp_pct IS NULL").count() == 0
+    rows.unpersist()
