@@ -49,10 +49,11 @@ def training_from_events(events: DataFrame, every: int = 30) -> DataFrame:
 
 
 def scored_history(events: DataFrame, every: int = 30, seed: int = 42) -> DataFrame:
-    """Fit both models on the history and score it (21 scored columns).
+    """Fit both models on the history and score it (21 scored columns, the
+    shot charts among them).
 
     The history is computed once (checkpointed) and feeds both the training
-    set and the scoring pass."""
-    hist = materialize(history_snapshots(events, every, shots=False))
+    set, which reads no charts, and the scoring pass."""
+    hist = materialize(history_snapshots(events, every))
     win, mvp = train_models(training_set(hist), seed)
     return score(hist, win, mvp)

@@ -83,3 +83,17 @@ def test_history_with_a_game_of_one_team_is_scored_whole(spark):
     assert rows.where("score_diff IS NULL").select("game_id").distinct().collect() == [(game,)]
     assert rows.where("win_pct IS NULL OR mvp_pct IS NULL").count() == 0
     rows.unpersist()
+
+
+def test_scored_history_holds_the_shot_charts(spark):
+    """All 21 columns: every row shows its player's attempts up to its moment, in event order."""
+    from playstream.operators.models import SCORED_FIELDS
+    from playstream.plans.batch import scored_history
+    from playstream.schemas import EVENT
+    plays = [("g", i, 1, "AB"[i % 2], f"p{i % 4}", "2pt" if i % 4 else "rebound", ("Missed" if i % 3 else "Made") if i % 4 else None,
+              2 if i % 4 else 0, None, f"{(720 - 6 * i) // 60:02d}:{(720 - 6 * i) % 60:02d}", float(i), i / 2) for i in range(1, 66)]
+    rows = scored_history(spark.createDataFrame(plays, EVENT))
+    assert rows.columns == SCORED_FIELDS and len(SCORED_FIELDS) == 21
+    got = {(r.player_name, r.seconds_remaining): [tuple(s) for s in r.shots] for r in rows.collect()}
+    assert got == {(f"p{p}", 2880 - 6 * n): [(float(i), i / 2, int(i % 3 == 0)) for i in range(1, n + 1) if p and i % 4 == p]
+                   for p in range(4) for n in (30, 60, 65)}
